@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from riskmart.functions.labels import label_definition, past_due_flag
 from riskmart.operators.joins import ROWS_PER_TASK, spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
+from riskmart.sources import store
 
 
 def label_store(silver_loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:
@@ -36,15 +38,25 @@ def feature_store_v1(
     return full(full(clickstream, financials), attributes)
 
 
-def feature_store_v2(clickstream: DataFrame, static: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def feature_store_v2(
+    clickstream: DataFrame,
+    static: DataFrame,
+    start: str | date | None = None,
+    end: str | date | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Click rows with the customer's static features, and static rows without clicks.
 
     A click row joins the static features of every snapshot of its customer, one output row
-    each. The static rows of a snapshot whose customer has no clicks in that snapshot follow
-    with null click features. All snapshots are built in one pass.
+    each, so `static` holds all snapshots even if only some are built. The static rows of a
+    built snapshot whose customer has no clicks in it follow with null click features. All
+    snapshots from `start` to `end` are built in one pass.
     """
+    built = static
+    if start is not None:
+        clickstream, built = (store.between(df, start, end if end is not None else start) for df in (clickstream, static))
     clicked = spread_join(clickstream, static.drop(SNAPSHOT), [CUSTOMER], "left", rows_per_task)
     # The right side is distinct and adaptive execution splits a hot left side of an anti-join.
     click_keys = clickstream.select(CUSTOMER, SNAPSHOT).distinct()
-    unclicked = static.join(click_keys, [CUSTOMER, SNAPSHOT], "left_anti")
+    unclicked = built.join(click_keys, [CUSTOMER, SNAPSHOT], "left_anti")
     return clicked.unionByName(unclicked, allowMissingColumns=True)

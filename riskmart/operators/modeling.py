@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskmart.calendar import TrainingWindows, training_windows
 from riskmart.operators.joins import ROWS_PER_TASK, spread_join
@@ -213,7 +212,7 @@ def train(
     return Trained(model, card, version)
 
 
-CARD_SCHEMA = T.StructType.fromDDL(
+CARD_SCHEMA = (
     "model_version string, train_date date, train_test_start_date date, train_test_end_date date, "
     "oot_start_date date, oot_end_date date, "
     "rows map<string,bigint>, default_rate map<string,double>, auc map<string,double>, gini map<string,double>, "
