@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskmart.calendar import as_date, month_spine
 from riskmart.functions import features as X
 from riskmart.functions.labels import past_due_flag
+from riskmart.operators.joins import spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
 
 
@@ -28,7 +29,7 @@ def first_label(labels: DataFrame) -> DataFrame:
 def with_outcome(features: DataFrame, labels: DataFrame, dedup: bool = False) -> DataFrame:
     """Feature rows with the customer's labels as `default`, one row per pair."""
     outcome = first_label(labels) if dedup else labels.select(CUSTOMER, "label")
-    return features.join(outcome.withColumnRenamed("label", "default"), CUSTOMER, "inner")
+    return spread_join(features, outcome.withColumnRenamed("label", "default"), [CUSTOMER], "inner")
 
 
 def rates_by_bin(features: DataFrame, labels: DataFrame, bin_column: Column, dedup: bool = False) -> DataFrame:
@@ -51,8 +52,8 @@ def on_domain(rates: DataFrame, domain: Sequence[str], key: str = "bin") -> Data
     bins = rates.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(b) for b in domain])).alias("bin_order", key)
     )
-    # A fixed list of bins on one side, at most one row per bin on the other.
-    return bins.join(F.broadcast(rates), key, "left").orderBy("bin_order")
+    listed = rates.filter(F.col(key).isin(list(domain)))  # one row per bin at most
+    return bins.join(F.broadcast(listed), key, "left").orderBy("bin_order")
 
 
 def default_rate_by_bin(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +12,8 @@ from riskmart.operators.joins import ROWS_PER_TASK, spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
 from riskmart.sources import store
 
+KEYS = [CUSTOMER, SNAPSHOT]
+
 
 def label_store(silver_loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:
     """1 for loans at least `dpd` days past due at month `mob` on book, 0 for the others."""
@@ -27,15 +28,16 @@ def label_store(silver_loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFra
 
 def static_features(attributes: DataFrame, financials: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Attributes with the financials of the same customer and snapshot."""
-    return spread_join(attributes, financials, [CUSTOMER, SNAPSHOT], "left", rows_per_task)
+    return spread_join(attributes, financials, KEYS, "left", rows_per_task)
 
 
 def feature_store_v1(
     clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Everything known of a customer in a snapshot, from whichever sources have it."""
-    full = partial(spread_join, on=[CUSTOMER, SNAPSHOT], how="full", rows_per_task=rows_per_task)
-    return full(full(clickstream, financials), attributes)
+    known = clickstream.select(KEYS).unionAll(financials.select(KEYS))
+    moving = spread_join(clickstream, financials, KEYS, "full", rows_per_task)
+    return spread_join(moving, attributes, KEYS, "full", rows_per_task, key_tables=(known, attributes))
 
 
 def feature_store_v2(
@@ -44,6 +46,7 @@ def feature_store_v2(
     start: str | date | None = None,
     end: str | date | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    static_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Click rows with the customer's static features, and static rows without clicks.
 
@@ -51,12 +54,28 @@ def feature_store_v2(
     each, so `static` holds all snapshots even if only some are built. The static rows of a
     built snapshot whose customer has no clicks in it follow with null click features. All
     snapshots from `start` to `end` are built in one pass.
+
+    `static_keys` is a table with the customers of `static` that is cheaper to count: the
+    attributes, where `static` is not yet written.
     """
     built = static
     if start is not None:
         clickstream, built = (store.between(df, start, end if end is not None else start) for df in (clickstream, static))
-    clicked = spread_join(clickstream, static.drop(SNAPSHOT), [CUSTOMER], "left", rows_per_task)
-    # The right side is distinct and adaptive execution splits a hot left side of an anti-join.
-    click_keys = clickstream.select(CUSTOMER, SNAPSHOT).distinct()
-    unclicked = built.join(click_keys, [CUSTOMER, SNAPSHOT], "left_anti")
+    clicked = spread_join(
+        clickstream,
+        static.drop(SNAPSHOT),
+        [CUSTOMER],
+        "left",
+        rows_per_task,
+        key_tables=(clickstream, static if static_keys is None else static_keys),
+    )
+    click_keys = clickstream.select(KEYS).distinct()
+    unclicked = spread_join(
+        built,
+        click_keys,
+        KEYS,
+        "left_anti",
+        rows_per_task,
+        key_tables=(built if static_keys is None else static_keys, click_keys),
+    )
     return clicked.unionByName(unclicked, allowMissingColumns=True)

@@ -31,6 +31,8 @@ def snapshot_medians(df: DataFrame, columns: Sequence[str], by: str = SNAPSHOT)
     a running count over the bands (a bounded number per snapshot) finds the one with the
     middle row. Then only that band's values are counted one by one. Null and NaN do not count.
     """
+    if not isinstance(df.schema[by].dataType, T.DateType):
+        raise TypeError(f"{by} is not a date")  # a calendar bounds what is broadcast
     for c in columns:
         if not isinstance(df.schema[c].dataType, T.FloatType):
             raise TypeError(f"{c} is not a 32-bit float")
@@ -52,7 +54,7 @@ def snapshot_medians(df: DataFrame, columns: Sequence[str], by: str = SNAPSHOT)
         .filter((F.col("middle") > F.col("seen") - F.col("n")) & (F.col("middle") <= F.col("seen")))
         .select(*group, "band", (F.col("middle") - F.col("seen") + F.col("n")).alias("rank"))
     )
-    # One row per snapshot and column: safe to broadcast, the calendar bounds it.
+    # One row per snapshot date and column.
     in_band = values.join(F.broadcast(bands), [*group, "band"])
     up_to_value = every.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (

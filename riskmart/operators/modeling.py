@@ -138,6 +138,7 @@ def gini(area: float) -> float:
 
 def auc_gini(scored: DataFrame, score: str, splits: Sequence[str] = ("train", "test", "oot")) -> DataFrame:
     """AUC and Gini of a score on each split. Only the metrics leave the cluster."""
+    scored = cut_lineage(scored.select("split", "label", score), "scores")
     rows = []
     for split in splits:
         area = auc(scored.filter(F.col("split") == split), score)
@@ -201,10 +202,10 @@ def train(
     """
     spark = dataset.sparkSession
     features = feature_columns(dataset)
-    data = cut_lineage(dataset.withColumn("label", F.col("label").cast("double")))
-    scaler = fit_scaler(data.filter(F.col("split") == "train"), features)
-    prepare = PipelineModel(scaler.stages())
-    vectors = prepare.transform(data.filter(F.col("split") == "train")).select(LOAN, SNAPSHOT, "label", "features")
+    data = cut_lineage(dataset.withColumn("label", F.col("label").cast("double")), "training")
+    fitted_on = data.filter(F.col("split") == "train")
+    scaler = fit_scaler(fitted_on, features)
+    vectors = PipelineModel(scaler.stages()).transform(fitted_on).select(LOAN, SNAPSHOT, "label", "features")
     search = random_search(vectors, draws, folds, parallelism, grid)
     model = PipelineModel([*scaler.stages(), search.bestModel])
     version = "credit_model_" + str(train_date).replace("-", "_")
@@ -254,7 +255,8 @@ def probability(model: Transformer, df: DataFrame, name: str = "model_prediction
 
 def evaluate(model: Transformer, data: DataFrame, splits: Sequence[str]) -> dict[str, float]:
     """AUC of the probability on each split."""
-    return {s: auc(probability(model, data.filter(F.col("split") == s)), "model_predictions") for s in splits}
+    scored = cut_lineage(probability(model, data).select("split", "label", "model_predictions"), "scores")
+    return {s: auc(scored.filter(F.col("split") == s), "model_predictions") for s in splits}
 
 
 def save_model(trained: Trained, bank: str) -> str:

@@ -62,7 +62,7 @@ def backfill_features(
     if version >= 2:
         everything = [store.read_table(spark, f"{root}/silver/{n}") for n in ("attributes", "financials")]
         # Both branches of the store read the static features: join them once.
-        static = cut_lineage(gold.static_features(*everything))
+        static = cut_lineage(gold.static_features(*everything), "static")
         features = gold.feature_store_v2(clicks, static, start, end)
     else:
         features = gold.feature_store_v1(clicks, attributes, financials)

@@ -269,7 +269,9 @@ def gold_features_v1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gold_features_v2(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.feature_store_v2(_clicks(spark, sf), static_features(spark, sf))
+    attributes, financials = _attributes(spark, sf), _financials(spark, sf)
+    static = gold.static_features(attributes, financials)
+    return gold.feature_store_v2(_clicks(spark, sf), static, static_keys=attributes)
 
 
 @query

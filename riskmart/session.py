@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Recording the Python call site of every column costs more than small plans take to run.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -57,7 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/riskmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in reliable storage, so that losing executors costs no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """`df` written once as a table in the shared folder and read back.
+
+    Losing executors then costs no recomputation, and readers still prune columns and push
+    filters down, which a checkpointed RDD would not allow.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

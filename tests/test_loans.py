@@ -1,0 +1,62 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskmart.operators import gold, silver
+from riskmart.schemas import LOAN_TYPES
+from tests.rows import frame, values
+
+DDL = ", ".join(f"{c} {t}" for c, t in LOAN_TYPES.items())
+
+
+def loan(overdue, due, snapshot=date(2024, 3, 31), installment=6, **more):
+    row = dict.fromkeys(LOAN_TYPES) | {"loan_id": "l1", "Customer_ID": "c1", "snapshot_date": snapshot}
+    return tuple((row | {"installment_num": installment, "overdue_amt": overdue, "due_amt": due} | more).values())
+
+
+@pytest.mark.parametrize(
+    "overdue, due, missed, first, dpd",
+    [
+        (50.0, 100.0, 1, date(2024, 2, 29), 31),
+        (0.0, 100.0, 0, None, 0),
+        (50.0, 0.0, 0, None, None),
+        (50.0, None, 0, None, None),
+        (250.0, 100.0, 3, date(2023, 12, 31), 91),
+        (None, None, 0, None, 0),
+    ],
+)
+def test_delinquency(spark, overdue, due, missed, first, dpd):
+    row = silver.loans(frame(spark, DDL, loan(overdue, due))).first()
+    assert (row["installments_missed"], row["first_missed_date"], row["dpd"]) == (missed, first, dpd)
+
+
+def test_missing_numbers_become_zero_after_the_count(spark):
+    row = silver.loans(frame(spark, DDL, loan(50.0, None, installment=None))).first()
+    assert (row["due_amt"], row["mob"], row["installment_num"], row["tenure"]) == (0.0, 0, 0, 0)
+    assert row["loan_start_date"] is None
+
+
+def test_zero_due_counts_as_missed_on_request(spark):
+    row = silver.loans(frame(spark, DDL, loan(50.0, 0.0)), zero_due_is_missed=True).first()
+    assert (row["installments_missed"], row["dpd"]) == (1, 31)
+
+
+def test_labels(spark):
+    rows = frame(
+        spark,
+        "loan_id string, Customer_ID string, dpd int, mob int, snapshot_date date",
+        ("a", "c", 30, 6, date(2024, 1, 1)),
+        ("b", "c", 29, 6, date(2024, 1, 1)),
+        ("d", "c", 90, 5, date(2024, 1, 1)),
+        ("e", "c", None, 6, date(2024, 1, 1)),
+    )
+    store = gold.label_store(rows)
+    assert values(store, "loan_id", "label", "label_def") == [("a", 1, "30dpd_6mob"), ("b", 0, "30dpd_6mob"), ("e", 0, "30dpd_6mob")]
+    assert store.columns == ["loan_id", "Customer_ID", "label", "label_def", "snapshot_date"]
+    assert values(gold.label_store(rows, dpd=60, mob=5), "loan_id", "label", "label_def") == [("d", 1, "60dpd_5mob")]
+
+
+def test_text_source(spark):
+    text = frame(spark, DDL, loan(50.0, 100.0)).select(*[F.col(c).cast("string") for c in LOAN_TYPES])
+    assert silver.loans(text).first()["dpd"] == 31
