@@ -87,13 +87,13 @@ def split_stats(df: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
 
 @dataclass(frozen=True)
 class Scaler:
-    """Mean and population deviation per feature; missing values were ignored."""
+    """Mean and population deviation per feature; missing values (null or NaN) were ignored."""
 
     mean: Mapping[str, float]
     deviation: Mapping[str, float]
 
     def expression(self, c: str) -> str:
-        return f"(CAST(`{c}` AS DOUBLE) - {self.mean[c]!r}D) / {self.deviation[c]!r}D"
+        return f"(NANVL(CAST(`{c}` AS DOUBLE), NULL) - {self.mean[c]!r}D) / {self.deviation[c]!r}D"
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Replace the features by their scaled values; missing stays missing."""
@@ -108,7 +108,7 @@ class Scaler:
         missing = {c: f"__missing_{c}" for c in self.mean}
         statement = ", ".join(
             [f"COALESCE({self.expression(c)}, 0.0D) AS `{z[c]}`" for c in z]
-            + [f"CAST(`{c}` IS NULL AS DOUBLE) AS `{missing[c]}`" for c in missing]
+            + [f"CAST(NANVL(CAST(`{c}` AS DOUBLE), NULL) IS NULL AS DOUBLE) AS `{missing[c]}`" for c in missing]
         )
         return [
             SQLTransformer(statement=f"SELECT *, {statement} FROM __THIS__"),
@@ -118,9 +118,10 @@ class Scaler:
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> Scaler:
     """One aggregate over the training rows; two numbers per feature come back."""
+    known = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns}
     stats = train.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in columns],
+        *[F.avg(v).alias(f"m_{c}") for c, v in known.items()],
+        *[F.stddev_pop(v).alias(f"s_{c}") for c, v in known.items()],
     ).first()
     # A constant or empty feature is only centred.
     return Scaler({c: stats[f"m_{c}"] or 0.0 for c in columns}, {c: stats[f"s_{c}"] or 1.0 for c in columns})

@@ -293,6 +293,10 @@ def _counts(source: str) -> str:
     return _with(f"SELECT snapshot_date, count(*) AS row_count FROM {source} GROUP BY 1", source)
 
 
+def _loan_keys(where: str) -> str:
+    return _with(f"SELECT loan_id, Customer_ID, snapshot_date, installment_num FROM loans WHERE {where}", "loans")
+
+
 _FINANCIAL_SILVER = _with("SELECT * FROM silver_financials", "silver_financials")
 _GOLD_V2 = _with("SELECT * FROM gold_v2", "gold_v2")
 _LABELS = _with("SELECT * FROM label_store", "label_store")
@@ -338,6 +342,9 @@ FROM (SELECT min(snapshot_date) AS a, max(snapshot_date) AS b FROM loans)""",
         "loans",
     ),
     "snapshot_counts": _counts("loans"),
+    "snapshot_extract": _loan_keys("snapshot_date = DATE '2000-03-01'"),
+    "snapshot_ingest": _loan_keys("snapshot_date = DATE '2000-03-01'"),
+    "date_range": _loan_keys("snapshot_date BETWEEN DATE '2000-07-01' AND DATE '2001-08-31'"),
     "bronze_backfill": _counts("loans"),
     "csv_source": _ATTRIBUTES,
     "streamed_bronze": "SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count FROM events GROUP BY 1",

@@ -20,6 +20,7 @@ from riskmart.streaming import ingest as stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 TRAIN_DATE = "2001-09-01"
+SNAPSHOT_DATE = "2000-03-01"
 CALENDAR = ("1995-01-01", "2001-12-01")
 COHORT_CUTOFF = "2000-01-01"
 CLICKS = [f"fe_{i}" for i in range(1, 21)]
@@ -103,6 +104,25 @@ def snapshot_counts(spark: SparkSession, sf: str) -> DataFrame:
     return store.snapshot_counts(adapters.source(spark, sf, "loans"))
 
 
+@query
+def snapshot_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return store.snapshot(adapters.source(spark, sf, "loans"), SNAPSHOT_DATE).select(LOAN, CUSTOMER, SNAPSHOT, "installment_num")
+
+
+@query
+def date_range(spark: SparkSession, sf: str) -> DataFrame:
+    rows = store.between(adapters.source(spark, sf, "loans"), "2000-07-01", "2001-08-31")
+    return rows.select(LOAN, CUSTOMER, SNAPSHOT, "installment_num")
+
+
+@query
+def snapshot_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """One snapshot on its own, read back from the store."""
+    root = scratch_path(spark, "snapshot")
+    jobs.ingest_snapshot(adapters.source(spark, sf, "loans"), "loans", root, SNAPSHOT_DATE)
+    return store.read_table(spark, f"{root}/bronze/loans").select(LOAN, CUSTOMER, SNAPSHOT, "installment_num")
+
+
 @query
 def bronze_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze in one pass, read back."""
@@ -377,6 +397,16 @@ def auc_gini(spark: SparkSession, sf: str) -> DataFrame:
     return modeling.auc_gini(scored, "score")
 
 
+@query
+def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, default rate, AUC and Gini per split, as kept on the card of a trained model."""
+    grid = {"maxIter": [25], "maxDepth": [2], "stepSize": [0.1]}
+    trained = modeling.train(_training_set(spark, sf), TRAIN_DATE, draws=1, folds=2, grid=grid)
+    card = trained.card.select("model_version", F.explode("auc").alias("split", "auc"), "rows", "default_rate", "gini")
+    measures = {"row_count": "rows", "default_rate": "default_rate", "gini": "gini"}
+    return card.select("model_version", "split", "auc", *[F.col(m)[F.col("split")].alias(n) for n, m in measures.items()])
+
+
 @query
 def train_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Search, model bank, reload and scoring of every snapshot in the training calendar."""
