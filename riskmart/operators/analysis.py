@@ -27,9 +27,14 @@ def first_label(labels: DataFrame) -> DataFrame:
 
 
 def with_outcome(features: DataFrame, labels: DataFrame, dedup: bool = False) -> DataFrame:
-    """Feature rows with the customer's labels as `default`, one row per pair."""
-    outcome = first_label(labels) if dedup else labels.select(CUSTOMER, "label")
-    return spread_join(features, outcome.withColumnRenamed("label", "default"), [CUSTOMER], "inner")
+    """Feature rows with the customer's labels as `default`, of any date.
+
+    A customer with many labels does not multiply its rows: there is one row per outcome, and
+    `labels` says how many labels it stands for.
+    """
+    outcome = (first_label(labels) if dedup else labels).withColumnRenamed("label", "default")
+    counted = outcome.groupBy(CUSTOMER, "default").agg(F.count(F.lit(1)).alias("labels"))
+    return spread_join(features, counted, [CUSTOMER], "inner")
 
 
 def rates_by_bin(features: DataFrame, labels: DataFrame, bin_column: Column, dedup: bool = False) -> DataFrame:

@@ -309,8 +309,8 @@ def _numeric(select: str) -> str:
 
 def _outcome(outcome: str) -> str:
     return _with(
-        f"""SELECT f.Customer_ID, Annual_Income, Outstanding_Debt, l.label AS "default"
-FROM numeric_financials f JOIN {outcome} l ON f.Customer_ID = l.Customer_ID""",
+        f"""SELECT f.Customer_ID, Annual_Income, Outstanding_Debt, l.label AS "default", count(*) AS labels
+FROM numeric_financials f JOIN {outcome} l ON f.Customer_ID = l.Customer_ID GROUP BY ALL""",
         "numeric_financials",
         outcome,
     )

@@ -76,5 +76,5 @@ def raw_schema(source: str, order: list[str] | None = None) -> T.StructType:
     """Schema of a source's CSV files: text, with the snapshot date typed."""
     columns = order or list(SOURCES[source])
     return T.StructType(
-        [T.StructField(c, T.DateType() if c == SNAPSHOT else T.StringType()) for c in columns]
+        [T.StructField(c, T.DateType() if c.lower() == SNAPSHOT else T.StringType()) for c in columns]
     )

@@ -30,8 +30,13 @@ def tables(spark):
     )
 
 
+def all_pairs(features, labels, dedup=False):
+    outcome = analysis.first_label(labels) if dedup else labels.select("Customer_ID", "label")
+    return features.join(outcome.withColumnRenamed("label", "default"), "Customer_ID")
+
+
 def brute_rates(features, labels, bin_column, dedup=False):
-    pairs = analysis.with_outcome(features.withColumn("bin", bin_column), labels, dedup)
+    pairs = all_pairs(features.withColumn("bin", bin_column), labels, dedup)
     return {r["bin"]: r["rate"] for r in pairs.groupBy("bin").agg(F.avg("default").alias("rate")).collect()}
 
 
@@ -45,6 +50,15 @@ def test_aggregated_join_equals_all_pairs(tables):
         assert rate == (None if b not in expected else pytest.approx(expected[b] * 100))
 
 
+@pytest.mark.parametrize("dedup", [False, True])
+def test_outcomes_stand_for_all_pairs(tables, dedup):
+    features, labels = tables
+    weighted = analysis.with_outcome(features, labels, dedup)
+    expanded = weighted.select(*features.columns, "default", F.explode(F.sequence(F.lit(1).cast("long"), "labels"))).drop("col")
+    assert values(expanded, *features.columns, "default") == values(all_pairs(features, labels, dedup), *features.columns, "default")
+    assert weighted.count() <= 2 * features.count()
+
+
 def test_dti_uses_one_label_per_customer(tables):
     features, labels = tables
     dti = X.divide("Outstanding_Debt", "Annual_Income").cast("float").cast("double")
@@ -97,7 +111,7 @@ def test_feature_profile_equals_all_pairs(spark, tables):
         "Customer_ID string, fe_1 float, fe_2 float",
         *[("hot" if i % 3 == 0 else f"c{rng.randrange(30)}", rng.choice([None, 1.0, 5.0]), float(i)) for i in range(100)],
     )
-    pairs = analysis.with_outcome(clicks, labels)
+    pairs = all_pairs(clicks, labels)
     found = analysis.feature_profile(clicks, labels, ["fe_1", "fe_2"]).collect()
     assert [r["period_num"] for r in found] == [1, 2]
     for row in found:

@@ -53,6 +53,21 @@ def test_date_filter_prunes_folders(spark):
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
+def test_a_large_snapshot_is_written_by_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        rows = spark.range(400_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(D1)).otherwise(F.lit(D2)).alias("snapshot_date"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+        )
+        root = scratch_path(spark, "hot")
+        store.write_snapshots(rows, root)
+        files = spark.read.parquet(root).select("snapshot_date", F.input_file_name().alias("file")).distinct()
+        assert all(r["count"] > 1 for r in files.groupBy("snapshot_date").count().collect())
+        assert spark.read.parquet(root).count() == 400_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_formats(spark, fmt):
     root = scratch_path(spark, fmt)
