@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from riskmart.calendar import as_date, month_spine
 from riskmart.functions import features as X
 from riskmart.functions.labels import past_due_flag
-from riskmart.operators.joins import spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
 
 
@@ -34,7 +33,8 @@ def with_outcome(features: DataFrame, labels: DataFrame, dedup: bool = False) ->
     """
     outcome = (first_label(labels) if dedup else labels).withColumnRenamed("label", "default")
     counted = outcome.groupBy(CUSTOMER, "default").agg(F.count(F.lit(1)).alias("labels"))
-    return spread_join(features, counted, [CUSTOMER], "inner")
+    # Two rows per customer at most on this side; adaptive execution splits hot feature keys.
+    return features.join(counted, CUSTOMER, "inner")
 
 
 def rates_by_bin(features: DataFrame, labels: DataFrame, bin_column: Column, dedup: bool = False) -> DataFrame:

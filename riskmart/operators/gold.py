@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.calendar import as_date
 from riskmart.functions.labels import label_definition, past_due_flag
 from riskmart.operators.joins import ROWS_PER_TASK, spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
@@ -31,6 +32,19 @@ def static_features(attributes: DataFrame, financials: DataFrame, rows_per_task:
     return spread_join(attributes, financials, KEYS, "left", rows_per_task)
 
 
+def attributes_needed(
+    attributes: DataFrame, clickstream: DataFrame, start: str | date, end: str | date
+) -> DataFrame:
+    """The attribute rows that version 2 of the store reads for the snapshots of a range.
+
+    Those of the range itself, and of any snapshot for customers with clicks in it: what is
+    joined and written for one snapshot then does not grow with the history.
+    """
+    clicked = clickstream.select(CUSTOMER).distinct().withColumn("__clicked", F.lit(True))
+    built = F.col(SNAPSHOT).between(as_date(start), as_date(end))
+    return attributes.join(clicked, CUSTOMER, "left").filter(built | F.col("__clicked")).drop("__clicked")
+
+
 def feature_store_v1(
     clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

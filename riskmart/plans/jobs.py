@@ -7,10 +7,12 @@ tables the step before has written, so a lost executor never costs more than one
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from riskmart.operators import bronze, gold, modeling, scoring, silver
 from riskmart.session import cut_lineage
@@ -48,21 +50,29 @@ def backfill_features(
     Version 2 joins the static features of all snapshots the silver tables hold, also those
     outside the range.
     """
-    counts = {}
-    for name in FEATURE_SOURCES:
-        counts[f"bronze/{name}"] = bronze.ingest(sources[name], name, f"{root}/bronze", start, end).get["rows"]
-    cleaned = {
+    clean = {
         "clickstream": silver.clickstream,
         "attributes": silver.attributes,
         "financials": lambda df: silver.financials(df, version=version),
     }
-    for name, clean in cleaned.items():
-        counts |= _write(clean(_table(spark, f"{root}/bronze", name, start, end)), root, f"silver/{name}")
+
+    def build(name: str) -> dict[str, int]:
+        rows = bronze.ingest(sources[name], name, f"{root}/bronze", start, end).get["rows"]
+        cleaned = clean[name](_table(spark, f"{root}/bronze", name, start, end))
+        return {f"bronze/{name}": rows} | _write(cleaned, root, f"silver/{name}")
+
+    # The sources do not depend on each other: a small one need not wait for a large one.
+    counts: dict[str, int] = {}
+    with ThreadPoolExecutor(len(FEATURE_SOURCES)) as pool:
+        for written in pool.map(inheritable_thread_target(spark)(build), FEATURE_SOURCES):
+            counts |= written
     clicks, attributes, financials = (_table(spark, f"{root}/silver", n, start, end) for n in FEATURE_SOURCES)
     if version >= 2:
-        everything = [store.read_table(spark, f"{root}/silver/{n}") for n in ("attributes", "financials")]
+        attributes, financials = (store.read_table(spark, f"{root}/silver/{n}") for n in ("attributes", "financials"))
+        if start is not None:
+            attributes = gold.attributes_needed(attributes, clicks, start, end if end is not None else start)
         # Both branches of the store read the static features: join them once.
-        static = cut_lineage(gold.static_features(*everything), "static")
+        static = cut_lineage(gold.static_features(attributes, financials), "static")
         features = gold.feature_store_v2(clicks, static, start, end)
     else:
         features = gold.feature_store_v1(clicks, attributes, financials)

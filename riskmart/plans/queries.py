@@ -13,7 +13,7 @@ from riskmart.functions import features as X
 from riskmart.operators import analysis, bronze, gold, imputation, modeling, silver
 from riskmart.plans import jobs
 from riskmart.schemas import CUSTOMER, DIRTY_NUMBERS, LOAN, SNAPSHOT, raw_schema
-from riskmart.session import scratch_path
+from riskmart.session import cut_lineage, scratch_path
 from riskmart.sources import adapters, store
 from riskmart.streaming import ingest as stream
 
@@ -57,8 +57,15 @@ def _financials(spark: SparkSession, sf: str, **options: int) -> DataFrame:
     return silver.financials(adapters.source(spark, sf, "financials"), **options)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A table of the mart: computed once, read several times."""
+    return cut_lineage(df, name)
+
+
 def _training_set(spark: SparkSession, sf: str) -> DataFrame:
-    return modeling.training_set(_labels(spark, sf), adapters.source(spark, sf, "monthly_features"), TRAIN_DATE)
+    labels = _stored(_labels(spark, sf), "label_store")
+    features = _stored(adapters.source(spark, sf, "monthly_features"), "features")
+    return modeling.training_set(labels, features, TRAIN_DATE)
 
 
 # --- loans and labels
@@ -284,14 +291,16 @@ def static_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def gold_features_v1(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.feature_store_v1(_clicks(spark, sf), _attributes(spark, sf), _financials(spark, sf, version=1))
+    clicks = _stored(_clicks(spark, sf), "clickstream")
+    return gold.feature_store_v1(clicks, _attributes(spark, sf), _financials(spark, sf, version=1))
 
 
 @query
 def gold_features_v2(spark: SparkSession, sf: str) -> DataFrame:
     attributes, financials = _attributes(spark, sf), _financials(spark, sf)
     static = gold.static_features(attributes, financials)
-    return gold.feature_store_v2(_clicks(spark, sf), static, static_keys=attributes)
+    clicks = _stored(_clicks(spark, sf), "clickstream")
+    return gold.feature_store_v2(clicks, static, static_keys=attributes)
 
 
 @query
@@ -411,6 +420,7 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def train_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Search, model bank, reload and scoring of every snapshot in the training calendar."""
     root = scratch_path(spark, "model")
-    features = adapters.source(spark, sf, "monthly_features")
-    trained = jobs.train_model(_labels(spark, sf), features, TRAIN_DATE, f"{root}/bank")
+    labels = _stored(_labels(spark, sf), "label_store")
+    features = _stored(adapters.source(spark, sf, "monthly_features"), "features")
+    trained = jobs.train_model(labels, features, TRAIN_DATE, f"{root}/bank")
     return jobs.score_range(features, f"{root}/bank", trained.version, root, "2000-07-01", "2001-08-31")
