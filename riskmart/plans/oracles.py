@@ -309,8 +309,9 @@ def _numeric(select: str) -> str:
 
 def _outcome(outcome: str) -> str:
     return _with(
-        f"""SELECT f.Customer_ID, Annual_Income, Outstanding_Debt, l.label AS "default", count(*) AS labels
-FROM numeric_financials f JOIN {outcome} l ON f.Customer_ID = l.Customer_ID GROUP BY ALL""",
+        f"""SELECT f.Customer_ID, Annual_Income, Outstanding_Debt, l.label AS "default", l.labels
+FROM numeric_financials f JOIN (
+  SELECT Customer_ID, label, count(*) AS labels FROM {outcome} GROUP BY 1, 2) l ON f.Customer_ID = l.Customer_ID""",
         "numeric_financials",
         outcome,
     )
