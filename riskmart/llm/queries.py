@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import chat, histogram, quality, url_filter
+from riskmart.llm import bpe, chat, histogram, quality, url_filter
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -150,3 +150,12 @@ ORACLES["op8_chat_format"] = rf"""
 def op10_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
     """Histogram of encoded lengths of all documents with its suffix sums."""
     return histogram.histogram(histogram.encoded_lengths(table(spark, sf, "documents")))
+
+
+@query
+def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every whole text encoded and decoded again."""
+    ids = bpe.encode(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+    return bpe.decode(ids).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
