@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, histogram, quality, url_filter
+from riskmart.llm import bpe, chat, histogram, merkle, quality, url_filter
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -159,3 +161,45 @@ def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.decode(ids).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+def _edit_rows(batches):
+    """Fingerprints of texts, their edited forms and the next texts, and how alike they are."""
+    for batch in batches:
+        made = []
+        known: dict[str, str] = {}
+        for text, after in zip(batch["text"], batch["next_text"]):
+            own = known.get(text) or merkle.fingerprint(text)
+            following = merkle.fingerprint(after)
+            known = {after: following}  # the next row's own
+            half = len(text) // 2
+            edited = text[: len(text) - half] + after[:half]
+            other = merkle.fingerprint(edited)
+            spans = merkle.edits(own, other)
+            made.append(
+                (
+                    len(text),
+                    hashlib.sha256(edited.encode("utf-8")).hexdigest(),
+                    own,
+                    other,
+                    merkle.likeness(own, other),
+                    merkle.likeness(own, following),
+                    spans[0][0] if spans else None,
+                )
+            )
+        frame = pd.DataFrame(made, columns=["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edited_from"])
+        frame.insert(0, "doc_id", batch["doc_id"])
+        frame["edited_from"] = frame["edited_from"].astype("Int64")
+        frame["doc_id"] = frame["doc_id"].astype("Int64")
+        yield frame
+
+
+@query
+def op4_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every text and of its edited form; edited_from is where their trees part."""
+    pairs = merkle.with_next(table(spark, sf, "documents"))
+    return pairs.mapInPandas(
+        _edit_rows,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double, edited_from long",
+    )
