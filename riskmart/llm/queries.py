@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, histogram, merkle, quality, url_filter
+from riskmart.llm import bpe, chat, histogram, merkle, quality, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -203,3 +203,21 @@ def op4_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, edited_from long",
     )
+
+
+@query
+def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    folder, archives = warc.archive(table(spark, sf, "pages"))
+    return warc.read_archives(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op5_warc"] = """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+      FROM pages),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keep FROM p),
+    r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keep THEN keep END AS refers_to FROM m)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+    FROM r
+"""
