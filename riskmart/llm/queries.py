@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, histogram, merkle, quality, url_filter, warc
+from riskmart.llm import bpe, chat, histogram, merkle, mixing, quality, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -221,3 +221,11 @@ ORACLES["op5_warc"] = """
     SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
     FROM r
 """
+
+
+@query
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    drawn = mixing.draws(docs, mixing.plan(docs))
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))

@@ -100,7 +100,7 @@ class ArchiveWriter:
     def __init__(self, out: BinaryIO, sample_bytes: int = SAMPLE_BYTES):
         self._out = out
         self._waiting: list[bytes] | None = []
-        self._room = sample_bytes
+        self._sample_bytes, self._held = sample_bytes, 0
         self.written = 0
 
     def write(self, record: bytes) -> None:
@@ -108,12 +108,12 @@ class ArchiveWriter:
             self._frame(record)
             return
         self._waiting.append(record)
-        self._room -= len(record)
-        if self._room <= 0:
+        self._held += len(record)
+        if self._held >= self._sample_bytes:
             self._begin()
 
     def _begin(self) -> None:
-        waiting, self._waiting = self._waiting or [], None
+        waiting, self._waiting, self._held = self._waiting or [], None, 0
         learnt = dictionary([r[:65_536] for r in waiting])
         if learnt:
             self._put(struct.pack("<II", DICTIONARY_FRAME, len(learnt)) + learnt)
@@ -131,7 +131,7 @@ class ArchiveWriter:
     @property
     def size(self) -> int:
         """Bytes written, and those that wait."""
-        return self.written + sum(map(len, self._waiting or ()))
+        return self.written + self._held
 
     def close(self) -> None:
         if self._waiting is not None:
