@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, histogram, merkle, mixing, quality, url_filter, warc
+from riskmart.llm import bpe, chat, forest, histogram, merkle, mixing, quality, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -229,3 +229,9 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     drawn = mixing.draws(docs, mixing.plan(docs))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
+@query
+def op9_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return forest.near_copies(table(spark, sf, "documents"))
