@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, forest, histogram, merkle, mixing, quality, url_filter, warc
+from riskmart.llm import bpe, chat, forest, histogram, lines, merkle, mixing, quality, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -235,3 +235,9 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op9_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     """Class and number of links of every document."""
     return forest.near_copies(table(spark, sf, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without duplicate lines."""
+    return lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))

@@ -76,16 +76,17 @@ def _numbers(cell: pa.Table, name: str) -> np.ndarray:
     return cell.column(name).to_numpy()
 
 
-def _meeting(cell: pa.Table, threshold: float) -> np.ndarray:
+def _meeting(cell: pa.Table, threshold: float, sized: bool) -> np.ndarray:
     """[a, b], a < b: whether this is the first node the two share, and their sizes allow the similarity."""
     m = cell.num_rows
     keys = cell.column("keys").combine_chunks().flatten().to_numpy().reshape(m, -1)
     tree = int(cell.column("tree")[0].as_py())
-    n = _numbers(cell, "n").astype(np.float64)
     pairs = np.triu(np.ones((m, m), dtype=bool), 1)
     for t in range(tree):
         pairs &= keys[:, t][:, None] != keys[:, t][None, :]
-    pairs &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]) * (1 - 1e-12)
+    if sized:
+        n = _numbers(cell, "n").astype(np.float64)
+        pairs &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]) * (1 - 1e-12)
     if cell.column("i")[0] != cell.column("j")[0]:
         block = _numbers(cell, "block")
         pairs &= block[:, None] != block[None, :]
@@ -133,11 +134,11 @@ def _roots(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: Shingler, threshold: float) -> DataFrame:
+def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: Shingler, threshold: float, sized: bool = True) -> DataFrame:
     """(u, v, n_links) for every item that has links: v is an item of its component, n_links counts copies too.
 
-    `items` is a stored table (item, n, copies, keys) of different sets, n their sizes, copies how many
-    rows have the set, keys as many for each. `texts` takes a table of items and returns (item, text)
+    `items` is a stored table (item, n, copies, keys) of different sets, n their sizes (bounds on
+    them if not `sized`), copies how many rows have the set, keys as many for each. `texts` takes a table of items and returns (item, text)
     of them, and `shingler` makes their sets again. Only items that have a pair to compare are
     fetched. Rows of one item may be many, one for each cell it has links in.
     """
@@ -158,7 +159,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
         for group in _cells(batches):
             if group.num_rows < 2:
                 continue
-            pairs = _meeting(group, threshold)
+            pairs = _meeting(group, threshold, sized)
             wanted = pairs.any(axis=0) | pairs.any(axis=1)
             if wanted.any():
                 out.append(group.filter(pa.array(wanted)))
@@ -180,7 +181,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
         for group in _cells(batches):
             if group.num_rows < 2:
                 continue
-            pairs = _meeting(group, threshold)
+            pairs = _meeting(group, threshold, sized)
             if not pairs.any():
                 continue
             sets = shingler(group.column("text").to_pylist())
