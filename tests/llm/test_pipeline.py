@@ -1,0 +1,85 @@
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from riskmart.llm import bpe, mixing
+from tests.llm.test_forest import brute as classes_by_brute_force
+from tests.llm.test_lines import brute as lines_by_brute_force
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fine(text):
+    """The quality rules by definition."""
+    words = WORD.findall(text or "")
+    n = len(words)
+    windows = [tuple(words[i : i + 5]) for i in range(n - 4)]
+    counts = Counter(windows)
+    again = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(5)}
+    named = [x for x in (text or "").split("\n") if WORD.search(x)]
+    doubled = len(named) - len(set(named))
+    chars, marks = sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or ""))
+    bad = n < 10 or 100 * len(again) > 20 * n or 10 * marks > n or chars < 2 * n or chars > 15 * n
+    return not (bad or (doubled >= 3 and 10 * doubled > n))
+
+
+def test_every_stage_by_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = frame.columns
+    steps = dict(corpus_pipeline.STAGES)
+
+    docs = sorted((k, t) for k, t in docs if fine(t))
+    frame = steps["quality rules"](spark, frame, SF).persist()
+    assert frame.columns == columns and sorted((r.doc_id, r.text) for r in frame.collect()) == docs
+
+    cut = [eval(x) for x in lines_by_brute_force(docs)]
+    docs = sorted((k, t) for k, t, _, _ in cut if WORD.search(t))
+    frame = steps["line dedup"](spark, frame, SF).persist()
+    assert frame.columns == columns
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in frame.collect()) == [(k, t, len(t)) for k, t in docs]
+
+    stays = {k for k, c, _, _ in map(eval, classes_by_brute_force(docs)) if k == c}
+    docs = [(k, t) for k, t in docs if k in stays]
+    frame = steps["near-copy join"](spark, frame, SF).persist()
+    assert frame.columns == columns and sorted((r.doc_id, r.text) for r in frame.collect()) == docs
+
+    plan = mixing.plan(frame)
+    times = {r.doc_id: len(r.draws) for r in mixing.draws(frame, plan).collect()}
+    frame = steps["mixing"](spark, frame, SF).persist()
+    assert frame.columns == columns
+    rows = frame.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter({d: times[d[0]] for d in docs if times[d[0]]})
+    taken = Counter()
+    for r in rows:
+        taken[r.source] += len(WORD.findall(r.text))
+    longest = max(len(WORD.findall(t)) for _, t in docs)
+    assert all(abs(taken[s.name] - s.target) <= longest / 2 for s in plan.sources)
+
+    library = Tokenizer.from_file(public_tokenizers.path(bpe.TOKENIZER))
+    for r in steps["token ids"](spark, frame, SF).collect():
+        want = library.encode(dict(docs)[r.doc_id], add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.ids), dtype="<u4").tolist() == want and r.n_tokens == len(want)
+
+    run = corpus_pipeline.run(spark, SF).collect()
+    assert Counter(r.doc_id for r in run) == Counter(r.doc_id for r in rows)
+
+
+def test_odd_tables(spark, tmp_path):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    good = " ".join(f"word{i}" for i in range(40))
+    for name, rows in {
+        "empty": [],
+        "nulls": [(None, None, None, None, None), (1, None, "en", None, 3), (None, good, None, None, None), (2, "", None, "s", 0)],
+        "repeated": [(5, good, "en", "s", 9)] * 4 + [(6, good + " more", "en", "s", 9)],
+    }.items():
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {r.doc_id for r in got} <= {r[0] for r in rows}
+        assert len(got) <= 2 * len(rows) and all(r.n_tokens >= 40 for r in got)
