@@ -1,22 +1,53 @@
-"""A training-corpus pipeline over `documents`, from quality rules to token ids."""
+"""A training corpus from `documents`: quality rules, line dedup, near-copy join, mixing, token ids."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskmart.llm import quality
+from riskmart.llm import bpe, forest, lines, mixing, quality
+from riskmart.llm.common import n_words
 from riskmart.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule rejects."""
     return quality.keep(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand elsewhere; those left without a word go. n_chars is counted anew."""
+    cut = lines.dedup_lines(docs).filter(n_words(F.col("text")) > 0)
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return forest.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it, in the mix's order."""
+    return mixing.mixed(docs, mixing.plan(docs)).select(*docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, 4 bytes each, and how many."""
+    return bpe.encode(docs).select("doc_id", "lang", "source", "n_tokens", "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near-copy join", near_copies),
+    ("mixing", mix_sources),
+    ("token ids", token_ids),
+]
+#: SQL has neither the hashes of the mix nor the tokenizer; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
