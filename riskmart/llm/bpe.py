@@ -20,7 +20,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +33,9 @@ from riskmart.llm.common import others, text_of
 
 TOKENIZER = "word_bpe_49k.json"
 #: Different words whose ids a worker remembers: two generations of this many.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Characters of a batch that are encoded before they are handed on.
+PIECE = 1_000_000
 _NEVER = 1 << 60
 
 
@@ -233,13 +235,28 @@ def codec(tokenizer: str = TOKENIZER) -> WordCodec:
         return WordCodec(json.load(f))
 
 
+def _pieces(texts: pd.Series) -> Iterator[list]:
+    """A batch in parts of about PIECE characters, so that what a worker makes of it stays small."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= PIECE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def encoded(text: Column, tokenizer: str = TOKENIZER) -> Column:
     """Ids of a text, 4 bytes each, little-endian; empty for null."""
 
     @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = codec(tokenizer).encode
-        return pd.Series([encode(t) for t in texts], dtype=object)
+        for batch in batches:
+            for part in _pieces(batch):
+                yield pd.Series([encode(t) for t in part], dtype=object)
 
     return ids(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -248,13 +265,19 @@ def decoded(ids: Column, tokenizer: str = TOKENIZER) -> Column:
     """Text of packed ids; empty for null."""
 
     @F.pandas_udf("string")
-    def text(packed: pd.Series) -> pd.Series:
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decode = codec(tokenizer).decode
-        return pd.Series([decode(p) for p in packed], dtype=object)
+        for batch in batches:
+            for part in _pieces(batch):
+                yield pd.Series([decode(p) for p in part], dtype=object)
 
     return text(F.coalesce(ids, F.lit(b"")))
 
 
+def _counted(df: DataFrame) -> DataFrame:
+    return df.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+
+
 def encode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """Adds ids (packed, 4 bytes each) and n_tokens to every row; whole texts, no shuffle.
 
@@ -263,10 +286,25 @@ def encode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> Dat
     the paths of frequent words; a text takes memory for its own words only.
     """
     kept = others(df, ("ids", "n_tokens"))
-    with_ids = df.select(*kept, encoded(text_of(text), tokenizer).alias("ids"))
-    return with_ids.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    return _counted(df.select(*kept, encoded(text_of(text), tokenizer).alias("ids")))
 
 
 def decode(df: DataFrame, ids: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
     """Adds `decoded`, the text of packed ids."""
     return df.select(*others(df, ("decoded",)), decoded(F.col(ids), tokenizer).alias("decoded"))
+
+
+def round_trip(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+    """`decode(encode(df))` by one worker a task, which holds the automaton once."""
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(tokenizer)
+        for batch in batches:
+            for part in _pieces(batch):
+                ids = [own.encode(t) for t in part]
+                yield pd.DataFrame({"ids": ids, "decoded": [own.decode(p) for p in ids]})
+
+    kept = others(df, ("ids", "n_tokens", "decoded"))
+    made = df.select(*kept, both(text_of(text)).alias("__both")).select(*kept, "__both.ids", "__both.decoded")
+    return _counted(made).select(*kept, "ids", "n_tokens", "decoded")

@@ -157,8 +157,8 @@ def op10_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every whole text encoded and decoded again."""
-    ids = bpe.encode(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
-    return bpe.decode(ids).select(
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

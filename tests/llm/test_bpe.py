@@ -93,6 +93,7 @@ def test_frame_with_odd_rows(spark, library):
     rows = [(1, "Hello there", "x", 1), (1, "Hello there", "x", 1), (None, None, None, None), (2, "", "y", 2), (3, long, "z", 3)]
     df = spark.createDataFrame(rows, schema)
     got = bpe.decode(bpe.encode(df)).collect()
+    assert bpe.round_trip(df).collect() == got
     assert got[0].__fields__ == ["doc_id", "text", "ids", "n_tokens", "decoded"]
     assert len(got) == 5
     for row in got:
