@@ -14,6 +14,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.functions.cleaning import enforce_schema
+from riskmart.operators import modeling
 from riskmart.plans import jobs
 from riskmart.schemas import CLICKSTREAM_TYPES, SOURCES, raw_schema
 from riskmart.session import SETTINGS
@@ -29,9 +30,8 @@ FILES = {
 
 
 def read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A source file under its declared schema, columns in the order of its header."""
-    header = spark.read.option("header", True).csv(path).columns  # reads one line
-    return store.read_source(spark, path, raw_schema(name, header))
+    """Source files under their declared schema, columns in the order of each header."""
+    return store.read_source(spark, path, raw_schema(name))
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -45,7 +45,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--start")
     parser.add_argument("--end")
     parser.add_argument("--modelname")
-    parser.add_argument("--draws", type=int, default=4)
+    parser.add_argument("--draws", type=int, default=modeling.DRAWS)
+    parser.add_argument("--parallelism", type=int, default=modeling.PARALLELISM)
     options = parser.parse_args(arguments)
 
     builder = SparkSession.builder.appName("riskmart")
@@ -67,7 +68,7 @@ def main(arguments: list[str] | None = None) -> None:
         bank = f"{options.root}/model_bank"
         if options.job == "train":
             labels = store.read_table(spark, f"{options.root}/gold/label_store")
-            trained = jobs.train_model(labels, clicks, options.snapshotdate, bank, draws=options.draws)
+            trained = jobs.train_model(labels, clicks, options.snapshotdate, bank, draws=options.draws, parallelism=options.parallelism)
             trained.card.show(truncate=False)
         else:
             jobs.score_range(clicks, bank, options.modelname, options.root, start, end)

@@ -5,7 +5,7 @@ ANSI mode is on, so a bad value must be asked for as null: `try_cast`, `try_divi
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,7 +98,7 @@ def _typed(field: T.StructField, name: str, to: str | None) -> Column:
     return source.try_cast(to).alias(name)
 
 
-def complete_rows(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Rows without any null; the first `n` where a sample to look at is wanted."""
+def complete_rows(df: DataFrame, n: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Rows without any null; the first `n` by `order`, or by all columns, where a sample to look at is wanted."""
     complete = df.na.drop()
-    return complete if n is None else complete.limit(n)
+    return complete if n is None else complete.orderBy(*(order or df.columns)).limit(n)

@@ -102,6 +102,11 @@ def default_rate_by_emi(
     return default_rate_by_bin(financials, labels, X.bin_emi(burden, edges, bins), bins)
 
 
+def final_instalments(silver_loans: DataFrame, instalment: int = 10) -> DataFrame:
+    """Loans at their last instalment, the cohort of outcomes that no longer change."""
+    return silver_loans.filter(F.col("installment_num") == instalment)
+
+
 def bad_rate_by_mob(
     silver_loans: DataFrame, dpd: int = 30, started_before: str | date | None = "2024-01-01"
 ) -> DataFrame:
@@ -148,8 +153,14 @@ def feature_profile(clickstream: DataFrame, labels: DataFrame, columns: Sequence
         means.unpivot(["default"], list(columns), "period", "mean_count")
         .groupBy(X.column_number("period").alias("period_num"))
         .pivot("default", [0, 1])
-        .agg(F.first("mean_count"))
-        .na.fill(0.0, ["0", "1"])
-        .withColumnsRenamed({"0": "Non-Default", "1": "Default"})
+        .agg(F.first("mean_count").alias("mean"), F.count(F.lit(1)).alias("n"))
+        # An outcome that nobody has counts 0; one whose values are all missing has no mean.
+        .select(
+            "period_num",
+            *[
+                F.when(F.coalesce(f"{outcome}_n", F.lit(0)) == 0, F.lit(0.0)).otherwise(F.col(f"{outcome}_mean")).alias(name)
+                for outcome, name in ((0, "Non-Default"), (1, "Default"))
+            ],
+        )
         .orderBy("period_num")
     )

@@ -5,9 +5,13 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from riskmart.schemas import SNAPSHOT
 from riskmart.sources import store
 
+BATCH = "batch"
+
 
 def ingest(
     source: DataFrame,
@@ -19,10 +23,23 @@ def ingest(
 ) -> Observation:
     """Write the snapshots of a source from `start` to `end` to `root`/`name` in one pass.
 
-    Returns the row count of that pass. A single snapshot is a range of one day.
+    Returns the row count of that pass. A bound of None is open; a single snapshot is a range of one
+    day. Snapshots of the range that the source no longer has go. What a stream has brought stays.
     """
-    if start is not None:
-        source = store.between(source, start, end if end is not None else start)
-    counted, rows = store.observed(source, f"bronze_{name}")
-    store.write_snapshots(counted, f"{root}/{name}", fmt=fmt)
+    counted, rows = store.observed(store.between(source, start, end), f"bronze_{name}")
+    write_load(counted, f"{root}/{name}", BATCH, fmt, start, end)
     return rows
+
+
+def write_load(
+    df: DataFrame, root: str, load: str, fmt: str = "parquet", start: str | date | None = None, end: str | date | None = None
+) -> None:
+    """Replace what `load` has written before, in the range, by `df`."""
+    inside = store.days(start, end)
+    store.write_snapshots(
+        df.withColumn(store.LOAD, F.lit(load)),
+        root,
+        (SNAPSHOT, store.LOAD),
+        fmt,
+        lambda day, by: by == load and inside(day),
+    )

@@ -7,9 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.calendar import as_date
 from riskmart.functions.labels import label_definition, past_due_flag
-from riskmart.operators.joins import ROWS_PER_TASK, spread_join
+from riskmart.operators.joins import outer_chain
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
 from riskmart.sources import store
 
@@ -27,13 +26,17 @@ def label_store(silver_loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFra
     )
 
 
-def static_features(attributes: DataFrame, financials: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Attributes with the financials of the same customer and snapshot."""
-    return spread_join(attributes, financials, KEYS, "left", rows_per_task)
+def static_features(attributes: DataFrame, financials: DataFrame) -> DataFrame:
+    """Attributes with the financials of the same customer and snapshot.
+
+    The right side has a row for each key, so a hot key can only be on the left, where adaptive
+    execution splits it. The same holds for the joins of version 2 below.
+    """
+    return attributes.join(financials, KEYS, "left")
 
 
 def attributes_needed(
-    attributes: DataFrame, clickstream: DataFrame, start: str | date, end: str | date
+    attributes: DataFrame, clickstream: DataFrame, start: str | date | None, end: str | date | None
 ) -> DataFrame:
     """The attribute rows that version 2 of the store reads for the snapshots of a range.
 
@@ -41,55 +44,27 @@ def attributes_needed(
     joined and written for one snapshot then does not grow with the history.
     """
     clicked = clickstream.select(CUSTOMER).distinct().withColumn("__clicked", F.lit(True))
-    built = F.col(SNAPSHOT).between(as_date(start), as_date(end))
+    built = store.in_range(start, end)
     return attributes.join(clicked, CUSTOMER, "left").filter(built | F.col("__clicked")).drop("__clicked")
 
 
-def feature_store_v1(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def feature_store_v1(clickstream: DataFrame, attributes: DataFrame, financials: DataFrame) -> DataFrame:
     """Everything known of a customer in a snapshot, from whichever sources have it."""
-    known = clickstream.select(KEYS).unionAll(financials.select(KEYS))
-    moving = spread_join(clickstream, financials, KEYS, "full", rows_per_task)
-    return spread_join(moving, attributes, KEYS, "full", rows_per_task, key_tables=(known, attributes))
+    return outer_chain([clickstream, financials, attributes], KEYS)
 
 
 def feature_store_v2(
-    clickstream: DataFrame,
-    static: DataFrame,
-    start: str | date | None = None,
-    end: str | date | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
-    static_keys: DataFrame | None = None,
+    clickstream: DataFrame, static: DataFrame, start: str | date | None = None, end: str | date | None = None
 ) -> DataFrame:
     """Click rows with the customer's static features, and static rows without clicks.
 
     A click row joins the static features of every snapshot of its customer, one output row
-    each, so `static` holds all snapshots even if only some are built. The static rows of a
-    built snapshot whose customer has no clicks in it follow with null click features. All
-    snapshots from `start` to `end` are built in one pass.
-
-    `static_keys` is a table with the customers of `static` that is cheaper to count: the
-    attributes, where `static` is not yet written.
+    each, so `static` holds all snapshots even if only some are built; it has at most one row
+    of a customer for each snapshot. The static rows of a built snapshot whose customer has no
+    clicks in it follow with null click features. All snapshots from `start` to `end` are built
+    in one pass.
     """
-    built = static
-    if start is not None:
-        clickstream, built = (store.between(df, start, end if end is not None else start) for df in (clickstream, static))
-    clicked = spread_join(
-        clickstream,
-        static.drop(SNAPSHOT),
-        [CUSTOMER],
-        "left",
-        rows_per_task,
-        key_tables=(clickstream, static if static_keys is None else static_keys),
-    )
-    click_keys = clickstream.select(KEYS).distinct()
-    unclicked = spread_join(
-        built,
-        click_keys,
-        KEYS,
-        "left_anti",
-        rows_per_task,
-        key_tables=(built if static_keys is None else static_keys, click_keys),
-    )
+    clicks, built = (store.between(df, start, end) for df in (clickstream, static))
+    clicked = clicks.join(static.drop(SNAPSHOT), CUSTOMER, "left")
+    unclicked = built.join(clicks.select(KEYS), KEYS, "left_anti")
     return clicked.unionByName(unclicked, allowMissingColumns=True)

@@ -1,135 +1,33 @@
-"""Equi-join that spreads hot keys over many tasks."""
+"""Full outer equi-join of two joins that adaptive execution can split."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
-HOT_KEYS = 1000  # bound on the list of hot keys
-ROWS_PER_TASK = 5_000_000
-SAMPLE_OF_HOT_KEY = 1000  # rows a hot key is expected to have in the sample that finds it
-NULL_KEY_PARTS = 1024
 
-_I, _J, _L, _R = "__part_left", "__part_right", "__from_left", "__from_right"
-_COUNTS = ("__rows_left", "__rows_right")
+def outer_chain(tables: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
+    """`a.join(b, on, "full").join(c, on, "full")` and so on, for any number of tables.
 
+    Spark splits the tasks of a hot key in a left and in an anti-join, but not in a full outer
+    join. So the result is put together: each table's rows that no earlier table matches, left
+    joined with the tables after it. Every join has the same keys, so a table is shuffled once
+    for its chain; the anti-joins read key columns only. Rows with null keys match nothing.
 
-def _null_key(keys: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in keys])
-
-
-def _side_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    both = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
-        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
-    return both.groupBy(*keys).agg(F.sum("l").alias(_COUNTS[0]), F.sum("r").alias(_COUNTS[1]))
-
-
-def hot_keys(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-    limit: int = HOT_KEYS,
-) -> list[Row]:
-    """Keys with more rows on a side than a task should get, with their exact rows per side.
-
-    A sample, small against the keys but sure to show a hot one, names at most `limit`
-    candidates; only they are counted. A key beyond the limit holds less than 1/limit of the
-    rows and needs no splitting. What the sample says changes how a join is run, never what
-    it returns. Only key columns are read, and at most `limit` rows come to the driver.
+    Left joins need the rows of one key of the table on the right in one task: with a snapshot's
+    row per customer these are few. A hot key may be on the left, and null keys may be anywhere.
     """
     keys = list(on)
-    fraction = min(1.0, SAMPLE_OF_HOT_KEY / rows_per_task)
-    sides = [df.select(*keys) if fraction == 1.0 else df.select(*keys).sample(fraction, seed=1) for df in (left, right)]
-    most = F.greatest(*_COUNTS)
-    candidates = (
-        _side_counts(*sides, keys)
-        .filter(most > 0.8 * fraction * rows_per_task)
-        .orderBy(most.desc())
-        .limit(limit)
-        .drop(*_COUNTS)
-        .collect()
-    )
-    if not _joinable(candidates):
-        return candidates
-    listed = _as_table(left, keys, _joinable(candidates))
-    exact = _side_counts(*[df.select(*keys).join(listed, keys) for df in (left, right)], keys)
-    return exact.filter(most > rows_per_task).collect() + [c for c in candidates if not _joinable([c])]
-
-
-def _joinable(rows: list[Row]) -> list[Row]:
-    return [r for r in rows if None not in tuple(r)]
-
-
-def _as_table(like: DataFrame, keys: Sequence[str], rows: list[Row], extra: Sequence[str] = ()) -> DataFrame:
-    fields = [T.StructField(like.schema[c].name, like.schema[c].dataType) for c in keys]
-    fields += [T.StructField(c, T.LongType()) for c in extra]
-    # At most HOT_KEYS rows.
-    return F.broadcast(like.sparkSession.createDataFrame([tuple(r) for r in rows], T.StructType(fields)))
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
-    limit: int = HOT_KEYS,
-    key_tables: tuple[DataFrame, DataFrame] | None = None,
-) -> DataFrame:
-    """`left.join(right, on, how)` for inner, left, full and left_anti, with hot keys spread.
-
-    Without a hot key this is the plain join. With hot keys, their rows are dealt into parts on
-    each side and copied to every part of the other side, so each pair meets exactly once and
-    no task gets the whole key. A part may be empty on one side; for a key present on both
-    sides the unmatched rows an outer join then emits are not part of the result and are
-    dropped. Rows with a null key never match and are dealt out as well. For an anti-join only
-    the left rows are dealt; every part sees all the key's right rows.
-
-    The part comes from the row's content and its input partition, both the same when a lost
-    task is run again, and different for copies of a row from different partitions.
-
-    `key_tables` are tables with exactly the keys of the two sides, for sides whose keys are
-    dear to compute.
-    """
-    if how not in ("inner", "left", "full", "left_anti"):
-        raise ValueError(f"unsupported join type {how!r}")
-    keys = list(on)
-    found = hot_keys(*(key_tables or (left, right)), keys, rows_per_task, limit)
-    if not found:
-        return left.join(right, keys, how)
-    hot = _as_table(left, keys, _joinable(found), _COUNTS)
-
-    def parts(c: str) -> Column:
-        if how == "left_anti" and c == _COUNTS[1]:
-            return F.lit(1).cast("long")
-        return F.greatest(F.coalesce(F.ceil(F.col(c) / rows_per_task), F.lit(1)), F.lit(1))
-
-    def dealt(df: DataFrame, own: str, other: str, counts: Sequence[str], mark: str) -> DataFrame:
-        deal = F.xxhash64(*df.columns, F.spark_partition_id())
-        own_parts = F.when(_null_key(keys), NULL_KEY_PARTS).otherwise(parts(counts[0]))
-        other_parts = parts(counts[1])
-        return (
-            df.withColumn("__deal", deal)
-            .join(hot, keys, "left")
-            .select(
-                *df.columns,
-                F.pmod("__deal", own_parts).alias(own),
-                F.explode(F.sequence(F.lit(0).cast("long"), other_parts - 1)).alias(other),
-                F.coalesce((F.col(counts[0]) > 0) & (F.col(counts[1]) > 0), F.lit(False)).alias(mark),
-            )
-        )
-
-    a = dealt(left, _I, _J, _COUNTS, _L)
-    b = dealt(right, _J, _I, _COUNTS[::-1], _R)
-    joined = a.join(b, [*keys, _I, _J], how)
-    if how in ("left", "full"):
-        one_sided = F.col(_L).isNull() | F.col(_R).isNull()
-        joined = joined.filter(~(one_sided & F.coalesce(_L, _R)))
-    return joined.drop(_I, _J, _L, _R)
+    parts = []
+    for i, table in enumerate(tables):
+        rows = table
+        for earlier in tables[:i]:
+            rows = rows.join(earlier.select(keys), keys, "left_anti")
+        for later in tables[i + 1 :]:
+            rows = rows.join(later, keys, "left")
+        parts.append(rows)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole

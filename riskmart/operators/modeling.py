@@ -14,19 +14,19 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmart.calendar import TrainingWindows, training_windows
-from riskmart.operators.joins import ROWS_PER_TASK, spread_join
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
-from riskmart.session import cut_lineage
+from riskmart.session import cut_lineage, scratch_scope
 from riskmart.sources import store
 
 SPLIT_SEED = 88
 TRAIN_SHARE = 0.8
 FOLDS = 3
-_BUCKETS = 1000
+DRAWS = 100
+PARALLELISM = 4
 
 # The search grid. Names are those of the Spark estimator.
 SEARCH_GRID: dict[str, list] = {
@@ -45,10 +45,35 @@ def feature_columns(df: DataFrame, prefix: str = "fe_") -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 
 
-def hash_bucket(seed: int | str, keys: Sequence[str], buckets: int = _BUCKETS) -> Column:
-    """A bucket from an md5 of seed and key: the same under any partitioning, no shuffle."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+def key_hash(seed: int | str, keys: Sequence[str]) -> Column:
+    """md5 of seed and key as text: the same under any partitioning, no shuffle."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+
+
+def hash_bucket(seed: int | str, keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.conv(F.substring(key_hash(seed, keys), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+
+
+def _last_hashes(rows: DataFrame, share: float) -> DataFrame:
+    """(label, last): the hash up to which `share` of the label's rows lie, exact to a row.
+
+    Rows are counted by the first three digits of the hash, 4096 groups a label, and a running count
+    finds the group with the last row; only rows of that group are ranked. No task holds a label.
+    """
+    label = F.col("label").eqNullSafe(F.col("of_label"))
+    lead = F.substring("hash", 1, 3)
+    per_label = Window.partitionBy("label")
+    counted = rows.groupBy("label", lead.alias("lead")).agg(F.count(F.lit(1)).alias("n"))
+    running = counted.withColumn("seen", F.sum("n").over(per_label.orderBy("lead"))).withColumn(
+        "wanted", F.round(F.sum("n").over(per_label) * F.lit(share)).cast("long")
+    )
+    # One row for each label.
+    found = running.filter((F.col("seen") >= F.col("wanted")) & (F.col("seen") - F.col("n") < F.col("wanted"))).select(
+        F.col("label").alias("of_label"), F.col("lead").alias("of_lead"), (F.col("wanted") - F.col("seen") + F.col("n")).alias("rank")
+    )
+    inside = rows.join(F.broadcast(found), label & (lead == F.col("of_lead")))
+    ranked = inside.withColumn("at", F.rank().over(Window.partitionBy("of_label").orderBy("hash")))
+    return ranked.filter("at <= rank").groupBy("of_label").agg(F.max("hash").alias("last"))
 
 
 def assign_split(
@@ -58,27 +83,30 @@ def assign_split(
     train_share: float = TRAIN_SHARE,
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
-    """`split`: oot by date; train or test by a hash of the key, so the same share of each label."""
-    in_train = hash_bucket(seed, keys) < round(train_share * _BUCKETS)
+    """`split`: oot by date; of the other rows of each label exactly `train_share`, by a hash of the key, train.
+
+    Rows are as many as the share says, rounded; only rows with equal keys may add to that.
+    """
     day = F.col(SNAPSHOT)
-    return df.withColumn(
-        "split",
-        F.when(day.between(windows.oot_start, windows.oot_end), "oot").when(
-            day.between(windows.train_test_start, windows.train_test_end), F.when(in_train, "train").otherwise("test")
-        ),
+    earlier = day.between(windows.train_test_start, windows.train_test_end)
+    rows = df.filter(earlier).select("label", key_hash(seed, keys).alias("hash"))
+    last = F.broadcast(_last_hashes(rows, train_share))  # one row for each label
+    split = F.when(day.between(windows.oot_start, windows.oot_end), "oot").when(
+        earlier, F.when(key_hash(seed, keys) <= F.col("last"), "train").otherwise("test")
     )
+    return df.join(last, F.col("label").eqNullSafe(F.col("of_label")), "left").select(*df.columns, split.alias("split"))
 
 
-def training_set(
-    labels: DataFrame,
-    features: DataFrame,
-    train_date: str | date | Column,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Labels of the training calendar with the features of the same customer and snapshot."""
+def training_set(labels: DataFrame, features: DataFrame, train_date: str | date | Column) -> DataFrame:
+    """Labels of the training calendar with the features of the same customer and snapshot.
+
+    Splits are given to the labels, before the join. The feature store has a row for each key, so a
+    hot key can only be on the left, where adaptive execution splits it.
+    """
     windows = training_windows(train_date)
-    in_range = [store.between(df, windows.train_test_start, windows.oot_end) for df in (labels, features)]
-    return assign_split(spread_join(*in_range, [CUSTOMER, SNAPSHOT], "left", rows_per_task), windows)
+    labels, features = [store.between(df, windows.train_test_start, windows.oot_end) for df in (labels, features)]
+    marked = assign_split(labels, windows).join(features, [CUSTOMER, SNAPSHOT], "left")
+    return marked.select(*[c for c in marked.columns if c != "split"], "split")
 
 
 def split_stats(df: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
@@ -127,24 +155,51 @@ def fit_scaler(train: DataFrame, columns: Sequence[str]) -> Scaler:
     return Scaler({c: stats[f"m_{c}"] or 0.0 for c in columns}, {c: stats[f"s_{c}"] or 1.0 for c in columns})
 
 
-def auc(scored: DataFrame, score: str, label: str = "label") -> float:
-    """Exact area under the ROC curve, ties counted half; the sort is distributed."""
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, numBins=0)
-    return evaluator.evaluate(scored.select(F.col(score).cast("double"), F.col(label).cast("double")))
+def auc_by_split(scored: DataFrame, score: str, label: str = "label") -> DataFrame:
+    """(split, auc): exact area under the ROC curve of every split, ties counted half, in one pass.
+
+    Null where a split lacks a class; rows without a score or label do not count. Scores are counted
+    by class, ranges of them are sorted apart, and the negatives below a range come from a running
+    sum over the ranges: no task holds a split.
+    """
+    value, positive = F.col(score).cast("double"), F.col(label).cast("double")
+    known = scored.filter(value.isNotNull() & ~F.isnan(value) & positive.isNotNull())
+    counted = known.groupBy("split", value.alias("score")).agg(
+        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
+    )
+    # Stored, so that a range keeps its number when a lost task is run again.
+    ranged = cut_lineage(counted.repartitionByRange("split", "score").withColumn("part", F.spark_partition_id()), "scores")
+    # One row for each split and range.
+    parts = ranged.groupBy("split", "part").agg(F.sum("neg").alias("n"))
+    earlier = Window.partitionBy("split").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("split", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0.0)).alias("before"))
+    lower = Window.partitionBy("split", "part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("before") + F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
+    sums = (
+        ranged.join(parts, ["split", "part"])
+        .withColumn("wins", F.col("pos") * (below + F.col("neg") / 2))
+        .groupBy("split")
+        .agg(F.sum("wins").alias("wins"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    )
+    return sums.select("split", F.try_divide("wins", F.col("pos") * F.col("neg")).alias("auc"))
+
+
+def auc(scored: DataFrame, score: str, label: str = "label") -> float | None:
+    """AUC of all rows as one split; null without both classes."""
+    with scratch_scope(scored.sparkSession):
+        row = auc_by_split(scored.withColumn("split", F.lit("all")), score, label).first()
+    return row["auc"] if row else None
 
 
-def gini(area: float) -> float:
-    return round(2 * area - 1, 3)
+def gini(area: float | None) -> float | None:
+    return None if area is None else round(2 * area - 1, 3)
 
 
 def auc_gini(scored: DataFrame, score: str, splits: Sequence[str] = ("train", "test", "oot")) -> DataFrame:
-    """AUC and Gini of a score on each split. Only the metrics leave the cluster."""
-    scored = cut_lineage(scored.select("split", "label", score), "scores")
-    rows = []
-    for split in splits:
-        area = auc(scored.filter(F.col("split") == split), score)
-        rows.append((split, round(area, 6), gini(area)))
-    return scored.sparkSession.createDataFrame(rows, "split string, auc double, gini double")
+    """AUC and Gini of a score on each split; null for a split that lacks a class or has no rows."""
+    asked = scored.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in splits])).alias("split"))
+    areas = asked.join(F.broadcast(auc_by_split(scored, score)), "split", "left")  # one row for each split
+    return areas.select("split", F.round("auc", 6).alias("auc"), F.round(2 * F.col("auc") - 1, 3).alias("gini"))
 
 
 def draw_params(
@@ -158,9 +213,9 @@ def draw_params(
 
 def random_search(
     train: DataFrame,
-    draws: int = 4,
+    draws: int = DRAWS,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     grid: Mapping[str, Sequence] = SEARCH_GRID,
     seed: int = SEARCH_SEED,
     fold_keys: Sequence[str] = (LOAN, SNAPSHOT),
@@ -192,9 +247,9 @@ class Trained:
 def train(
     dataset: DataFrame,
     train_date: str | date,
-    draws: int = 4,
+    draws: int = DRAWS,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
     grid: Mapping[str, Sequence] = SEARCH_GRID,
 ) -> Trained:
     """Scaler, search and best model on the train split; metrics on all splits.
@@ -254,10 +309,12 @@ def probability(model: Transformer, df: DataFrame, name: str = "model_prediction
     return model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias(name))
 
 
-def evaluate(model: Transformer, data: DataFrame, splits: Sequence[str]) -> dict[str, float]:
+def evaluate(model: Transformer, data: DataFrame, splits: Sequence[str]) -> dict[str, float | None]:
     """AUC of the probability on each split."""
-    scored = cut_lineage(probability(model, data).select("split", "label", "model_predictions"), "scores")
-    return {s: auc(scored.filter(F.col("split") == s), "model_predictions") for s in splits}
+    scored = probability(model, data).select("split", "label", "model_predictions")
+    with scratch_scope(data.sparkSession):
+        areas = {r["split"]: r["auc"] for r in auc_by_split(scored, "model_predictions").collect()}  # one row for each split
+    return {s: areas.get(s) for s in splits}
 
 
 def save_model(trained: Trained, bank: str) -> str:

@@ -20,13 +20,19 @@ def score(
     start: str | date | None = None,
     end: str | date | None = None,
 ) -> DataFrame:
-    if start is not None:
-        features = store.between(features, start, end if end is not None else start)
-    return probability(model, features).select(
+    return probability(model, store.between(features, start, end)).select(
         CUSTOMER, SNAPSHOT, F.lit(model_name).alias("model_name"), "model_predictions"
     )
 
 
-def write_predictions(predictions: DataFrame, root: str) -> None:
-    """Replace the model's predictions of the snapshots given."""
-    store.write_snapshots(predictions, root, partition_by=("model_name", SNAPSHOT))
+def write_predictions(
+    predictions: DataFrame, root: str, model_name: str, start: str | date | None = None, end: str | date | None = None
+) -> None:
+    """Replace the model's predictions of the snapshots from `start` to `end`."""
+    inside = store.days(start, end)
+    store.write_snapshots(
+        predictions,
+        root,
+        partition_by=("model_name", SNAPSHOT),
+        replace=lambda name, day: name == model_name and inside(day),
+    )

@@ -15,26 +15,26 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from riskmart.operators import bronze, gold, modeling, scoring, silver
-from riskmart.session import cut_lineage
+from riskmart.session import cut_lineage, scratch_scope
 from riskmart.sources import store
 
 FEATURE_SOURCES = ("clickstream", "attributes", "financials")
 
 
-def _write(df: DataFrame, root: str, name: str) -> dict[str, int]:
+def _write(df: DataFrame, root: str, name: str, start: str | date | None, end: str | date | None) -> dict[str, int]:
+    """Replace the snapshots of the range, those that are now empty too."""
     counted, rows = store.observed(df, name)
-    store.write_snapshots(counted, f"{root}/{name}")
+    store.write_snapshots(counted, f"{root}/{name}", replace=store.days(start, end))
     return {name: rows.get["rows"]}
 
 
 def _table(spark: SparkSession, root: str, name: str, start: str | date | None, end: str | date | None) -> DataFrame:
-    table = store.read_table(spark, f"{root}/{name}")
-    return table if start is None else store.between(table, start, end if end is not None else start)
+    return store.between(store.read_table(spark, f"{root}/{name}"), start, end)
 
 
 def ingest_snapshot(source: DataFrame, name: str, root: str, day: str | date) -> int:
     """Bronze for one snapshot of one source; returns its row count."""
-    return bronze.ingest(source, name, f"{root}/bronze", day).get["rows"]
+    return bronze.ingest(source, name, f"{root}/bronze", day, day).get["rows"]
 
 
 def backfill_features(
@@ -59,7 +59,7 @@ def backfill_features(
     def build(name: str) -> dict[str, int]:
         rows = bronze.ingest(sources[name], name, f"{root}/bronze", start, end).get["rows"]
         cleaned = clean[name](_table(spark, f"{root}/bronze", name, start, end))
-        return {f"bronze/{name}": rows} | _write(cleaned, root, f"silver/{name}")
+        return {f"bronze/{name}": rows} | _write(cleaned, root, f"silver/{name}", start, end)
 
     # The sources do not depend on each other: a small one need not wait for a large one.
     counts: dict[str, int] = {}
@@ -67,16 +67,17 @@ def backfill_features(
         for written in pool.map(inheritable_thread_target(spark)(build), FEATURE_SOURCES):
             counts |= written
     clicks, attributes, financials = (_table(spark, f"{root}/silver", n, start, end) for n in FEATURE_SOURCES)
-    if version >= 2:
-        attributes, financials = (store.read_table(spark, f"{root}/silver/{n}") for n in ("attributes", "financials"))
-        if start is not None:
-            attributes = gold.attributes_needed(attributes, clicks, start, end if end is not None else start)
-        # Both branches of the store read the static features: join them once.
-        static = cut_lineage(gold.static_features(attributes, financials), "static")
-        features = gold.feature_store_v2(clicks, static, start, end)
-    else:
-        features = gold.feature_store_v1(clicks, attributes, financials)
-    return counts | _write(features, root, "gold/feature_store")
+    with scratch_scope(spark):
+        if version >= 2:
+            attributes, financials = (store.read_table(spark, f"{root}/silver/{n}") for n in ("attributes", "financials"))
+            if start is not None or end is not None:
+                attributes = gold.attributes_needed(attributes, clicks, start, end)
+            # Both branches of the store read the static features: join them once.
+            static = cut_lineage(gold.static_features(attributes, financials), "static")
+            features = gold.feature_store_v2(clicks, static, start, end)
+        else:
+            features = gold.feature_store_v1(clicks, attributes, financials)
+        return counts | _write(features, root, "gold/feature_store", start, end)
 
 
 def backfill_labels(
@@ -90,17 +91,21 @@ def backfill_labels(
 ) -> dict[str, int]:
     """Bronze, silver and gold of the loans; row counts of every table written."""
     counts = {"bronze/loans": bronze.ingest(loans, "loans", f"{root}/bronze", start, end).get["rows"]}
-    counts |= _write(silver.loans(_table(spark, f"{root}/bronze", "loans", start, end)), root, "silver/loans")
+    counts |= _write(silver.loans(_table(spark, f"{root}/bronze", "loans", start, end)), root, "silver/loans", start, end)
     labels = gold.label_store(_table(spark, f"{root}/silver", "loans", start, end), dpd, mob)
-    return counts | _write(labels, root, "gold/label_store")
+    return counts | _write(labels, root, "gold/label_store", start, end)
 
 
 def train_model(
     labels: DataFrame, features: DataFrame, train_date: str | date, bank: str, **search: int
 ) -> modeling.Trained:
-    """Train on the calendar before `train_date` and put the model into the bank."""
-    trained = modeling.train(modeling.training_set(labels, features, train_date), train_date, **search)
-    modeling.save_model(trained, bank)
+    """Train on the calendar before `train_date` and put the model into the bank.
+
+    `search` sets draws, folds and parallelism: how many fits of the search run at once.
+    """
+    with scratch_scope(labels.sparkSession):
+        trained = modeling.train(modeling.training_set(labels, features, train_date), train_date, **search)
+        modeling.save_model(trained, bank)
     return trained
 
 
@@ -112,8 +117,9 @@ def score_range(
     start: str | date | None = None,
     end: str | date | None = None,
 ) -> DataFrame:
-    """Score the snapshots from `start` to `end` with a banked model and store the predictions."""
+    """Score the snapshots from `start` to `end` with a banked model, store the predictions and return them."""
     model = modeling.load_model(bank, version)
     path = f"{root}/gold/model_predictions"
-    scoring.write_predictions(scoring.score(model, features, version, start, end), path)
-    return store.read_table(features.sparkSession, path).filter(F.col("model_name") == version)
+    scoring.write_predictions(scoring.score(model, features, version, start, end), path, version, start, end)
+    stored = store.read_table(features.sparkSession, path).filter(F.col("model_name") == version)
+    return store.between(stored, start, end)

@@ -155,14 +155,17 @@ SELECT Customer_ID, label FROM (
   SELECT Customer_ID, label,
     row_number() OVER (PARTITION BY Customer_ID ORDER BY snapshot_date, loan_id, label) AS position
   FROM label_store) WHERE position = 1""",
-    "training_rows": f"""
-SELECT l.*, m.fe_1, m.fe_2, m.fe_3, CAST(m.fe_4 AS BIGINT) AS fe_4, m.fe_5,
-  CASE WHEN l.snapshot_date BETWEEN {TRAIN_DATE} - INTERVAL 2 MONTH AND {TRAIN_DATE} - INTERVAL 1 DAY THEN 'oot'
-       WHEN ('0x' || substr(md5(concat('88|', loan_id, '|', CAST(l.snapshot_date AS STRING))), 1, 8))::BIGINT % 1000 < 800
-       THEN 'train' ELSE 'test' END AS split
-FROM label_store l LEFT JOIN monthly_features m
-  ON l.Customer_ID = m.Customer_ID AND l.snapshot_date = m.snapshot_date
-WHERE l.snapshot_date BETWEEN {TRAIN_DATE} - INTERVAL 14 MONTH AND {TRAIN_DATE} - INTERVAL 1 DAY""",
+    "training_labels": f"""
+SELECT *, snapshot_date >= {TRAIN_DATE} - INTERVAL 2 MONTH AS late,
+  md5(concat('88|', loan_id, '|', CAST(snapshot_date AS STRING))) AS hash
+FROM label_store WHERE snapshot_date BETWEEN {TRAIN_DATE} - INTERVAL 14 MONTH AND {TRAIN_DATE} - INTERVAL 1 DAY""",
+    "training_rows": """
+SELECT l.* EXCLUDE (late, hash), m.fe_1, m.fe_2, m.fe_3, CAST(m.fe_4 AS BIGINT) AS fe_4, m.fe_5,
+  CASE WHEN late THEN 'oot'
+       WHEN rank() OVER (PARTITION BY late, label ORDER BY hash) <= round(0.8 * count(*) OVER (PARTITION BY late, label)) THEN 'train'
+       ELSE 'test' END AS split
+FROM training_labels l LEFT JOIN monthly_features m
+  ON l.Customer_ID = m.Customer_ID AND l.snapshot_date = m.snapshot_date""",
 }
 
 PARENTS = {
@@ -178,7 +181,8 @@ PARENTS = {
     "static": ["silver_attributes", "silver_financials"],
     "gold_v2": ["silver_clicks", "static"],
     "first_label": ["label_store"],
-    "training_rows": ["label_store", "monthly_features"],
+    "training_labels": ["label_store"],
+    "training_rows": ["training_labels", "monthly_features"],
 }
 
 
@@ -286,7 +290,8 @@ SELECT split, round(area, 6) AS auc, round(2 * area - 1, 3) AS gini FROM (
   SELECT split, (sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)))::DOUBLE AS area FROM (
     SELECT split, pos, neg, sum(neg) OVER (PARTITION BY split ORDER BY score) - neg AS below FROM (
       SELECT split, coalesce(fe_2, 0) AS score, CAST(sum(label) AS DOUBLE) AS pos, CAST(sum(1 - label) AS DOUBLE) AS neg
-      FROM training_rows GROUP BY 1, 2)) GROUP BY 1)"""
+      FROM training_rows GROUP BY 1, 2)) GROUP BY 1)
+UNION ALL SELECT 'defaults', NULL, NULL UNION ALL SELECT 'empty', NULL, NULL"""
 
 
 def _counts(source: str) -> str:
@@ -347,7 +352,19 @@ FROM (SELECT min(snapshot_date) AS a, max(snapshot_date) AS b FROM loans)""",
     "snapshot_ingest": _loan_keys("snapshot_date = DATE '2000-03-01'"),
     "date_range": _loan_keys("snapshot_date BETWEEN DATE '2000-07-01' AND DATE '2001-08-31'"),
     "bronze_backfill": _counts("loans"),
+    "rerun_backfill": _with(
+        "SELECT snapshot_date, count(*) AS row_count FROM loans WHERE snapshot_date <> DATE '2000-03-01' GROUP BY 1", "loans"
+    ),
     "csv_source": _ATTRIBUTES,
+    "mixed_bronze": """
+SELECT snapshot_date, count(*) AS row_count FROM (
+  SELECT CAST(ts AS DATE) AS snapshot_date FROM events
+  UNION ALL
+  SELECT CAST(ts AS DATE) FROM events
+  WHERE event_type = 'view' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20') GROUP BY 1""",
+    "final_instalments": _with(
+        "SELECT loan_id, Customer_ID, snapshot_date, mob, dpd FROM silver_loans WHERE installment_num = 7", "silver_loans"
+    ),
     "streamed_bronze": "SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count FROM events GROUP BY 1",
     "feature_backfill": _GOLD_V2,
     "clickstream_silver": _with("SELECT * FROM silver_clicks", "silver_clicks"),
@@ -412,4 +429,18 @@ FROM loans""",
     ),
     "scaled_features": _scaled(),
     "auc_gini": _with(AUC, "training_rows"),
+    "model_metrics": _with(
+        f"""
+SELECT 'credit_model_2001_09_01' AS model_version, {TRAIN_DATE} AS train_date,
+  DATE '2000-07-01' AS train_test_start_date, DATE '2001-06-30' AS train_test_end_date,
+  DATE '2001-07-01' AS oot_start_date, DATE '2001-08-31' AS oot_end_date,
+  split, count(*) AS row_count, round(avg(label), 2) AS default_rate, 1 AS same_after_reload
+FROM training_rows GROUP BY split""",
+        "training_rows",
+    ),
+    "train_and_score": _with(
+        """
+SELECT Customer_ID, snapshot_date, 'credit_model_2001_09_01' AS model_name, 1 AS in_range FROM monthly_features""",
+        "monthly_features",
+    ),
 }

@@ -63,9 +63,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _training_set(spark: SparkSession, sf: str) -> DataFrame:
-    labels = _stored(_labels(spark, sf), "label_store")
-    features = _stored(adapters.source(spark, sf, "monthly_features"), "features")
-    return modeling.training_set(labels, features, TRAIN_DATE)
+    return modeling.training_set(_labels(spark, sf), adapters.source(spark, sf, "monthly_features"), TRAIN_DATE)
 
 
 # --- loans and labels
@@ -92,6 +90,12 @@ def bad_rate_by_mob(spark: SparkSession, sf: str) -> DataFrame:
     return rates.select("mob", F.round("bad_rate", 8).alias("bad_rate"))
 
 
+@query
+def final_instalments(spark: SparkSession, sf: str) -> DataFrame:
+    """Loans at their last instalment, here the seventh."""
+    return analysis.final_instalments(_loans(spark, sf), 7).select(LOAN, CUSTOMER, SNAPSHOT, "mob", "dpd")
+
+
 @query
 def default_rate_over_time(spark: SparkSession, sf: str) -> DataFrame:
     rates = analysis.default_rate_over_time(_labels(spark, sf), *CALENDAR)
@@ -134,27 +138,51 @@ def snapshot_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def bronze_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze in one pass, read back."""
     root = scratch_path(spark, "bronze")
-    bronze.ingest(adapters.source(spark, sf, "loans"), "loans", root, *CALENDAR)
+    bronze.ingest(adapters.source(spark, sf, "loans"), "loans", root)
+    return store.snapshot_counts(store.read_table(spark, f"{root}/loans"))
+
+
+@query
+def rerun_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """A range ingested again from a source that has lost a snapshot."""
+    root, loans = scratch_path(spark, "rerun"), adapters.source(spark, sf, "loans")
+    bronze.ingest(loans, "loans", root)
+    bronze.ingest(loans.filter(F.col(SNAPSHOT) != SNAPSHOT_DATE), "loans", root, "2000-01-01", "2000-06-30")
     return store.snapshot_counts(store.read_table(spark, f"{root}/loans"))
 
 
 @query
 def csv_source(spark: SparkSession, sf: str) -> DataFrame:
-    """Text files with a header, read under the declared schema and cleaned."""
+    """Text files with headers in two orders, read under the declared schema and cleaned."""
     path = scratch_path(spark, "csv")
-    adapters.source(spark, sf, "attributes").write.option("header", True).csv(path)
-    columns = ["Customer_ID", "Age", "SSN", "Occupation", SNAPSHOT]
-    return silver.attributes(store.read_source(spark, path, raw_schema("attributes", columns)))
+    rows = adapters.source(spark, sf, "attributes").select("Customer_ID", "Age", "SSN", "Occupation", SNAPSHOT)
+    odd = F.col("Customer_ID").cast("int") % 2 == 1
+    rows.filter(odd).write.option("header", True).csv(f"{path}/a")
+    rows.filter(~odd).select(SNAPSHOT, "SSN", "Age", "Customer_ID", "Occupation").write.option("header", True).csv(f"{path}/b")
+    return silver.attributes(store.read_source(spark, [f"{path}/a", f"{path}/b"], raw_schema("attributes")))
+
+
+def _arriving_events(spark: SparkSession, sf: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    arrivals = stream.arriving(spark, sf, schema, "parquet", pathGlobFilter="events.parquet")
+    return arrivals.withColumn(SNAPSHOT, F.col("ts").cast("date"))
 
 
 @query
 def streamed_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Events ingested as a stream of files, read back."""
     root = scratch_path(spark, "stream")
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    arrivals = stream.arriving(spark, sf, schema, "parquet", pathGlobFilter="events.parquet")
-    dated = arrivals.withColumn(SNAPSHOT, F.col("ts").cast("date"))
-    stream.ingest_available(dated, f"{root}/events", f"{root}/progress")
+    stream.ingest_available(_arriving_events(spark, sf), f"{root}/events", f"{root}/progress")
+    return store.snapshot_counts(store.read_table(spark, f"{root}/events"))
+
+
+@query
+def mixed_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Events ingested as a stream, then a batch into the same table: both are read back."""
+    root = scratch_path(spark, "mixed")
+    stream.ingest_available(_arriving_events(spark, sf), f"{root}/events", f"{root}/progress")
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn(SNAPSHOT, F.col("ts").cast("date"))
+    bronze.ingest(events.filter(F.col("event_type") == "view"), "events", root, "2024-01-10", "2024-01-20")
     return store.snapshot_counts(store.read_table(spark, f"{root}/events"))
 
 
@@ -170,7 +198,7 @@ def feature_backfill(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def label_backfill(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "mart")
-    jobs.backfill_labels(spark, adapters.source(spark, sf, "loans"), root, *CALENDAR)
+    jobs.backfill_labels(spark, adapters.source(spark, sf, "loans"), root)
     return store.read_table(spark, f"{root}/gold/label_store")
 
 
@@ -292,15 +320,14 @@ def static_features(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def gold_features_v1(spark: SparkSession, sf: str) -> DataFrame:
     clicks = _stored(_clicks(spark, sf), "clickstream")
-    return gold.feature_store_v1(clicks, _attributes(spark, sf), _financials(spark, sf, version=1))
+    financials = _stored(_financials(spark, sf, version=1), "financials")
+    return gold.feature_store_v1(clicks, _attributes(spark, sf), financials)
 
 
 @query
 def gold_features_v2(spark: SparkSession, sf: str) -> DataFrame:
-    attributes, financials = _attributes(spark, sf), _financials(spark, sf)
-    static = gold.static_features(attributes, financials)
-    clicks = _stored(_clicks(spark, sf), "clickstream")
-    return gold.feature_store_v2(clicks, static, static_keys=attributes)
+    static = _stored(gold.static_features(_attributes(spark, sf), _financials(spark, sf)), "static")
+    return gold.feature_store_v2(_stored(_clicks(spark, sf), "clickstream"), static)
 
 
 @query
@@ -402,25 +429,46 @@ def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def auc_gini(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of the splits, of one with defaults only and of one without rows."""
     scored = _training_set(spark, sf).select("split", "label", F.coalesce("fe_2", F.lit(0)).alias("score"))
-    return modeling.auc_gini(scored, "score")
+    defaults = scored.filter("split = 'train' AND label = 1").withColumn("split", F.lit("defaults"))
+    return modeling.auc_gini(scored.unionAll(defaults), "score", ("train", "test", "oot", "defaults", "empty"))
+
+
+def _trained(spark: SparkSession, sf: str, root: str, draws: int) -> modeling.Trained:
+    features = adapters.source(spark, sf, "monthly_features")
+    return jobs.train_model(_labels(spark, sf), features, TRAIN_DATE, f"{root}/bank", draws=draws)
 
 
 @query
 def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows, default rate, AUC and Gini per split, as kept on the card of a trained model."""
-    grid = {"maxIter": [25], "maxDepth": [2], "stepSize": [0.1]}
-    trained = modeling.train(_training_set(spark, sf), TRAIN_DATE, draws=1, folds=2, grid=grid)
-    card = trained.card.select("model_version", F.explode("auc").alias("split", "auc"), "rows", "default_rate", "gini")
-    measures = {"row_count": "rows", "default_rate": "default_rate", "gini": "gini"}
-    return card.select("model_version", "split", "auc", *[F.col(m)[F.col("split")].alias(n) for n, m in measures.items()])
+    """The card of a banked model by split, and whether the reloaded model has the same area.
+
+    A search of two draws; jobs search 100 by default.
+    """
+    root = scratch_path(spark, "model")
+    version = _trained(spark, sf, root, draws=2).version
+    card = modeling.load_card(spark, f"{root}/bank", version)
+    again = modeling.evaluate(modeling.load_model(f"{root}/bank", version), _training_set(spark, sf), ("train", "test", "oot"))
+    areas = F.create_map(*[F.lit(x) for split, area in again.items() for x in (split, area)])
+    dates = ["train_date", "train_test_start_date", "train_test_end_date", "oot_start_date", "oot_end_date"]
+    by_split = card.select("model_version", *dates, "rows", "default_rate", F.explode("auc").alias("split", "auc"))
+    same = (F.abs(F.col("auc") - areas[F.col("split")]) < 1e-9) & F.col("auc").between(0, 1)
+    return by_split.select(
+        "model_version",
+        *dates,
+        "split",
+        F.col("rows")[F.col("split")].alias("row_count"),
+        F.col("default_rate")[F.col("split")].alias("default_rate"),
+        same.cast("int").alias("same_after_reload"),
+    )
 
 
 @query
 def train_and_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Search, model bank, reload and scoring of every snapshot in the training calendar."""
+    """Search (four draws), model bank, reload and scoring of every snapshot: keys, and whether scores are shares."""
     root = scratch_path(spark, "model")
-    labels = _stored(_labels(spark, sf), "label_store")
-    features = _stored(adapters.source(spark, sf, "monthly_features"), "features")
-    trained = jobs.train_model(labels, features, TRAIN_DATE, f"{root}/bank")
-    return jobs.score_range(features, f"{root}/bank", trained.version, root, "2000-07-01", "2001-08-31")
+    version = _trained(spark, sf, root, draws=4).version
+    scores = jobs.score_range(adapters.source(spark, sf, "monthly_features"), f"{root}/bank", version, root)
+    inside = F.coalesce(F.col("model_predictions").between(0, 1).cast("int"), F.lit(0))
+    return scores.select(CUSTOMER, SNAPSHOT, "model_name", inside.alias("in_range"))

@@ -16,6 +16,7 @@ STRING, INT, FLOAT, DATE = "string", "int", "float", "date"
 
 CLICK_FEATURES = [f"fe_{i}" for i in range(1, 21)]
 
+# Column names and types of the sources.
 LOAN_TYPES = {
     LOAN: STRING,
     CUSTOMER: STRING,
@@ -34,7 +35,7 @@ CLICKSTREAM_TYPES = {**{c: FLOAT for c in CLICK_FEATURES}, CUSTOMER: STRING, SNA
 
 ATTRIBUTE_TYPES = {CUSTOMER: STRING, "Age": INT, "SSN": STRING, "Occupation": STRING, SNAPSHOT: DATE}
 
-# Numbers that arrive as text with stray underscores.
+# Numbers that arrive as text with stray underscores.
 DIRTY_NUMBERS = [
     "Annual_Income",
     "Monthly_Inhand_Salary",

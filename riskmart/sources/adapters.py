@@ -33,9 +33,7 @@ CLICK_COUNTS = ",\n  ".join(
 )
 
 CLICKSTREAM = """
-SELECT CAST(user_id AS STRING) AS Customer_ID,
-  CASE WHEN day(ts) < 8 THEN DATE '2024-01-01' WHEN day(ts) < 15 THEN DATE '2024-01-08'
-       WHEN day(ts) < 22 THEN DATE '2024-01-15' ELSE DATE '2024-01-22' END AS snapshot_date,
+SELECT CAST(user_id AS STRING) AS Customer_ID, CAST(date_trunc('week', ts) AS DATE) AS snapshot_date,
   """ + CLICK_COUNTS + """
 FROM {events} GROUP BY 1, 2
 """
@@ -46,31 +44,40 @@ SELECT CAST(o.o_custkey AS STRING) AS Customer_ID,
   count(*) AS fe_1, CAST(sum(CAST(l.l_quantity AS INT)) AS BIGINT) AS fe_2, max(l.l_linenumber) AS fe_3,
   sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS fe_4, count(DISTINCT l.l_suppkey) AS fe_5
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
-WHERE l.l_linestatus = 'O' GROUP BY 1, 2
+GROUP BY 1, 2
 """
 
-ATTRIBUTES = """
+# Customers with the number of their snapshot; every seventh has a second one, with other values. Each
+# column below has a modulus of its own, so that it is independent of the snapshot and of the others.
+_HELD = """(
+  SELECT c_custkey, c_mktsegment, c_custkey % 101 % 4 AS snap, 0 AS again FROM {customer}
+  UNION ALL
+  SELECT c_custkey, c_mktsegment, (c_custkey % 101 + 1) % 4 AS snap, 1 AS again FROM {customer} WHERE c_custkey % 7 = 3) c"""
+
+_SNAPSHOT = """CASE snap WHEN 0 THEN DATE '2024-01-01' WHEN 1 THEN DATE '2024-01-08'
+       WHEN 2 THEN DATE '2024-01-15' ELSE DATE '2024-01-22' END AS snapshot_date"""
+
+ATTRIBUTES = f"""
 SELECT CAST(c_custkey AS STRING) AS Customer_ID,
-  CASE WHEN c_custkey % 11 = 0 THEN concat(CAST(18 + c_custkey % 60 AS STRING), '_')
+  CASE WHEN c_custkey % 11 = 0 THEN concat(CAST(18 + (c_custkey + again) % 60 AS STRING), '_')
        WHEN c_custkey % 23 = 0 THEN '8698' WHEN c_custkey % 29 = 0 THEN '-500'
-       ELSE CAST(18 + c_custkey % 60 AS STRING) END AS Age,
+       ELSE CAST(18 + (c_custkey + again) % 60 AS STRING) END AS Age,
   concat('000-00-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) AS SSN,
   CASE WHEN c_custkey % 13 = 0 THEN '_______' WHEN c_custkey % 17 = 0 THEN 'None'
        WHEN c_custkey % 19 = 0 THEN concat('  ', c_mktsegment, ' ') ELSE c_mktsegment END AS Occupation,
-  CASE c_custkey % 4 WHEN 0 THEN DATE '2024-01-01' WHEN 1 THEN DATE '2024-01-08'
-       WHEN 2 THEN DATE '2024-01-15' ELSE DATE '2024-01-22' END AS snapshot_date
-FROM {customer}
+  {_SNAPSHOT}
+FROM {_HELD}
 """
 
-FINANCIALS = """
+FINANCIALS = f"""
 SELECT CAST(c_custkey AS STRING) AS Customer_ID,
   CAST(c_custkey % 9 AS INT) AS Num_Bank_Accounts, CAST(c_custkey % 8 AS INT) AS Num_Credit_Card,
-  CAST(1 + c_custkey % 30 AS INT) AS Interest_Rate, CAST(c_custkey % 60 - 5 AS INT) AS Delay_from_due_date,
+  CAST(1 + c_custkey % 30 AS INT) AS Interest_Rate, CAST((c_custkey + 3 * again) % 60 - 5 AS INT) AS Delay_from_due_date,
   CAST(c_custkey % 14 AS INT) AS Num_Credit_Inquiries,
   CASE c_custkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'NM' END AS Payment_of_Min_Amount,
-  CASE c_custkey % 4 WHEN 0 THEN 'High_spent_Large_value_payments' WHEN 1 THEN 'Low_spent_Small_value_payments'
+  CASE c_custkey % 107 % 4 WHEN 0 THEN 'High_spent_Large_value_payments' WHEN 1 THEN 'Low_spent_Small_value_payments'
        WHEN 2 THEN 'High_spent_Medium_value_payments' ELSE '!@9#%8' END AS Payment_Behaviour,
-  CASE c_custkey % 4 WHEN 0 THEN 'Good' WHEN 1 THEN 'Bad' WHEN 2 THEN 'Standard' ELSE '_' END AS Credit_Mix,
+  CASE c_custkey % 103 % 4 WHEN 0 THEN 'Good' WHEN 1 THEN 'Bad' WHEN 2 THEN 'Standard' ELSE '_' END AS Credit_Mix,
   CASE c_custkey % 6 WHEN 0 THEN 'Auto Loan, Credit-Builder Loan, and Home Equity Loan'
        WHEN 1 THEN 'Payday Loan and Payday Loan' WHEN 2 THEN 'Not Specified' WHEN 3 THEN 'Something Else'
        WHEN 4 THEN 'Student Loan, Personal Loan, and Mortgage Loan' ELSE NULL END AS Type_of_Loan,
@@ -78,17 +85,16 @@ SELECT CAST(c_custkey AS STRING) AS Customer_ID,
          CASE WHEN c_custkey % 7 = 0 THEN '_' ELSE '' END) AS Annual_Income,
   CAST(CASE WHEN c_custkey % 43 = 0 THEN 0 ELSE 1500 + (c_custkey * 13) % 6000 END AS STRING) AS Monthly_Inhand_Salary,
   concat(CAST(c_custkey % 9 AS STRING), CASE WHEN c_custkey % 10 = 0 THEN '_' ELSE '' END) AS Num_of_Loan,
-  CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE concat(CAST(c_custkey % 20 - 1 AS STRING), CASE WHEN c_custkey % 9 = 0 THEN '_' ELSE '' END) END AS Num_of_Delayed_Payment,
-  CASE WHEN c_custkey % 12 = 0 THEN '_' ELSE CAST(c_custkey % 31 AS STRING) END AS Changed_Credit_Limit,
-  concat(CAST((c_custkey * 53) % 25000 AS STRING), CASE WHEN c_custkey % 21 = 0 THEN '_' ELSE '' END) AS Outstanding_Debt,
+  CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE concat(CAST((c_custkey * 3 + 5 * snap) % 20 - 1 AS STRING), CASE WHEN c_custkey % 9 = 0 THEN '_' ELSE '' END) END AS Num_of_Delayed_Payment,
+  CASE WHEN c_custkey % 12 = 0 THEN '_' ELSE CAST((c_custkey + 5 * again) % 31 + 40 * snap AS STRING) END AS Changed_Credit_Limit,
+  concat(CAST((c_custkey * 53 + 700 * again) % 25000 AS STRING), CASE WHEN c_custkey % 21 = 0 THEN '_' ELSE '' END) AS Outstanding_Debt,
   CAST(20 + c_custkey % 30 AS STRING) AS Credit_Utilization_Ratio,
   CAST((c_custkey * 7) % 3000 AS STRING) AS Total_EMI_per_month,
   CASE WHEN c_custkey % 25 = 0 THEN '__10000__' ELSE CAST((c_custkey * 3) % 700 AS STRING) END AS Amount_invested_monthly,
   CAST((c_custkey * 11) % 900 AS STRING) AS Monthly_Balance,
   CASE WHEN c_custkey % 16 = 0 THEN 'NA' ELSE concat(CAST(c_custkey % 33 AS STRING), ' Years and ', CAST(c_custkey % 12 AS STRING), ' Months') END AS Credit_History_Age,
-  CASE c_custkey % 4 WHEN 0 THEN DATE '2024-01-01' WHEN 1 THEN DATE '2024-01-08'
-       WHEN 2 THEN DATE '2024-01-15' ELSE DATE '2024-01-22' END AS snapshot_date
-FROM {customer}
+  {_SNAPSHOT}
+FROM {_HELD}
 """
 
 ADAPTERS = {

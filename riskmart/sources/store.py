@@ -1,13 +1,18 @@
 """Reading sources and the snapshot-partitioned tables of the mart.
 
 A table is one Parquet root partitioned by `snapshot_date`. A date filter prunes folders, and
-writing a date range replaces just those folders, so a rerun of one snapshot is idempotent.
+writing a date range replaces just the folders of the range, emptied ones included, so a rerun is
+idempotent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +20,68 @@ from pyspark.sql import types as T
 
 from riskmart.calendar import as_date
 from riskmart.schemas import SNAPSHOT
+from riskmart.session import file_system
+
+#: Folder level below a bronze snapshot: which load wrote it. Readers do not see it.
+LOAD = "ingest_load"
+
+
+def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below `paths` by their header. Only the first line of each is read."""
+    jvm = spark._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    files = []
+    for path in paths:
+        system, where = file_system(spark, path)
+        for found in system.globStatus(where) or []:
+            if found.isFile():
+                files.append(found.getPath())
+                continue
+            listed = system.listFiles(found.getPath(), False)
+            while listed.hasNext():
+                file = listed.next().getPath()
+                if not file.getName().startswith(("_", ".")):
+                    files.append(file)
+
+    def header(file) -> tuple[str, ...]:
+        opened = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+        codec = codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(opened) if codec else opened, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        delimiter = options.get("sep", options.get("delimiter", ","))
+        return tuple(c.strip() for c in next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=delimiter), []))
+
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, columns in zip(files, pool.map(header, files)):
+            if columns:  # an empty file has no rows
+                by_header.setdefault(columns, []).append(file.toString())
+    return by_header
 
 
 def read_source(spark: SparkSession, path: str | list[str], schema: T.StructType, **options: str) -> DataFrame:
-    """CSV files with a header row under a declared schema: one scan, no inference pass."""
-    return spark.read.schema(schema).options(header=True, **options).csv(path)
+    """CSV files with a header row under a declared schema: one scan, no inference pass.
+
+    Columns are found by their name in each file's own header, whatever their order; names differ by
+    case only at most. A file without one of them is refused, columns that are not declared are not read.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    declared = {f.name.lower(): f for f in schema.fields}
+    frames = []
+    for header, files in sorted(_headers(spark, paths, options).items()):
+        named = [c.lower() for c in header]
+        missing = sorted(set(declared) - set(named))
+        if missing:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        own = T.StructType([T.StructField(c, declared[c.lower()].dataType if c.lower() in declared else T.StringType()) for c in header])
+        read = spark.read.schema(own).options(header=True, enforceSchema=False, **options).csv(files)
+        frames.append(read.select(*[F.col(f"`{c.lower()}`").alias(f.name) for c, f in declared.items()]))
+    if not frames:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionAll, frames)
 
 
 def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
@@ -29,16 +91,38 @@ def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.S
         reader = reader.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(root)
+    return reader.load(root).drop(LOAD)
 
 
 def snapshot(df: DataFrame, day: str | date | Column, column: str = SNAPSHOT) -> DataFrame:
     return df.filter(F.col(column) == as_date(day))
 
 
-def between(df: DataFrame, start: str | date | Column, end: str | date | Column, column: str = SNAPSHOT) -> DataFrame:
-    """Closed date range."""
-    return df.filter(F.col(column).between(as_date(start), as_date(end)))
+def in_range(start: str | date | Column | None, end: str | date | Column | None, column: str = SNAPSHOT) -> Column:
+    """Closed date range; a bound of None is open. One day is a range from it to itself."""
+    bounds = [F.col(column) >= as_date(start)] if start is not None else []
+    bounds += [F.col(column) <= as_date(end)] if end is not None else []
+    return reduce(and_, bounds, F.lit(True))
+
+
+def between(
+    df: DataFrame, start: str | date | Column | None, end: str | date | Column | None, column: str = SNAPSHOT
+) -> DataFrame:
+    return df.filter(in_range(start, end, column)) if start is not None or end is not None else df
+
+
+def _partitions(spark: SparkSession, root: str, depth: int) -> dict[tuple[str, ...], tuple[object, frozenset[str]]]:
+    """Folders of a table's partitions: values in the order of the folders: (path, file names)."""
+    system, top = file_system(spark, root)
+    found = {(): top} if system.exists(top) else {}
+    for _ in range(depth):
+        found = {
+            (*values, s.getPath().getName().partition("=")[2]): s.getPath()
+            for values, folder in found.items()
+            for s in system.listStatus(folder)
+            if s.isDirectory() and "=" in s.getPath().getName()
+        }
+    return {v: (p, frozenset(s.getPath().getName() for s in system.listStatus(p))) for v, p in found.items()}
 
 
 def write_snapshots(
@@ -46,12 +130,19 @@ def write_snapshots(
     root: str,
     partition_by: Sequence[str] = (SNAPSHOT,),
     fmt: str = "parquet",
+    replace: Callable[..., bool] | None = None,
 ) -> None:
-    """Replace the partitions present in `df`; others stay.
+    """Replace the partitions present in `df`, and drop those that `replace` says `df` stands for but lacks.
+
+    `replace` gets the values of a partition, as text, in the order of `partition_by`. Without it
+    other partitions stay. What is dropped goes after the write has succeeded; a partition counts as
+    written anew if its files changed.
 
     The rebalance hint brings a partition's rows together into files of the advisory size; a
     snapshot with far more rows than the others is split over several tasks.
     """
+    spark = df.sparkSession
+    before = _partitions(spark, root, len(partition_by)) if replace else {}
     writer = (
         df.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
@@ -61,6 +152,18 @@ def write_snapshots(
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(root)
+    if not before:
+        return
+    after = _partitions(spark, root, len(partition_by))
+    for values, (path, files) in before.items():
+        if replace(*values) and after.get(values, (None, None))[1] == files:
+            file_system(spark, root)[0].delete(path, True)
+
+
+def days(start: str | date | None, end: str | date | None) -> Callable[[str], bool]:
+    """Whether a partition's date, as text, is in a closed range with open bounds."""
+    low, high = (str(x) if x is not None else None for x in (start, end))
+    return lambda day: (low is None or day >= low) and (high is None or day <= high)
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -1,35 +1,44 @@
 """Bronze ingest of newly arrived files as a stream that stops when it has caught up.
 
-The same work as `operators.bronze.ingest`, for sources that grow by files: the checkpoint
-remembers which files were read, so each run reads only new ones, and a run that dies is
-resumed without loss or double rows. No state is kept.
+For sources that grow by files: the checkpoint remembers which files were read, so each run reads
+only new ones. A micro-batch is written by the batch writer as a load of its own, named after stream
+and batch; one that is run again replaces itself, so a run that dies is resumed without loss or double
+rows, and batch ingests of the same table keep what streams have brought. No state is kept.
 """
 
 from __future__ import annotations
 
+from hashlib import sha1
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from riskmart.schemas import SNAPSHOT
+from riskmart.operators.bronze import write_load
+from riskmart.sources import store
 
 
 def arriving(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "csv", **options: str) -> DataFrame:
-    """The files of a folder as a stream under a declared schema."""
+    """The files of a folder as a stream under a declared schema; a CSV file whose header differs from it fails."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(header=True, enforceSchema=False)
     return reader.options(**options).load(folder)
 
 
-def ingest_available(arrivals: DataFrame, root: str, checkpoint: str, partition_by: str = SNAPSHOT) -> int:
-    """Append everything that has arrived to the bronze table; returns the rows read."""
-    query = (
-        arrivals.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(partition_by)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(root)
-    )
+def ingest_available(arrivals: DataFrame, root: str, checkpoint: str) -> int:
+    """Add everything that has arrived to the bronze table; returns the rows written.
+
+    `checkpoint` names the stream: it keeps its place, and its loads their names.
+    """
+    stream = sha1(checkpoint.encode()).hexdigest()[:12]
+    written = 0
+
+    def write(batch: DataFrame, number: int) -> None:
+        nonlocal written
+        counted, rows = store.observed(batch, f"stream_{stream}_{number}")
+        write_load(counted, root, f"stream-{stream}-{number}")
+        written += rows.get["rows"]
+
+    query = arrivals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return written

@@ -124,3 +124,9 @@ def test_feature_profile_without_an_outcome_is_zero(spark):
     labels = frame(spark, "loan_id string, Customer_ID string, label int", ("l", "c", 0))
     clicks = frame(spark, "Customer_ID string, fe_1 float", ("c", 2.0))
     assert [tuple(r) for r in analysis.feature_profile(clicks, labels, ["fe_1"]).collect()] == [(1, 2.0, 0.0)]
+
+
+def test_feature_profile_keeps_an_undefined_mean(spark):
+    labels = frame(spark, "loan_id string, Customer_ID string, label int", ("l", "c", 0), ("m", "d", 1))
+    clicks = frame(spark, "Customer_ID string, fe_1 float", ("c", 2.0), ("d", None))
+    assert [tuple(r) for r in analysis.feature_profile(clicks, labels, ["fe_1"]).collect()] == [(1, 2.0, None)]

@@ -56,7 +56,8 @@ def test_enforce_schema_keeps_other_columns_and_order(spark):
 def test_complete_rows(spark):
     df = frame(spark, "a int, b string", (1, "x"), (None, "y"), (2, None), (3, "z"))
     assert values(C.complete_rows(df)) == [(1, "x"), (3, "z")]
-    assert C.complete_rows(df, 1).count() == 1
+    assert values(C.complete_rows(df, 1)) == [(1, "x")]
+    assert values(C.complete_rows(df, 1, ["b"])) == [(1, "x")]
 
 
 def test_attributes_pass_other_columns(spark):

@@ -1,10 +1,8 @@
 from datetime import date
 
-import pytest
-
 from riskmart.operators import gold
 from riskmart.plans import jobs
-from riskmart.session import scratch_path
+from riskmart.session import file_system, scratch_path, shared_folder
 from riskmart.sources import adapters, store
 from tests.rows import frame, values
 
@@ -27,11 +25,10 @@ def tables(spark):
     return clicks, attributes, financials
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 5_000_000])
-def test_v2_joins_every_static_snapshot(spark, rows_per_task):
+def test_v2_joins_every_static_snapshot(spark):
     clicks, attributes, financials = tables(spark)
-    static = gold.static_features(attributes, financials, rows_per_task)
-    store_v2 = gold.feature_store_v2(clicks, static, rows_per_task=rows_per_task)
+    static = gold.static_features(attributes, financials)
+    store_v2 = gold.feature_store_v2(clicks, static)
     columns = ("Customer_ID", "snapshot_date", "fe_1", "age", "income")
     assert values(store_v2, *columns) == sorted(
         [
@@ -49,7 +46,7 @@ def test_v2_range_equals_the_same_rows_of_the_whole(spark):
     static = gold.static_features(attributes, financials)
     whole = gold.feature_store_v2(clicks, static)
     for day in (D1, D2):
-        one = gold.feature_store_v2(clicks, static, day)
+        one = gold.feature_store_v2(clicks, static, day, day)
         assert values(one) == values(store.snapshot(whole, day))
 
 
@@ -60,9 +57,8 @@ def test_v2_keeps_static_rows_without_clicks_in_that_snapshot(spark):
     assert ("both", D2, None, 31, None) in values(only_first, "Customer_ID", "snapshot_date", "fe_1", "age", "income")
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 5_000_000])
-def test_v1_keeps_every_side(spark, rows_per_task):
-    found = gold.feature_store_v1(*tables(spark), rows_per_task=rows_per_task)
+def test_v1_keeps_every_side(spark):
+    found = gold.feature_store_v1(*tables(spark))
     assert found.columns == ["Customer_ID", "snapshot_date", "fe_1", "income", "age"]
     assert values(found) == sorted(
         [
@@ -80,7 +76,7 @@ def test_backfill_over_a_range_equals_single_snapshots(spark):
     whole, single = scratch_path(spark, "whole"), scratch_path(spark, "single")
     counts = jobs.backfill_features(spark, sources, whole, days[0], days[-1], version=1)
     for day in days:
-        jobs.backfill_features(spark, sources, single, day, version=1)
+        jobs.backfill_features(spark, sources, single, day, day, version=1)
     a, b = (store.read_table(spark, f"{root}/gold/feature_store") for root in (whole, single))
     assert counts["gold/feature_store"] == a.count()
     assert values(a, *sorted(a.columns)) == values(b, *sorted(a.columns))
@@ -91,12 +87,42 @@ def test_rerun_of_one_snapshot_gives_the_same_store(spark):
     root, day = scratch_path(spark, "rerun"), "2024-01-08"
     jobs.backfill_features(spark, sources, root)
     before = values(store.read_table(spark, f"{root}/gold/feature_store"))
-    counts = jobs.backfill_features(spark, sources, root, day)
+    counts = jobs.backfill_features(spark, sources, root, day, day)
     after = store.read_table(spark, f"{root}/gold/feature_store")
     assert values(after) == before
     assert counts["gold/feature_store"] == store.snapshot(after, day).count() > 0
 
 
+def test_open_bounds_and_no_scratch_left(spark):
+    sources = {name: adapters.source(spark, SF, name) for name in jobs.FEATURE_SOURCES}
+    whole, late, early = (scratch_path(spark, n) for n in ("all", "late", "early"))
+    system, folder = file_system(spark, f"{shared_folder(spark)}/riskmart")
+
+    def scratch():
+        return {f.getPath().getName() for f in system.listStatus(folder)} - {r.rsplit("/", 1)[1] for r in (whole, late, early)}
+
+    for name in ("a", "b"):
+        store.write_snapshots(sources["clickstream"], scratch_path(spark, name))
+    before = scratch()
+    jobs.backfill_features(spark, sources, whole)
+    jobs.backfill_features(spark, sources, late, start="2024-01-15", version=1)
+    jobs.backfill_features(spark, sources, early, end="2024-01-08", version=1)
+    assert scratch() == before
+    days = [[r[0] for r in store.read_table(spark, f"{r}/gold/feature_store").select("snapshot_date").distinct().sort("snapshot_date").collect()] for r in (whole, late, early)]
+    assert days[1] == [d for d in days[0] if d >= date(2024, 1, 15)] and days[2] == [d for d in days[0] if d <= date(2024, 1, 8)]
+    assert days[1] and days[2]
+
+
+def test_a_snapshot_that_the_source_lost_goes(spark):
+    root, loans = scratch_path(spark, "lost"), adapters.source(spark, SF, "loans")
+    jobs.backfill_labels(spark, loans, root)
+    day = store.read_table(spark, f"{root}/gold/label_store").selectExpr("min(snapshot_date)").first()[0]
+    jobs.backfill_labels(spark, loans.filter(loans.snapshot_date != day), root)
+    for table in ("bronze/loans", "silver/loans", "gold/label_store"):
+        assert store.snapshot(store.read_table(spark, f"{root}/{table}"), day).count() == 0
+        assert store.read_table(spark, f"{root}/{table}").count() > 0
+
+
 def test_label_backfill_counts(spark):
     root = scratch_path(spark, "labels")
     loans = adapters.source(spark, SF, "loans")

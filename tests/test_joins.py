@@ -3,78 +3,56 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from riskmart.operators.joins import hot_keys, spread_join
+from riskmart.operators.joins import outer_chain
 from tests.rows import frame, values
 
 
-def sides(spark, seed):
-    """A third of the left rows on one key, copies among them; null keys; keys on one side only."""
+def tables(spark, seed):
+    """Keys on any subset of the sides, a hot one, copies and null keys."""
     rng = random.Random(seed)
-    left = [("hot", "d1", 7)] * 20 + [("hot", "d1", i) for i in range(20)]
-    left += [(rng.choice(["a", "b", "c", None]), rng.choice(["d1", "d2"]), i) for i in range(40)]
-    left += [("only-left", "d1", i) for i in range(15)]
-    right = [("hot", "d1", -i) for i in range(13)] + [("only-right", "d2", -i) for i in range(17)]
-    right += [(rng.choice(["a", "b", "d", None]), rng.choice(["d1", "d2"]), -i) for i in range(20)]
-    return (
-        frame(spark, "k string, d string, l int", *left).repartition(5),
-        frame(spark, "k string, d string, r int", *right).repartition(3),
-    )
 
+    def side(name, parts):
+        rows = [("hot", "d1", i) for i in range(12)] + [(f"only-{name}", "d1", i) for i in range(5)]
+        rows += [(rng.choice(["a", "b", "c", "d", "e", None]), rng.choice(["d1", "d2", None]), i) for i in range(30)]
+        return frame(spark, f"k string, d string, {name} int", *rows).repartition(parts)
 
-@pytest.mark.parametrize("how", ["inner", "left", "full", "left_anti"])
-@pytest.mark.parametrize("on", [["k"], ["k", "d"]])
-def test_same_rows_as_the_plain_join(spark, how, on):
-    left, right = sides(spark, 3)
-    right = right.drop(*[c for c in ("k", "d") if c not in on])
-    for rows_per_task in (2, 7, 5_000_000):
-        spread = spread_join(left, right, on, how, rows_per_task=rows_per_task)
-        plain = left.join(right, on, how)
-        assert spread.columns == plain.columns
-        assert values(spread) == values(plain)
-
-
-def test_more_hot_keys_than_the_list_holds(spark):
-    left, right = sides(spark, 5)
-    spread = spread_join(left, right, ["k", "d"], "full", rows_per_task=2, limit=2)
-    assert values(spread) == values(left.join(right, ["k", "d"], "full"))
-
-
-def test_hot_keys_come_with_exact_counts(spark):
-    left, right = sides(spark, 1)
-    found = {tuple(r)[:2]: tuple(r)[2:] for r in hot_keys(left, right, ["k", "d"], rows_per_task=12) if r["k"]}
-    assert found["hot", "d1"] == (40, 13)
-    assert found["only-left", "d1"] == (15, 0)
-    assert found["only-right", "d2"] == (0, 17)
-
+    return side("x", 5), side("y", 3), side("z", 1)
 
-def test_sampled_detection_finds_the_hot_key(spark):
-    hot = spark.range(400_000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    cold = spark.range(1000).select(F.col("id").alias("k"))
-    assert [tuple(r) for r in hot_keys(hot, cold, ["k"], rows_per_task=20_000)] == [(0, 133_334, 1)]
 
-
-def test_no_hot_key_leaves_the_plain_plan(spark):
-    left, right = sides(spark, 2)
-    plan = spread_join(left, right, ["k", "d"], "left")._jdf.queryExecution().optimizedPlan().toString()
-    assert "explode" not in plan.lower()
-
-
-def test_a_hot_key_is_spread_over_tasks(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("on", [["k"], ["k", "d"]])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_same_rows_as_full_joins(spark, on, seed):
+    x, y, z = tables(spark, seed)
+    x, y, z = (df if i == 0 or len(on) == 2 else df.drop("d") for i, df in enumerate((x, y, z)))
+    columns = ["k", "d", "x", "y", "z"]
+    assert values(outer_chain([x, y], on), *columns[:4]) == values(x.join(y, on, "full"), *columns[:4])
+    assert outer_chain([x], on) is x
+    # In a chain a row that matches none of the first tables still meets the later ones.
+    chained = x.join(y, on, "full").join(z, on, "full")
+    assert values(outer_chain([x, y, z], on), *columns) == values(chained, *columns)
+
+
+def test_hot_keys_are_split_by_adaptive_execution(spark):
+    """Forty hot keys: the join of their side is run with split tasks, and no task gets a share that matters."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.shuffle.partitions": "200",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        copies = spark.range(30_000, numPartitions=8).select(F.lit("hot").alias("k"), F.lit(1).alias("l"))
-        right = frame(spark, "k string, r int", ("hot", 1), ("cold", 2))
-        joined = spread_join(copies, right, ["k"], "left", rows_per_task=2000)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 30_000
-        assert max(sizes) < 30_000 * 0.6
+        hot = F.when(F.col("id") % 50 < 40, F.concat(F.lit("hot"), F.col("id") % 40)).otherwise(F.col("id").cast("string"))
+        left = spark.range(600_000, numPartitions=8).select(hot.alias("k"), F.xxhash64("id").alias("l"))
+        right = spark.range(40).select(F.concat(F.lit("hot"), "id").alias("k"), F.col("id").alias("r"))
+        counted = outer_chain([left, right], ["k"]).groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in counted.collect()]
+        assert sum(sizes) == 600_000 and max(sizes) < 60_000
+        assert "SortMergeJoin(skew=true)" in counted._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-
-
-def test_unknown_join_type(spark):
-    left, right = sides(spark, 1)
-    with pytest.raises(ValueError):
-        spread_join(left, right, ["k"], "cross")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -67,7 +67,7 @@ def test_split_share_by_label(spark):
     )
     split = modeling.assign_split(rows, training_windows(TRAIN_DATE))
     for row in split.groupBy("label").agg(F.avg((F.col("split") == "train").cast("int")).alias("share")).collect():
-        assert row["share"] == pytest.approx(0.8, abs=0.02)
+        assert row["share"] == 0.8
     assert values(split) == values(modeling.assign_split(rows.repartition(7), training_windows(TRAIN_DATE)))
 
 
@@ -88,6 +88,27 @@ def test_auc_counts_ties_half(spark):
     assert modeling.gini(0.75) == 0.5
 
 
+def test_auc_needs_both_classes(spark):
+    positives = frame(spark, "s double, label int", (0.1, 1), (0.9, 1))
+    assert modeling.auc(positives, "s") is None and modeling.auc(positives.limit(0), "s") is None
+    assert modeling.gini(None) is None
+
+
+def test_auc_of_many_scores_equals_the_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows = spark.range(20_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("split"),
+        F.round(F.rand(1), 3).alias("s"),
+        (F.rand(2) < 0.3).cast("double").alias("label"),
+    )
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    found = {r["split"]: r["auc"] for r in modeling.auc_by_split(rows, "s").collect()}
+    for split, area in found.items():
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol="s", labelCol="label", numBins=0)
+        assert area == pytest.approx(evaluator.evaluate(rows.filter(F.col("split") == split)), abs=1e-9)
+
+
 def test_draws_are_different_points_of_the_grid():
     from pyspark.ml.classification import GBTClassifier
 
@@ -111,11 +132,12 @@ def test_scoring_a_range_equals_single_snapshots(spark, tables, banked):
     features, root = tables[1], scratch_path(spark, "scores")
     ranged = jobs.score_range(features, bank, trained.version, root, "2024-01-01", "2024-03-01")
     model = modeling.load_model(bank, trained.version)
-    singles = [scoring.score(model, features, trained.version, day) for day in ("2024-01-01", "2024-02-01", "2024-03-01")]
+    singles = [scoring.score(model, features, trained.version, day, day) for day in ("2024-01-01", "2024-02-01", "2024-03-01")]
     joined = singles[0].unionAll(singles[1]).unionAll(singles[2])
     columns = ["Customer_ID", "snapshot_date", "model_name", "model_predictions"]
     assert joined.columns == columns
     assert values(ranged, *columns) == values(joined) and ranged.count() > 0
     assert ranged.filter(~F.col("model_predictions").between(0, 1)).count() == 0
-    rescored = jobs.score_range(features, bank, trained.version, root, "2024-02-01")
-    assert values(rescored, *columns) == values(joined)
+    rescored = jobs.score_range(features, bank, trained.version, root, "2024-02-01", "2024-02-01")
+    assert values(rescored, *columns) == values(singles[1])
+    assert values(store.read_table(spark, f"{root}/gold/model_predictions"), *columns) == values(joined)

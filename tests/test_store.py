@@ -1,3 +1,4 @@
+import gzip
 from datetime import date
 
 import pytest
@@ -26,7 +27,7 @@ def test_backfill_equals_single_snapshots(spark):
     whole, single = scratch_path(spark, "a"), scratch_path(spark, "b")
     assert bronze.ingest(source(spark), "s", whole).get["rows"] == 4
     for day, rows in ((D1, 2), (D2, 1), (D3, 1)):
-        assert bronze.ingest(source(spark), "s", single, day).get["rows"] == rows
+        assert bronze.ingest(source(spark), "s", single, day, day).get["rows"] == rows
     a, b = (values(store.read_table(spark, f"{root}/s"), "Customer_ID", "v", "snapshot_date") for root in (whole, single))
     assert a == b == values(source(spark), "Customer_ID", "v", "snapshot_date")
 
@@ -36,12 +37,24 @@ def test_rerun_of_a_snapshot_leaves_the_others(spark):
     bronze.ingest(source(spark), "s", root)
     changed = frame(spark, "Customer_ID string, v string, snapshot_date date", ("z", "9", D1))
     for _ in range(2):
-        bronze.ingest(changed, "s", root, D1)
+        bronze.ingest(changed, "s", root, D1, D1)
     table = store.read_table(spark, f"{root}/s")
     assert values(table, "Customer_ID", "snapshot_date") == [("a", D2), ("c", D3), ("z", D1)]
 
 
+def test_a_rerun_drops_snapshots_that_the_source_lost(spark):
+    root = scratch_path(spark, "emptied")
+    bronze.ingest(source(spark), "s", root)
+    bronze.ingest(source(spark).filter(F.col("snapshot_date") != D2), "s", root, D1, D2)
+    assert values(store.read_table(spark, f"{root}/s"), "Customer_ID", "snapshot_date") == [("a", D1), ("b", D1), ("c", D3)]
+    bronze.ingest(source(spark).limit(0), "s", root, start=D3)
+    assert values(store.read_table(spark, f"{root}/s"), "Customer_ID", "snapshot_date") == [("a", D1), ("b", D1)]
+
+
 def test_range_is_closed(spark):
+    assert store.between(source(spark), D2, None).count() == 2
+    assert store.between(source(spark), None, D2).count() == 3
+    assert store.between(source(spark), None, None).count() == 4
     assert store.between(source(spark), "2024-01-01", "2024-02-01").count() == 3
     assert store.snapshot(source(spark), D2).count() == 1
 
@@ -82,6 +95,21 @@ def test_csv_source_has_no_inference(spark, tmp_path):
     assert values(df) == [("c1", "28_", "007", " Lawyer", D1)]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Customer_ID,Age,SSN,Occupation,snapshot_date\nc1,28,007,Lawyer,2024-01-01\n")
+    (tmp_path / "b.csv").write_text("Age,Customer_ID,extra,snapshot_date,occupation,SSN\n30,c2,x,2024-02-01,Writer,s2\n")
+    (tmp_path / "empty.csv").write_text("")
+    df = store.read_source(spark, str(tmp_path), raw_schema("attributes"))
+    assert df.columns == raw_schema("attributes").names
+    assert values(df) == [("c1", "28", "007", "Lawyer", D1), ("c2", "30", "s2", "Writer", D2)]
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write("SSN,Customer_ID,Age,Occupation,snapshot_date\ns3,c3,31,Chef,2024-03-01\n")
+    assert values(store.read_source(spark, f"{tmp_path}/c*", raw_schema("attributes"))) == [("c3", "31", "s3", "Chef", D3)]
+    (tmp_path / "d.csv").write_text("Customer_ID,Age\nc4,3\n")
+    with pytest.raises(ValueError, match="no column occupation"):
+        store.read_source(spark, str(tmp_path), raw_schema("attributes"))
+
+
 def test_snapshot_counts(spark):
     assert values(store.snapshot_counts(source(spark))) == [(D1, 2), (D2, 1), (D3, 1)]
 
@@ -114,3 +142,23 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     assert run() == 1
     assert run() == 0
     assert values(store.read_table(spark, root), "Customer_ID", "snapshot_date") == [("c1", D1), ("c2", D2), ("c3", D2)]
+    (arrivals / "3.csv").write_text("Age,Customer_ID,SSN,Occupation,snapshot_date\n30,c4,3,Z,2024-02-01\n")
+    with pytest.raises(Exception, match="header"):
+        run()
+
+
+def test_stream_counts_every_batch_and_shares_its_table(spark, tmp_path):
+    arrivals, root, progress = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "progress")
+    arrivals.mkdir()
+    for i in range(105):
+        (arrivals / f"{i}.csv").write_text(f"Customer_ID,Age,SSN,Occupation,snapshot_date\nc{i},1,2,X,2024-01-01\n")
+    stream = arriving(spark, str(arrivals), raw_schema("attributes"), maxFilesPerTrigger="1")
+    assert ingest_available(stream, f"{root}/s", progress) == 105
+    batch = frame(spark, "Customer_ID string, Age string, SSN string, Occupation string, snapshot_date date", ("b", "1", "2", "Y", D1))
+    for _ in range(2):
+        assert bronze.ingest(batch, "s", root, D1, D1).get["rows"] == 1
+    assert store.read_table(spark, f"{root}/s").count() == 106
+    # A batch that is run again replaces itself.
+    bronze.write_load(batch, f"{root}/s", "stream-x-0")
+    bronze.write_load(batch, f"{root}/s", "stream-x-0")
+    assert store.read_table(spark, f"{root}/s").count() == 107
