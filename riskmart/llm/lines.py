@@ -1,7 +1,7 @@
 """Fuzzy line deduplication: MinHash bands over character shingles, exact Jaccard, distributed union-find.
 
-One line of each component of similar lines stays in the corpus, that of the least document id; the texts move
-through one shuffle, at the end, to meet the numbers of the lines they lose.
+One line of each component of similar lines stays in the corpus, that of the least document id. Texts are read where
+they lie; they move, if at all, once: at the end, to meet the numbers of the lines they lose.
 """
 
 from __future__ import annotations
@@ -204,6 +204,10 @@ def lost_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold
     return lost.groupBy("doc").agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
 
 
+def _mean_size(lost: DataFrame) -> int:
+    return int(lost.agg(F.avg(F.size("__lost"))).first()[0] or 0) + 1
+
+
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every row of `df`, its text without duplicate lines, and n_lines and n_removed.
 
@@ -216,11 +220,13 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     document: they keep the same lines. A text that loses every line keeps its row. Columns of `df`
     named n_lines or n_removed are replaced. An empty table gives no rows.
     """
-    lost = lost_lines(df, key, text, threshold)
+    lost = cut_lineage(lost_lines(df, key, text, threshold), "lost")
+    lost = lost.select(F.col("doc").alias("__doc"), F.col("lost").alias("__lost"))
     made = (text, "n_lines", "n_removed")
     kept = others(df, ("n_lines", "n_removed"))
     rows = df.select(*kept, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("__doc"))
-    joined = rows.join(lost.select(F.col("doc").alias("__doc"), F.col("lost").alias("__lost")), "__doc", "left")
+    # The list of lost lines goes to the texts if its size allows, else both are shuffled by document.
+    joined = rows.join(small(lost, 16 + 4 * _mean_size(lost)), "__doc", "left")
     cut = joined.withColumn("__cut", _without(F.col(text).cast("string"), F.col("__lost")))
     order = [F.col("__cut.text").alias(text) if c.lower() == text.lower() else F.col(f"`{c}`") for c in df.columns if c.lower() not in made[1:]]
     return cut.select(*order, "__cut.n_lines", "__cut.n_removed")

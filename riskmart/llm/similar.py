@@ -142,8 +142,12 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     of them, and `shingler` makes their sets again. Only items that have a pair to compare are
     fetched. Rows of one item may be many, one for each cell it has links in.
     """
-    entries = items.select("item", "n", "keys", F.posexplode("keys").alias("tree", "key"))
-    nodes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("hashes")).filter("members > 1")
+    # Most nodes hold one item: only keys move to find the others, and only entries of those go on.
+    entries = items.select("item", F.posexplode("keys").alias("tree", "key"))
+    shared = cut_lineage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key"), "nodes")
+    entries = cut_lineage(entries.join(small(shared, 16), "key"), "entries")
+    entries = entries.join(items.select("item", "n", "keys"), "item")
+    nodes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("hashes"))
     parts = F.greatest(F.ceil(F.col("members") / BLOCK_ITEMS), F.ceil(F.col("hashes") / BLOCK_HASHES))
     placed = entries.join(nodes.select("key", parts.alias("parts")), "key")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")))
