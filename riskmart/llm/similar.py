@@ -22,8 +22,9 @@ from riskmart.session import cut_lineage
 #: A block holds at most about this many items and this many hashes.
 BLOCK_ITEMS = 512
 BLOCK_HASHES = 500_000
-#: Columns of a matrix product.
-COLUMNS = 4096
+#: Columns and rows of a matrix product.
+COLUMNS = 1024
+STRIP = 128
 #: A table of up to this many bytes is sent to all executors; a larger one is joined by a shuffle.
 SENT_BYTES = 32_000_000
 
@@ -76,48 +77,61 @@ def _numbers(cell: pa.Table, name: str) -> np.ndarray:
     return cell.column(name).to_numpy()
 
 
+def _strips(m: int) -> Iterator[slice]:
+    """Rows of a matrix of pairs, some at a time: what is computed for them stays small."""
+    return (slice(low, min(low + STRIP, m)) for low in range(0, m, STRIP))
+
+
 def _meeting(cell: pa.Table, threshold: float, sized: bool) -> np.ndarray:
     """[a, b], a < b: whether this is the first node the two share, and their sizes allow the similarity."""
     m = cell.num_rows
     keys = cell.column("keys").combine_chunks().flatten().to_numpy().reshape(m, -1)
     tree = int(cell.column("tree")[0].as_py())
     pairs = np.triu(np.ones((m, m), dtype=bool), 1)
-    for t in range(tree):
-        pairs &= keys[:, t][:, None] != keys[:, t][None, :]
-    if sized:
-        n = _numbers(cell, "n").astype(np.float64)
-        pairs &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]) * (1 - 1e-12)
-    if cell.column("i")[0] != cell.column("j")[0]:
-        block = _numbers(cell, "block")
-        pairs &= block[:, None] != block[None, :]
+    n = _numbers(cell, "n").astype(np.float64)
+    block = _numbers(cell, "block")
+    across = cell.column("i")[0] != cell.column("j")[0]
+    for rows in _strips(m):
+        part = pairs[rows]
+        for t in range(tree):
+            part &= keys[rows, t][:, None] != keys[:, t][None, :]
+        if sized:
+            part &= np.minimum(n[rows, None], n[None, :]) >= threshold * np.maximum(n[rows, None], n[None, :]) * (1 - 1e-12)
+        if across:
+            part &= block[rows, None] != block[None, :]
     return pairs
 
 
-def _shared(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
-    """[a, b]: hashes that both sets of a wanted pair have."""
+def _close(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.ndarray:
+    """[a, b]: the pairs whose Jaccard similarity is at least `threshold`."""
     m = len(sets)
-    found = np.zeros((m, m), dtype=np.int64)
-    at = np.argwhere(pairs)
-    if len(at) <= 2 * m:
-        for a, b in at.tolist():
-            found[a, b] = np.intersect1d(sets[a], sets[b], assume_unique=True).size
-        return found
+    size = np.array([s.size for s in sets])
+    close = np.zeros((m, m), dtype=bool)
+    if np.count_nonzero(pairs) <= 2 * m:
+        for a, b in np.argwhere(pairs).tolist():
+            shared = np.intersect1d(sets[a], sets[b], assume_unique=True).size
+            close[a, b] = shared / (size[a] + size[b] - shared) >= threshold
+        return close
     values = np.concatenate(sets)
-    owner = np.repeat(np.arange(m), [s.size for s in sets])
+    owner = np.repeat(np.arange(m), size)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
-    new = np.concatenate([[True], values[1:] != values[:-1]])
-    column = np.cumsum(new) - 1
+    column = np.cumsum(np.concatenate([[True], values[1:] != values[:-1]])) - 1
     common = np.bincount(column)[column] > 1
     owner, column = owner[common], column[common]
     column = np.unique(column, return_inverse=True)[1]
-    total = np.zeros((m, m), dtype=np.float64)
+    total = np.zeros((m, m), dtype=np.float32)  # counts below 2^24 are exact
     for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
-        here = (column >= low) & (column < low + COLUMNS)
+        # Columns are in order, and so are those of a range.
+        here = slice(*np.searchsorted(column, (low, low + COLUMNS)))
         part = np.zeros((m, COLUMNS), dtype=np.float32)
         part[owner[here], column[here] - low] = 1
-        total += part @ part.T
-    return np.where(pairs, np.rint(total).astype(np.int64), 0)
+        for rows in _strips(m):
+            total[rows] += part[rows] @ part.T
+    for rows in _strips(m):
+        shared = total[rows].astype(np.float64)
+        close[rows] = pairs[rows] & (shared / (size[rows, None] + size[None, :] - shared) >= threshold)
+    return close
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -188,11 +202,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
             pairs = _meeting(group, threshold, sized)
             if not pairs.any():
                 continue
-            sets = shingler(group.column("text").to_pylist())
-            shared = _shared(sets, pairs)
-            size = np.array([s.size for s in sets])
-            union = size[:, None] + size[None, :] - shared
-            close = pairs & (shared / np.maximum(union, 1) >= threshold)
+            close = _close(shingler(group.column("text").to_pylist()), pairs, threshold)
             close |= close.T
             some = np.flatnonzero(close.any(axis=1))
             if not some.size:
@@ -201,7 +211,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
             root = _roots(close)
             us.append(item[some])
             vs.append(item[root[some]])
-            ns.append((close[some] * copies[None, :]).sum(axis=1))
+            ns.append(np.concatenate([close[rows] @ copies for rows in _strips(len(close))])[some])
             if sum(map(len, us)) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (us, vs, ns)], ["u", "v", "n_links"])
                 us, vs, ns = [], [], []
