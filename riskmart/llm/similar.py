@@ -25,6 +25,8 @@ BLOCK_HASHES = 500_000
 #: Columns and rows of a matrix product.
 COLUMNS = 1024
 STRIP = 128
+#: Characters of texts whose sets are made together.
+TEXTS = 2_000_000
 #: A table of up to this many bytes is sent to all executors; a larger one is joined by a shuffle.
 SENT_BYTES = 32_000_000
 
@@ -53,8 +55,12 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= SENT_BYTES else df
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of rows with the same (key, i, j); rows come sorted, and a cell may span batches."""
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table | pa.RecordBatch, np.ndarray | None]]:
+    """Runs of rows with the same (key, i, j); rows come sorted, and a cell may span batches.
+
+    Yields (rows of a cell, None), and for each batch (the batch, first rows of its cells of two): most
+    cells are that small, and those are worked on together.
+    """
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -62,15 +68,34 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
             continue
         cell = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j")])
         starts = np.concatenate([[0], 1 + np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)), [batch.num_rows]])
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-            own = tuple(cell[:, a].tolist())
-            if own != last and held:
-                yield pa.Table.from_batches(held)
-                held = []
-            last = own
-            held.append(batch.slice(a, b - a))
+        first = tuple(cell[:, 0].tolist())
+        if held and (first != last or len(starts) > 2):
+            if first == last:
+                held.append(batch.slice(0, starts[1]))
+                starts = starts[1:]
+            yield pa.Table.from_batches(held), None
+            held = []
+        size = np.diff(starts[:-1])  # all but the last cell end in this batch
+        if (size == 2).any():
+            yield batch, starts[:-2][size == 2]
+        for x in np.flatnonzero(size > 2).tolist():
+            yield pa.Table.from_batches([batch.slice(starts[x], size[x])]), None
+        last = tuple(cell[:, -1].tolist())
+        held.append(batch.slice(starts[-2], starts[-1] - starts[-2]))
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.Table.from_batches(held), None
+
+
+def _couples(batch: pa.RecordBatch, at: np.ndarray, threshold: float, sized: bool) -> np.ndarray:
+    """`_meeting` for cells of two rows, all at once: the first rows of those to compare."""
+    keys = batch.column("keys").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+    tree, n, block, i, j = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "n", "block", "i", "j"))
+    before = np.arange(keys.shape[1])[None, :] < tree[at][:, None]
+    meet = ~((keys[at] == keys[at + 1]) & before).any(axis=1) & ((i[at] == j[at]) | (block[at] != block[at + 1]))
+    if sized:
+        x, y = n[at].astype(np.float64), n[at + 1].astype(np.float64)
+        meet &= np.minimum(x, y) >= threshold * np.maximum(x, y) * (1 - 1e-12)
+    return at[meet]
 
 
 def _numbers(cell: pa.Table, name: str) -> np.ndarray:
@@ -174,8 +199,11 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Members with a pair to compare."""
         out, rows = [], 0
-        for group in _cells(batches):
-            if group.num_rows < 2:
+        for group, couples in _cells(batches):
+            if couples is not None:
+                at = _couples(group, couples, threshold, sized)
+                if at.size:
+                    yield group.take(pa.array(np.sort(np.concatenate([at, at + 1]))))
                 continue
             pairs = _meeting(group, threshold, sized)
             wanted = pairs.any(axis=0) | pairs.any(axis=1)
@@ -194,29 +222,46 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     fetched = texts(wanted).dropDuplicates(["item"])
     full = kept.join(fetched, "item").join(items.select("item", "copies"), "item")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        us, vs, ns = [], [], []
-        for group in _cells(batches):
-            if group.num_rows < 2:
-                continue
-            pairs = _meeting(group, threshold, sized)
-            if not pairs.any():
+    def of_couples(batch: pa.RecordBatch, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Links of cells of two rows, some texts at a time."""
+        item, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("item", "copies"))
+        both = batch.column("text").take(pa.array(np.stack([at, at + 1], axis=1).ravel())).to_pylist()
+        low, size = 0, 0
+        for k in range(len(at)):
+            size += len(both[2 * k]) + len(both[2 * k + 1])
+            if size < TEXTS and k + 1 < len(at):
                 continue
+            sets = shingler(both[2 * low : 2 * k + 2])
+            shared = [np.intersect1d(x, y, assume_unique=True).size for x, y in zip(sets[::2], sets[1::2])]
+            close = [s / (x.size + y.size - s) >= threshold for s, x, y in zip(shared, sets[::2], sets[1::2])]
+            one = at[low : k + 1][np.array(close)]
+            yield np.concatenate([item[one], item[one + 1]]), np.tile(item[one], 2), np.concatenate([copies[one + 1], copies[one]])
+            low, size = k + 1, 0
+
+    def of_cell(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        pairs = _meeting(group, threshold, sized)
+        if pairs.any():
             close = _close(shingler(group.column("text").to_pylist()), pairs, threshold)
             close |= close.T
             some = np.flatnonzero(close.any(axis=1))
-            if not some.size:
-                continue
             item, copies = _numbers(group, "item"), _numbers(group, "copies")
-            root = _roots(close)
-            us.append(item[some])
-            vs.append(item[root[some]])
-            ns.append(np.concatenate([close[rows] @ copies for rows in _strips(len(close))])[some])
-            if sum(map(len, us)) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (us, vs, ns)], ["u", "v", "n_links"])
-                us, vs, ns = [], [], []
-        if us:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (us, vs, ns)], ["u", "v", "n_links"])
+            if some.size:
+                near = np.concatenate([close[rows] @ copies for rows in _strips(len(close))])
+                yield item[some], item[_roots(close)[some]], near[some]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], ["u", "v", "n_links"])
+
+        for group, couples in _cells(batches):
+            found += of_cell(group) if couples is None else of_couples(group, _couples(group, couples, threshold, sized))
+            if sum(len(x[0]) for x in found) > 20_000:
+                yield rows()
+                found.clear()
+        if found:
+            yield rows()
 
     return full.repartition(*cell).sortWithinPartitions(*cell).mapInArrow(compare, "u long, v long, n_links long")
 
