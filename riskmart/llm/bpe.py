@@ -29,11 +29,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import others, text_of
+from riskmart.llm.common import others, text_of, tidy
 
 TOKENIZER = "word_bpe_49k.json"
 #: Different words whose ids a worker remembers: two generations of this many.
-REMEMBERED = 150_000
+REMEMBERED = 75_000
 #: Characters of a batch that are encoded before they are handed on.
 PIECE = 1_000_000
 _NEVER = 1 << 60
@@ -252,6 +252,7 @@ def encoded(text: Column, tokenizer: str = TOKENIZER) -> Column:
     """Ids of a text, 4 bytes each, little-endian; empty for null."""
 
     @F.pandas_udf("binary")
+    @tidy
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = codec(tokenizer).encode
         for batch in batches:
@@ -265,6 +266,7 @@ def decoded(ids: Column, tokenizer: str = TOKENIZER) -> Column:
     """Text of packed ids; empty for null."""
 
     @F.pandas_udf("string")
+    @tidy
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decode = codec(tokenizer).decode
         for batch in batches:
@@ -298,6 +300,7 @@ def round_trip(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) ->
     """`decode(encode(df))` by one worker a task, which holds the automaton once."""
 
     @F.pandas_udf("ids binary, decoded string")
+    @tidy
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = codec(tokenizer)
         for batch in batches:

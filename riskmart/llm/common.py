@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +36,17 @@ def n_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once a row, for use inside lambdas."""
     return F.transform(F.array(value), body)[0]
+
+
+def tidy(task):
+    """A function of a task's batches that, at its end, gives back what Arrow holds but does not use.
+
+    Workers live on when their task is over, and what they keep counts against later stages.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import text_of
+from riskmart.llm.common import text_of, tidy
 from riskmart.llm.similar import components, finalised, links, multipliers, set_hash, small
 from riskmart.session import cut_lineage
 
@@ -95,6 +95,7 @@ def _steps(texts: Sequence[str]) -> Iterator[tuple[int, int, list[np.ndarray]]]:
 
 
 def _signed(depth: int, trees: int):
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("id"), batch.column("text")
@@ -152,6 +153,7 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     )
 
 
+@tidy
 def _same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the set that is asked for; several rows may have the id."""
     for batch in batches:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import others
+from riskmart.llm.common import others, tidy
 from riskmart.llm.similar import components, finalised, links, multipliers, small
 from riskmart.session import cut_lineage
 
@@ -119,6 +119,7 @@ def _occurring(signed: bool):
             columns += [count, *bands(values, count).T]
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, numbers, lines, size = [], [], [], 0
@@ -137,6 +138,7 @@ def _occurring(signed: bool):
     return run, ", ".join(f"{c} long" for c in names)
 
 
+@tidy
 def _asked_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(item, text) of the lines asked for in each document, where its text has them."""
     for batch in batches:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.llm.common import tidy
 from riskmart.session import cut_lineage
 
 #: A block holds at most about this many items and this many hashes.
@@ -196,6 +197,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     )
     cell = ["key", "i", "j"]
 
+    @tidy
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Members with a pair to compare."""
         out, rows = [], 0
@@ -249,6 +251,7 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
                 near = np.concatenate([close[rows] @ copies for rows in _strips(len(close))])
                 yield item[some], item[_roots(close)[some]], near[some]
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
