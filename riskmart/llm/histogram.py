@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import text_of
+from riskmart.session import cut_lineage
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 #: Lengths that one task of the suffix sums takes.
@@ -45,7 +46,9 @@ def encoded_lengths(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZE
 
 
 def _counted(lengths: DataFrame, column: str) -> DataFrame:
-    return lengths.groupBy(F.coalesce(F.col(column).cast("long"), F.lit(0)).alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
+    """Documents of each length, stored: what follows reads it twice, and the texts are encoded once."""
+    length = F.coalesce(F.col(column).cast("long"), F.lit(0)).alias("length")
+    return cut_lineage(lengths.groupBy(length).agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
 def histogram(lengths: DataFrame, column: str = "length") -> DataFrame:
