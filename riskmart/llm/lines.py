@@ -7,6 +7,8 @@ they lie; they move, if at all, once: at the end, to meet the numbers of the lin
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,8 @@ ROWS = 3
 STEP = 1 << 17
 _EMPTY = np.uint64(1 << 63)
 _NO_ID = -(1 << 63)
+#: Seeds of the two halves of a text's hash.
+_HALVES = {"t1": 3, "t2": 5}
 
 
 def own_lines(text: str) -> dict[str, int]:
@@ -108,12 +112,20 @@ def bands(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _occurring(signed: bool):
-    """Rows (doc, line, h1, h2) of a document's different lines; with size and buckets if `signed`."""
-    names = ["doc", "line", "h1", "h2", *(["n", *[f"k{b}" for b in range(BANDS)]] if signed else [])]
+def _named(df: DataFrame, key: str, text: str) -> dict[str, Column]:
+    """Columns that tell documents apart: the id, and where rows share one or have none, 128 bits of the text too."""
+    named = {"doc": F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID))}
+    if df.groupBy(named["doc"].alias("doc")).count().filter("count > 1").isEmpty():
+        return named
+    return named | {t: F.xxhash64(F.lit(seed), F.col(key).isNull(), F.col(text).cast("string")) for t, seed in _HALVES.items()}
 
-    def rows(docs: list, numbers: list, lines: list[str]) -> pa.RecordBatch:
-        columns = [np.array(docs, dtype=np.int64), np.array(numbers, dtype=np.int64), *_line_hashes(lines)]
+
+def _occurring(signed: bool, by: Sequence[str]):
+    """Rows (*by, line, h1, h2) of a document's different lines; with size and buckets if `signed`."""
+    names = [*by, "line", "h1", "h2", *(["n", *[f"k{b}" for b in range(BANDS)]] if signed else [])]
+
+    def rows(batch: pa.RecordBatch, at: list, numbers: list, lines: list[str]) -> pa.RecordBatch:
+        columns = [*[batch.column(c).to_numpy(zero_copy_only=False)[at] for c in by], np.array(numbers, dtype=np.int64), *_line_hashes(lines)]
         if signed:
             values, count = _shingle_hashes(lines)
             columns += [count, *bands(values, count).T]
@@ -122,18 +134,18 @@ def _occurring(signed: bool):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, numbers, lines, size = [], [], [], 0
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
+            at, numbers, lines, size = [], [], [], 0
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 for line, number in own_lines(text).items():
-                    docs.append(doc)
+                    at.append(i)
                     numbers.append(number)
                     lines.append(line)
                     size += len(line)
                     if size >= STEP:
-                        yield rows(docs, numbers, lines)
-                        docs, numbers, lines, size = [], [], [], 0
+                        yield rows(batch, at, numbers, lines)
+                        at, numbers, lines, size = [], [], [], 0
             if lines:
-                yield rows(docs, numbers, lines)
+                yield rows(batch, at, numbers, lines)
 
     return run, ", ".join(f"{c} long" for c in names)
 
@@ -175,35 +187,38 @@ def _without(text: Column, lost: Column) -> Column:
     return cut(text, lost)
 
 
-def lost_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc, lost): for each document the numbers of its lines that stand elsewhere, or in like form, already."""
-    source = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
+def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(*named, lost): for each document the numbers of its lines that stand elsewhere, or in like form, already."""
+    by = list(named)
+    source = df.select(*[c.alias(n) for n, c in named.items()], F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
     names = [f"k{b}" for b in range(BANDS)]
-    run, schema = _occurring(True)
+    run, schema = _occurring(True, by)
     found = source.mapInArrow(run, schema)
+    # The least document and the line there; of an id alone without a struct, which hash aggregates cannot hold.
+    lead = F.min(F.struct(*by, "line")) if len(by) > 1 else F.struct(F.min("doc").alias("doc"), F.min_by("line", "doc").alias("line"))
     # Copies of a line combine before the shuffle: a line that all documents share costs one row a task.
-    same = found.groupBy("h1", "h2").agg(
-        F.min("doc").alias("first"), F.min_by("line", "doc").alias("at"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in ("n", *names)]
-    )
-    items = same.select(F.monotonically_increasing_id().alias("item"), "h1", "h2", "first", "at", "copies", "n", F.array(*names).alias("keys"))
+    same = found.groupBy("h1", "h2").agg(lead.alias("lead"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in ("n", *names)])
+    items = same.select(F.monotonically_increasing_id().alias("item"), "h1", "h2", "lead", "copies", "n", F.array(*names).alias("keys"))
     items = cut_lineage(items, "lines")
 
     def texts(wanted: DataFrame) -> DataFrame:
-        asked = items.join(wanted, "item").groupBy(F.col("first").alias("doc")).agg(F.collect_list(F.struct("item", "at", "h1", "h2")).alias("asked"))
+        asked = items.join(wanted, "item").groupBy(*[F.col(f"lead.{c}").alias(c) for c in by])
+        asked = asked.agg(F.collect_list(F.struct("item", F.col("lead.line").alias("at"), "h1", "h2")).alias("asked"))
         asked = cut_lineage(asked, "asked")
-        return source.join(small(asked, 200), "doc").select("text", "asked").mapInArrow(_asked_lines, "item long, text string")
+        return source.join(small(asked, 200), by).select("text", "asked").mapInArrow(_asked_lines, "item long, text string")
 
     edges = cut_lineage(links(items, texts, line_shingles, threshold, sized=False).select("u", "v"), "links")
     roots = components(edges)
     members = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
-    members = members.join(items.select(F.col("item").alias("node"), "first", "at"), "node")
-    stays = members.groupBy("root").agg(F.min(F.struct("first", "at", "node")).alias("kept"))
+    members = members.join(items.select(F.col("item").alias("node"), "lead"), "node")
+    stays = members.groupBy("root").agg(F.min(F.struct("lead", "node")).alias("kept"))
     goes = members.join(stays, "root").filter(F.col("node") != F.col("kept.node")).select(F.col("node").alias("item"), F.lit(True).alias("goes"))
-    fates = items.select("item", "h1", "h2", "first", "copies").join(goes, "item", "left").filter("copies > 1 OR goes")
-    run, schema = _occurring(False)
+    fates = items.select("item", "h1", "h2", *[F.col(f"lead.{c}").alias(f"first_{c}") for c in by], "copies").join(goes, "item", "left").filter("copies > 1 OR goes")
+    run, schema = _occurring(False, by)
     again = source.mapInArrow(run, schema)
-    lost = again.join(fates.select("h1", "h2", "first", "goes"), ["h1", "h2"]).filter("goes OR doc <> first")
-    return lost.groupBy("doc").agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
+    elsewhere = reduce(or_, [F.col(c) != F.col(f"first_{c}") for c in by])
+    lost = again.join(fates.drop("item", "copies"), ["h1", "h2"]).filter(F.col("goes") | elsewhere)
+    return lost.groupBy(*by).agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
 
 
 def _mean_size(lost: DataFrame) -> int:
@@ -216,19 +231,21 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     Lines are compared without the white space around them; blank ones stay where they are. Two are
     alike if the Jaccard similarity of their runs of eight characters is at least `threshold`; a
     shorter line is one run. Of the lines that such links connect, across the corpus and within a
-    text, that of the least document id, and there the first, stays.
+    text, that of the least document id, and there the first, stays; null is the least id, and of
+    several texts with one id the order is that of their hashes.
 
-    Null texts stay null and have no lines. Rows with equal ids, null among them, count as one
-    document: they keep the same lines. A text that loses every line keeps its row. Columns of `df`
+    Null texts stay null and have no lines. Rows are documents of their own, also those of equal or
+    null ids; only rows equal in id and text count as one: they keep the same lines. A text that loses every line keeps its row. Columns of `df`
     named n_lines or n_removed are replaced. An empty table gives no rows.
     """
-    lost = cut_lineage(lost_lines(df, key, text, threshold), "lost")
-    lost = lost.select(F.col("doc").alias("__doc"), F.col("lost").alias("__lost"))
+    named = _named(df, key, text)
+    lost = cut_lineage(lost_lines(df, named, text, threshold), "lost")
+    lost = lost.select(*[F.col(c).alias(f"__{c}") for c in lost.columns])
     made = (text, "n_lines", "n_removed")
     kept = others(df, ("n_lines", "n_removed"))
-    rows = df.select(*kept, F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("__doc"))
+    rows = df.select(*kept, *[c.alias(f"__{n}") for n, c in named.items()])
     # The list of lost lines goes to the texts if its size allows, else both are shuffled by document.
-    joined = rows.join(small(lost, 16 + 4 * _mean_size(lost)), "__doc", "left")
+    joined = rows.join(small(lost, 8 + 8 * len(named) + 4 * _mean_size(lost)), [f"__{n}" for n in named], "left")
     cut = joined.withColumn("__cut", _without(F.col(text).cast("string"), F.col("__lost")))
     order = [F.col("__cut.text").alias(text) if c.lower() == text.lower() else F.col(f"`{c}`") for c in df.columns if c.lower() not in made[1:]]
     return cut.select(*order, "__cut.n_lines", "__cut.n_removed")

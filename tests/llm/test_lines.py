@@ -141,3 +141,20 @@ def test_query_by_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert rows_of(QUERIES["op2_line_dedup"](spark, sf)) == brute(rows)
+
+
+def test_rows_of_one_id_or_none_are_documents(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=30)) for _ in range(60)]
+    rows = [(k, "\n".join([rng.choice(words) for _ in range(rng.randint(1, 5))] + [f"{i} {rng.random()}"])) for i, k in enumerate([None] * 12 + [4] * 9 + [9, 2, 30])]
+    rows += rows[:2]  # rows equal in id and text count as one document
+    df = spark.createDataFrame([(k, "x", t, "y", "z") for k, t in rows], SCHEMA).repartition(4)
+    found = lines.dedup_lines(df).collect()
+    assert len(found) == len(rows) and all(r.n_lines - r.n_removed == len(r.text.split("\n")) for r in found)
+    # Every line of the corpus stays in one document, of the least id: none is lost, none stands twice.
+    held = [(line, r[0]) for r in {(r.doc_id, r.text) for r in found} for line in r[1].split("\n")]
+    where = {}
+    for k, text in rows:
+        for line in text.split("\n"):
+            where.setdefault(line, []).append(k)
+    assert sorted(held, key=repr) == sorted([(line, None if None in ids else min(ids)) for line, ids in where.items()], key=repr)
