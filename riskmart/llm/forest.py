@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import text_of, tidy
@@ -26,6 +26,10 @@ LONGEST = 8
 RECALL = 0.998
 #: Hashes that one step of the signature handles.
 STEP = 1 << 16
+#: Seeds of the two halves of a text's hash.
+_HALVES = {"t1": 3, "t2": 5}
+#: Columns that name a row; rows equal in id and text share them.
+ROW = ("none", "id", *_HALVES)
 
 
 def word_shingles(texts: Sequence[str]) -> list[np.ndarray]:
@@ -94,17 +98,23 @@ def _steps(texts: Sequence[str]) -> Iterator[tuple[int, int, list[np.ndarray]]]:
         yield low, low + len(sets), sets
 
 
+def _row(key: str, text: str) -> list[Column]:
+    """The columns ROW: whether the id is null, the id with 0 for null, and 128 bits of the text."""
+    key_, value = F.col(key).cast("long"), text_of(text)
+    return [key_.isNull().alias("none"), F.coalesce(key_, F.lit(0)).alias("id"), *[F.xxhash64(F.lit(seed), value).alias(t) for t, seed in _HALVES.items()]]
+
+
 def _signed(depth: int, trees: int):
     @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id"), batch.column("text")
-            for low, high, sets in _steps(texts.to_pylist()):
+            own = batch.select(list(ROW)).columns
+            for low, high, sets in _steps(batch.column("text").to_pylist()):
                 a, b = set_hash(np.concatenate(sets), np.cumsum([0, *[s.size for s in sets[:-1]]]))
                 n = np.array([s.size for s in sets], dtype=np.int64)
                 keys = prefixes(sets, depth, trees)
-                columns = [ids.slice(low, high - low), *map(pa.array, (a, b, n)), *[pa.array(np.ascontiguousarray(keys[:, t])) for t in range(trees)]]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "a", "b", "n", *[f"k{t}" for t in range(trees)]])
+                columns = [*[c.slice(low, high - low) for c in own], *map(pa.array, (a, b, n)), *[pa.array(np.ascontiguousarray(keys[:, t])) for t in range(trees)]]
+                yield pa.RecordBatch.from_arrays(columns, [*ROW, "a", "b", "n", *[f"k{t}" for t in range(trees)]])
 
     return sign
 
@@ -123,39 +133,45 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     ordered first and give a null class only where all ids are null. An empty table gives no rows.
     Other columns of `df` are not kept, whatever their names.
     """
+    rows, placed = _classes(df, key, text, threshold, recall, trees)
+    classes = placed.groupBy("root").agg(F.min("first").alias("kept"))
+    named = placed.join(classes, "root").select("a", "b", "copies", "near", F.when(~F.col("kept.none"), F.col("kept.id")).alias("class_id"))
+    return (
+        rows.select("none", "id", "a", "b")
+        .join(named, ["a", "b"])
+        .select(F.when(~F.col("none"), F.col("id")).alias(key), "class_id", (F.col("near") + F.col("copies") - 1).alias("n_links"), (F.col("copies") - 1).alias("n_copies"))
+    )
+
+
+def _classes(df: DataFrame, key: str, text: str, threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
+    """(*ROW, a, b, ..) of each row, and (a, b, first, copies, root, near) of each set: first is its least row, root names its class."""
     depth = prefix_depth(threshold, recall, trees)
-    source = df.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
+    source = df.select(*_row(key, text), text_of(text).alias("text"))
     names = [f"k{t}" for t in range(trees)]
-    schema = ", ".join(f"{c} long" for c in ("id", "a", "b", "n", *names))
+    schema = "none boolean, " + ", ".join(f"{c} long" for c in (*ROW[1:], "a", "b", "n", *names))
     rows = cut_lineage(source.mapInArrow(_signed(depth, trees), schema), "signed")
-    sets = rows.groupBy("a", "b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in ("n", *names)])
+    sets = rows.groupBy("a", "b").agg(F.min(F.struct(*ROW)).alias("first"), F.count(F.lit(1)).alias("copies"), *[F.min(c).alias(c) for c in ("n", *names)])
     sets = sets.select(F.monotonically_increasing_id().alias("item"), "a", "b", "first", "copies", "n", F.array(*names).alias("keys"))
     items = cut_lineage(sets, "items")
     # Sets so small that any other set is less similar have no links to search.
     searched = items.filter(F.col("n") >= threshold * (F.col("n") + 1))
 
     def texts(wanted: DataFrame) -> DataFrame:
-        asked = cut_lineage(items.join(wanted, "item").select("item", "a", "b", "first"), "asked")
-        found = source.join(small(asked, 40), F.col("id").eqNullSafe(F.col("first")))
+        # A row has one set, so it is asked for at most once; only its own copies answer with it.
+        asked = cut_lineage(items.join(wanted, "item").select("item", "a", "b", "first.*"), "asked")
+        found = source.join(small(asked, 57), list(ROW))
         return found.select("item", "a", "b", "text").mapInArrow(_same_set, "item long, text string")
 
     linked = cut_lineage(links(searched, texts, word_shingles, threshold), "links")
     roots = components(linked.select("u", "v"))
     degree = linked.groupBy("u").agg(F.sum("n_links").alias("n_links"))
     placed = items.select("item", "a", "b", "first", "copies").join(roots, F.col("item") == F.col("node"), "left").join(degree, F.col("item") == F.col("u"), "left")
-    placed = placed.select("a", "b", "first", "copies", F.coalesce("root", "item").alias("root"), F.coalesce("n_links", F.lit(0)).alias("near"))
-    classes = placed.groupBy("root").agg(F.min("first").alias("class_id"))
-    named = placed.join(classes, "root").select("a", "b", "copies", "near", "class_id")
-    return (
-        rows.select("id", "a", "b")
-        .join(named, ["a", "b"])
-        .select(F.col("id").alias(key), "class_id", (F.col("near") + F.col("copies") - 1).alias("n_links"), (F.col("copies") - 1).alias("n_copies"))
-    )
+    return rows, placed.select("a", "b", "first", "copies", F.coalesce("root", "item").alias("root"), F.coalesce("n_links", F.lit(0)).alias("near"))
 
 
 @tidy
 def _same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the set that is asked for; several rows may have the id."""
+    """Rows whose text has the set that is asked for, whatever text has the hash of another."""
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -157,3 +157,23 @@ def test_query_by_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert rows_of(QUERIES["op9_near_copies"](spark, sf)) == brute(rows)
+
+
+def test_a_text_is_fetched_once_where_ids_are_null_or_equal(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [t for _ in range(15) for w in [[f"w{rng.randrange(400)}" for _ in range(60)]] for t in (" ".join(w), edited(w, rng, 1))]
+    rows = [(k, t) for k, half in ((None, texts[:16]), (7, texts[16:])) for t in half]
+    fetched, check = spark.sparkContext.accumulator(0), forest._same_set
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                fetched.add(batch.num_rows)
+                yield batch
+
+        yield from check(seen())
+
+    monkeypatch.setattr(forest, "_same_set", counted)
+    df = spark.createDataFrame([(k, t, "x", "y", "z") for k, t in rows], SCHEMA).repartition(4)
+    assert sorted((r.class_id or 0, r.n_links) for r in forest.near_copies(df).collect()) == [(0, 1)] * 16 + [(7, 1)] * 14
+    assert fetched.value == len(rows)
