@@ -182,10 +182,26 @@ def _same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `df` that stay when one document of each class stays: that with the class's id.
+    """One row of `df` for each class: that of the class's id, and of several texts with it that of the least hash.
 
-    Of rows with equal ids, all stay if one does; rows with null ids stay only in classes of nulls.
+    Rows equal in id and text are one choice; the one that stays has the least hash of all its columns.
+    A row with a null id stays only in classes of nulls, one in each.
     """
-    found = near_copies(df, key, text, **options)
-    kept = found.filter(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__kept")).distinct()
-    return df.join(kept, F.col(key).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    rows, placed = _classes(df, key, text, **options)
+    classes = placed.groupBy("root").agg(F.min("first").alias("kept")).select("kept.*")
+    # A row is in one class, so the rows that stay differ; how many equal ones each has comes from the stored hashes.
+    kept = cut_lineage(rows.select(*ROW).join(classes, list(ROW)).groupBy(*ROW).agg(F.count(F.lit(1)).alias("times")), "kept")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    named = df.select(F.struct(*columns).alias("__row"), *[c.alias(f"__{n}") for n, c in zip(ROW, _row(key, text))])
+
+    def chosen(which: str) -> DataFrame:
+        wanted = cut_lineage(kept.filter(which).select(*[F.col(c).alias(f"__{c}") for c in ROW]), "kept")
+        return named.join(small(wanted, 32), wanted.columns, "left_semi")
+
+    alone = chosen("times = 1").select("__row.*")
+    if kept.filter("times > 1").isEmpty():
+        return alone
+    # Equal rows combine before the shuffle.
+    tie = F.xxhash64(F.to_json(F.struct("__row")))
+    equal = chosen("times > 1").groupBy(*[f"__{c}" for c in ROW]).agg(F.min_by("__row", tie).alias("__row"))
+    return alone.unionAll(equal.select("__row.*"))

@@ -177,3 +177,24 @@ def test_a_text_is_fetched_once_where_ids_are_null_or_equal(spark, monkeypatch):
     df = spark.createDataFrame([(k, t, "x", "y", "z") for k, t in rows], SCHEMA).repartition(4)
     assert sorted((r.class_id or 0, r.n_links) for r in forest.near_copies(df).collect()) == [(0, 1)] * 16 + [(7, 1)] * 14
     assert fetched.value == len(rows)
+
+
+def test_one_row_of_each_class_with_repeated_and_null_ids(spark):
+    rng = random.Random(12)
+    words = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(7)]
+    a, b, c, d, e, f, g = map(" ".join, words)
+    classes = {
+        "copies": [(5, a)] * 50 + [(6, a)],
+        "null and id": [(None, b), (None, edited(words[1], rng, 1)), (8, b)],
+        "nulls": [(None, c)] * 3 + [(None, edited(words[2], rng, 1))],
+        "nulls of another text": [(None, d)],
+        "an id of several texts": [(9, e), (9, edited(words[4], rng, 1))],
+        "another class of that id": [(9, f), (9, f)],
+        "alone": [(1, g)],
+    }
+    rows = [(k, t, name, str(i), "z") for name, members in classes.items() for i, (k, t) in enumerate(members)]
+    rng.shuffle(rows)
+    kept = forest.one_of_each(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    assert sorted(r.a for r in kept) == sorted(classes)
+    assert {r.a: r.doc_id for r in kept} == {n: min((k for k, _ in m if k is not None), default=None) for n, m in classes.items()}
+    assert all(tuple(r) in set(rows) for r in kept)
