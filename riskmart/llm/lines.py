@@ -187,6 +187,10 @@ def _without(text: Column, lost: Column) -> Column:
     return cut(text, lost)
 
 
+def _mean_size(df: DataFrame, lists: str) -> int:
+    return int(df.agg(F.avg(F.size(lists))).first()[0] or 0) + 1
+
+
 def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(*named, lost): for each document the numbers of its lines that stand elsewhere, or in like form, already."""
     by = list(named)
@@ -205,7 +209,7 @@ def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", thre
         asked = items.join(wanted, "item").groupBy(*[F.col(f"lead.{c}").alias(c) for c in by])
         asked = asked.agg(F.collect_list(F.struct("item", F.col("lead.line").alias("at"), "h1", "h2")).alias("asked"))
         asked = cut_lineage(asked, "asked")
-        return source.join(small(asked, 200), by).select("text", "asked").mapInArrow(_asked_lines, "item long, text string")
+        return source.join(small(asked, 8 + 8 * len(by) + 32 * _mean_size(asked, "asked")), by).select("text", "asked").mapInArrow(_asked_lines, "item long, text string")
 
     edges = cut_lineage(links(items, texts, line_shingles, threshold, sized=False).select("u", "v"), "links")
     roots = components(edges)
@@ -221,10 +225,6 @@ def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", thre
     return lost.groupBy(*by).agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
 
 
-def _mean_size(lost: DataFrame) -> int:
-    return int(lost.agg(F.avg(F.size("__lost"))).first()[0] or 0) + 1
-
-
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every row of `df`, its text without duplicate lines, and n_lines and n_removed.
 
@@ -245,7 +245,7 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshol
     kept = others(df, ("n_lines", "n_removed"))
     rows = df.select(*kept, *[c.alias(f"__{n}") for n, c in named.items()])
     # The list of lost lines goes to the texts if its size allows, else both are shuffled by document.
-    joined = rows.join(small(lost, 8 + 8 * len(named) + 4 * _mean_size(lost)), [f"__{n}" for n in named], "left")
+    joined = rows.join(small(lost, 8 + 8 * len(named) + 4 * _mean_size(lost, "__lost")), [f"__{n}" for n in named], "left")
     cut = joined.withColumn("__cut", _without(F.col(text).cast("string"), F.col("__lost")))
     order = [F.col("__cut.text").alias(text) if c.lower() == text.lower() else F.col(f"`{c}`") for c in df.columns if c.lower() not in made[1:]]
     return cut.select(*order, "__cut.n_lines", "__cut.n_removed")

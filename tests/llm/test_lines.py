@@ -158,3 +158,21 @@ def test_rows_of_one_id_or_none_are_documents(spark):
         for line in text.split("\n"):
             where.setdefault(line, []).append(k)
     assert sorted(held, key=repr) == sorted([(line, None if None in ids else min(ids)) for line, ids in where.items()], key=repr)
+
+
+def test_lists_of_asked_lines_are_measured(spark, monkeypatch):
+    sizes = {}
+
+    def measured(df, row_bytes):
+        if "asked" in df.columns:
+            sizes["all"] = df.count() * row_bytes
+            sizes["lists"] = sum(32 * len(r.asked) for r in df.collect())
+        return df
+
+    monkeypatch.setattr(lines, "small", measured)
+    rng = random.Random(3)
+    text = ["".join(rng.choices("abcdefghij", k=40)) for _ in range(400)]
+    rows = [(1, "\n".join(text)), (2, "\n".join(x + "!" for x in text))]
+    df = spark.createDataFrame([(k, "x", t, "y", "z") for k, t in rows], SCHEMA)
+    assert rows_of(lines.dedup_lines(df)) == brute(rows)
+    assert sizes["all"] >= sizes["lists"] >= 32 * 700
