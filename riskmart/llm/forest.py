@@ -1,8 +1,8 @@
-"""Near-copy join of documents: word shingles, an LSH forest over MinHash labels, exact verification.
+"""Near-copy join of documents: word shingles, banding of MinHash values, exact verification.
 
-Each tree of the forest is a prefix trie over labels of MinHash values. Prefixes are matched as long as they
-can be and shortened, value by value, until two documents of the least similarity that counts meet in some
-tree with the target recall.
+A tree is a band: documents meet in it if its first `depth` values are equal. The depth is fixed before data is
+read: the longest with which two documents of the least similarity that counts meet in some tree with the
+target recall. No tries are built, and no prefix is matched longer where a node is crowded.
 """
 
 from __future__ import annotations
