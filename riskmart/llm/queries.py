@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, chat, forest, histogram, lines, merkle, mixing, quality, url_filter, warc
+from riskmart.llm import align, bpe, chat, forest, histogram, lines, merkle, mixing, quality, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -241,3 +241,14 @@ def op9_near_copies(spark: SparkSession, sf: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without duplicate lines."""
     return lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups, links and corpus-wide counts of the links of two tokenizers, for every whole text."""
+    aligned = align.alignments(table(spark, sf, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    numbers = ["n_a", "n_b", "n_groups", "n_links"]
+    digested = aligned.select("doc_id", *numbers, "n_overlaps", digest, "pairs", "times")
+    counted = align.with_counts(digested, align.vocabulary_sizes(align.BYTE_LEVEL, align.PIECES)[1])
+    return counted.select("doc_id", *numbers, "n_best", "count_sum", "groups_sha256", "n_overlaps")
