@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import align, bpe, chat, forest, histogram, lines, merkle, mixing, quality, url_filter, warc
+from riskmart.llm import align, bpe, chat, forest, histogram, lines, merkle, mixing, quality, runs, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -252,3 +253,33 @@ def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     digested = aligned.select("doc_id", *numbers, "n_overlaps", digest, "pairs", "times")
     counted = align.with_counts(digested, align.vocabulary_sizes(align.BYTE_LEVEL, align.PIECES)[1])
     return counted.select("doc_id", *numbers, "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def _looped(doc_id: str | None, words: list[str]) -> list[str]:
+    """Every tenth document, by a hash of its id, repeats from some word on; a null id has none."""
+    h = zlib.crc32(doc_id.encode("ascii")) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of every whole text, and the text without its repetitions."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs, edit=_looped, key="doc_id").select("doc_id", "runs", "collapsed")
+    # Runs come by start, then period: the first of equal ones stays.
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.aggregate("runs", none, lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col("best")[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
