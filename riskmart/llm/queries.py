@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import align, bpe, chat, forest, histogram, lines, merkle, mixing, quality, runs, url_filter, warc
+from riskmart.llm import align, bpe, chat, forest, histogram, lines, merkle, mixing, personal, quality, runs, url_filter, warc
 from riskmart.llm.common import table
 from riskmart.llm.url_filter import Rule
 
@@ -283,3 +283,18 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Base spans of every whole text by kind, and all spans with those the classifier adds."""
+    found, _ = personal.find(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in personal.KINDS],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )

@@ -1,0 +1,181 @@
+import hashlib
+import random
+import re
+import time
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from riskmart.llm import personal
+from riskmart.llm.queries import QUERIES
+
+PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def plain_luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(n // 10 + n % 10 for n in doubled) % 10 == 0
+
+
+def brute(text):
+    """The four patterns as they are stated, and their checks."""
+    out = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = (True, kind == 1 and all(int(p) <= 255 for p in m[0].split(".")), 12 <= len(digits) <= 19 and plain_luhn(digits), 9 <= len(digits) <= 15)
+            if good[kind]:
+                out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], s[0]))
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(alphabet=st.sampled_from("a@.-+ 1250()%é\n"), max_size=40))
+def test_base_spans_are_the_patterns(text):
+    assert personal.base_spans(text)[0] == brute(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["4111 1111 1111 1111", "1.2.3.4", "+1 (310) 555-4510", "a.b@c.de", "@", ".", " ", "255.256.1.1", "x", "[at]", " dot ", "(310) 555-4510", "0", "::1", "fe80:1:2::3"]), max_size=12))
+def test_spans_do_not_overlap_base(parts):
+    text = "".join(parts)
+    base, failed = personal.base_spans(text)
+    assert base == brute(text)
+    extra = personal.proposals(text, base, failed)
+    for k, s, e in extra:
+        assert 0 <= s < e <= len(text) and not any(s < y and x < e for _, x, y in base) and sum(s < y and x < e for _, x, y in extra) == 1
+
+
+@pytest.mark.parametrize("text", ["a" * 400_000, "1" * 400_000, "1." * 200_000, "+" * 100_000 + "1 " * 100_000, "a@" * 100_000, "1:" * 200_000, " at dot" * 50_000])
+def test_long_runs_take_little_time(text):
+    start = time.process_time()
+    base, failed = personal.base_spans(text)
+    personal.proposals(text, base, failed)
+    assert time.process_time() - start < 8
+
+
+def test_reliabilities_are_found_without_labels():
+    """Votes drawn with known reliabilities: they are found, and decide as well as if they were known."""
+    rng = np.random.default_rng(1)
+    right = np.array([0.95, 0.7, 0.9, 0.6, 0.85, 0.75, 0.8, 0.5])
+    truth = rng.random(40_000) < 0.3
+    votes = np.where(rng.random((len(truth), 8)) < right, truth[:, None], ~truth[:, None]) * 2
+    votes[rng.random(votes.shape) < 0.3] = 1
+    codes = (votes * 3 ** np.arange(8)[::-1]).sum(axis=1)
+    assert (personal.votes_of(codes) == votes).all()
+    known, counts = np.unique(codes, return_counts=True)
+    learnt = personal.estimate(known, counts)
+    assert abs(learnt.share - 0.3) < 0.02
+    found = learnt.votes[1, :, 2] / (learnt.votes[1, :, 2] + learnt.votes[1, :, 0])
+    assert np.abs(found - right).max() < 0.03
+    vote = lambda r: np.stack([0.7 * (1 - r), np.full(8, 0.3), 0.7 * r], axis=1)
+    known_to_us = personal.Reliabilities(0.3, np.stack([vote(1 - right), vote(right)]))
+    accuracy = [((r.posterior(codes) > 0.5) == truth).mean() for r in (learnt, known_to_us)]
+    assert accuracy[0] > accuracy[1] - 0.002 > 0.95
+    assert personal.estimate(np.empty(0, np.int64), np.empty(0, np.int64)).share == 0.5
+
+
+def test_the_classifier_learns_soft_labels():
+    rng = random.Random(2)
+    features = [sorted(rng.sample(range(50), 5)) for _ in range(2000)]
+    target = np.array([0.9 if 3 in f or 7 in f else 0.1 for f in features])
+    w = personal.fit(features, target)
+    d = personal.Detector({}, {0: w})
+    assert np.mean([(d.probability(0, f) > 0.5) == (t > 0.5) for f, t in zip(features, target)]) > 0.97
+    assert (personal.fit([], np.empty(0)) == 0).all()
+
+
+def labelled(n, seed):
+    """(text, personal spans that no base pattern finds, other spans of like form)."""
+    rng = random.Random(seed)
+    d = lambda k: "".join(rng.choices("0123456789", k=k))
+    name = lambda: "".join(rng.choices("abcdefghij", k=6))
+    area = lambda: f"{rng.randint(2, 9)}{d(2)}"
+    words = lambda: " ".join(name() for _ in range(rng.randint(3, 8)))
+    made = []
+    for _ in range(n):
+        yes = rng.random() < 0.5
+        if yes:
+            span, cue = rng.choice(
+                [
+                    (f"({area()}) {rng.randint(2, 9)}{d(2)}-{d(4)}", rng.choice(["call", "phone", "tel", "my mobile is"])),
+                    (f"{name()} [at] {name()} [dot] com", rng.choice(["email", "write to", "contact"])),
+                    (f"{rng.randint(11, 250)}[.]{rng.randint(11, 250)}[.]{rng.randint(11, 250)}[.]{rng.randint(11, 250)}", rng.choice(["host", "server", "from ip"])),
+                ]
+            )
+        else:
+            span, cue = rng.choice(
+                [
+                    (f"0{d(1)}{rng.randint(1, 9)}-{d(3)}-{d(3)}", rng.choice(["order", "part", "article"])),
+                    (f"{d(4)}/{d(4)}/{d(4)}/{d(4)}", rng.choice(["serial", "build", "item"])),
+                ]
+            )
+        made.append((f"{words()}. {cue} {span} {words()}", [span] if yes else [], [] if yes else [span]))
+    return made
+
+
+def test_added_spans_on_held_out_texts(spark):
+    rows = [(i, *r) for i, r in enumerate(labelled(1500, 3))]
+    base = [(10_000 + i, f"{c} {s}", [], []) for i in range(200) for c, s in (("phone", f"+1 (310) 555-{1000 + i}"), ("email", f"me{i}@host.org"), ("ip", f"23.45.{i % 250}.9"), ("visa", "4111 1111 1111 1111"))]
+    df = spark.createDataFrame([(i, t) for i, t, _, _ in rows[:1000] + base], "doc_id long, text string")
+    _, detector = personal.find(df)
+    hit = wrong = missed = 0
+    for _, text, yes, no in rows[1000:]:
+        found, failed = personal.base_spans(text)
+        got = set()
+        for k, s, e in personal.proposals(text, found, failed):
+            code, features = personal.look(text, k, s, e, False)
+            if detector.probability(k, features) >= personal.ACCEPTED:
+                got.add(text[s:e])
+        hit += sum(y in got for y in yes)
+        missed += sum(y not in got for y in yes)
+        wrong += sum(n in got for n in no)
+    assert hit / (hit + missed) > 0.95 and hit / (hit + wrong) > 0.9, (hit, missed, wrong)
+
+
+SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("text", "found", "kept", "spans")])
+ODD = [None, "", " ", "no data", "é me@host.org 👍 me@host.org, 1.2.3.4 and 4111-1111-1111-1111; +1 (310) 555-4510.", "1.2.3.4.5.6.7.8", "300.1.1.1", "4111 1111 1111 1112", "+1", "a@b", "+1 (605) 555-9305 4111111111111111 x"]
+
+
+def digest(spans):
+    return ",".join(f"{personal.KINDS[k]}:{s}:{e}" for k, s, e in spans)
+
+
+def test_query_matches_brute_force(spark, tmp_path):
+    """Odd texts, null and equal ids, repeated rows; base spans by the stated patterns, all spans by a second reading."""
+    texts = ODD + [t for t, _, _ in labelled(150, 8)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, ODD[4]), (None, "me@host.org"), (4, ODD[4])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op13_personal_data"](spark, str(tmp_path)).collect()
+    _, detector = personal.find(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    want = []
+    for i, t in rows:
+        base, failed = personal.base_spans(t or "")
+        assert base == brute(t or "")
+        more = [(k, s, e) for k, s, e in personal.proposals(t or "", base, failed) if detector.probability(k, personal.look(t, k, s, e, False)[1]) >= personal.ACCEPTED]
+        counts = [sum(k == kind for k, _, _ in base) for kind in range(4)]
+        want.append((i, *counts, hashlib.sha256(digest(base).encode()).hexdigest(), digest(sorted(base + more, key=lambda s: (s[1], s[0])))))
+    assert sorted([tuple(r) for r in got], key=repr) == sorted(want, key=repr)
+    assert any(len(w[6].split(",")) > sum(w[1:5]) for w in want if w[6])  # some are added
+
+
+def test_empty_table_and_clashing_names(spark):
+    none, _ = personal.find(spark.createDataFrame([], SCHEMA))
+    assert none.columns == ["kept", "spans"] and none.collect() == []
+    found, _ = personal.find(spark.createDataFrame([("write me@host.org", "f", "k", "s")] * 3, SCHEMA))
+    rows = found.collect()
+    assert len(rows) == 3 and all(r["kept"] == "k" and [(s["kind"], s["start"], s["end"]) for s in r["spans"]] == [("email", 6, 17)] for r in rows)
+
+
+def test_redact():
+    text = "call +1 (310) 555-4510 or me@host.org"
+    spans = [("phone", 5, 22), ("email", 26, 37)]
+    assert personal.redact(text, spans) == "call [phone] or [email]"

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(registry.queries()) and set(ORACLES) <= set(registry.oracle_sql())
 
 
