@@ -24,8 +24,6 @@ from riskmart.session import cut_lineage
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
-#: Different stretches of text whose ids a worker remembers: two generations of this many.
-REMEMBERED = 150_000
 #: Bytes of a batch that are aligned at once; a longer text is aligned alone.
 PIECE = 400_000
 #: Terms of a product that are held at once.
@@ -35,29 +33,29 @@ SENT_PAIRS = 400_000
 
 
 class Csr(NamedTuple):
-    """Row r holds the entries start[r]:start[r + 1]."""
+    """Row r holds the entries start[r]:start[r + 1]; without values every entry is 1."""
 
     start: np.ndarray
     column: np.ndarray
-    value: np.ndarray
+    value: np.ndarray | None = None
 
 
-def _added(row: np.ndarray, column: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _added(row: np.ndarray, column: np.ndarray, value: np.ndarray | None, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entries by row and column, those of one place added up."""
     if not len(row):
-        return row, column, value
+        return row, column, np.empty(0, np.int64)
     key = row * np.int64(width) + column
     if np.any(key[1:] < key[:-1]):
         order = np.argsort(key, kind="stable")
-        key, value = key[order], value[order]
+        key, row, column, value = key[order], row[order], column[order], None if value is None else value[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    key = key[first]
-    return key // width, key % width, np.add.reduceat(value, first)
+    added = np.diff(first, append=len(key)) if value is None else np.add.reduceat(value, first)
+    return row[first], column[first], added
 
 
 def matrix(row: np.ndarray, column: np.ndarray, rows: int, width: int) -> Csr:
     """Entries (row, column) as CSR; the value is how often a place is named."""
-    row, column, value = _added(row, column, np.ones(len(row), np.int64), width)
+    row, column, value = _added(row, column, None, width)
     return Csr(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows)))).astype(np.int64), column, value)
 
 
@@ -75,12 +73,16 @@ def product(a: Csr, b: Csr, width: int) -> Iterator[tuple[np.ndarray, np.ndarray
     """A·B by rows: row r of it adds up the rows of B that the entries of A's row r name. In strips of rows."""
     terms = b.start[a.column + 1] - b.start[a.column]
     before = np.concatenate(([0], np.cumsum(terms)))
+    row_of = np.repeat(np.arange(len(a.start) - 1), np.diff(a.start))
     for lo, hi in _strips(before[a.start[1:]] - before[a.start[:-1]]):
         e = slice(a.start[lo], a.start[hi])
         n = terms[e]
-        row = np.repeat(np.arange(lo, hi), np.diff(a.start[lo : hi + 1]))
-        place = np.arange(n.sum()) + np.repeat(b.start[a.column[e]] - (before[e] - before[e.start]), n)
-        yield _added(np.repeat(row, n), b.column[place], np.repeat(a.value[e], n) * b.value[place], width)
+        place = np.repeat(b.start[a.column[e]] - (before[e] - before[e.start]), n)
+        place += np.arange(len(place))
+        value = None
+        if a.value is not None and b.value is not None:
+            value = np.repeat(a.value[e], n) * b.value[place]
+        yield _added(np.repeat(row_of[e], n), b.column[place], value, width)
 
 
 def _offsets(lengths: np.ndarray) -> np.ndarray:
@@ -90,9 +92,8 @@ def _offsets(lengths: np.ndarray) -> np.ndarray:
 def overlap_links(a_bytes: np.ndarray, b_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token of A, token of B, bytes they share), for tokens that spell the same bytes."""
     n = int(a_bytes.sum())
-    one = np.ones(n, np.int64)
-    a = Csr(_offsets(a_bytes), np.arange(n), one)
-    b_transposed = Csr(np.arange(n + 1), np.repeat(np.arange(len(b_bytes)), b_bytes), one)
+    a = Csr(_offsets(a_bytes), np.arange(n))
+    b_transposed = Csr(np.arange(n + 1), np.repeat(np.arange(len(b_bytes)), b_bytes))
     strips = list(product(a, b_transposed, max(len(b_bytes), 1)))
     empty = [np.empty(0, np.int64)]
     return tuple(np.concatenate([s[i] for s in strips] or empty) for i in range(3))
@@ -121,15 +122,34 @@ def _byte_level_table(vocabulary: dict[str, int]) -> list[bytes]:
     return table
 
 
-class Pair:
-    """Both tokenizers, for texts cut where neither can see across.
+#: Characters from here on are left to the byte-level tokenizer's own library.
+_BEYOND = 0x3000
+# Fixed value: how the byte-level tokenizer cuts words.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-    A single space between two other characters begins a word for both: the first starts a word there, and no piece of
-    the second has a space behind another character (checked when the two are loaded). So stretches between such
-    spaces are encoded one by one, and what a worker has met before it looks up.
-    """
 
-    _CUT = re.compile(r"(?<=\S) (?=\S)")
+def _class_of(cut, c: str) -> str:
+    """Beside which of a letter, a digit and a mark a character stays; none for white space."""
+    return "".join(other for other in "a1!" if cut(other + c))
+
+
+def _fast(own, table: Sequence[bytes]):
+    """The same tokenizer by a quicker library, and a search for characters that the two may take for different kinds."""
+    import tiktoken
+
+    quick = tiktoken.Encoding("own", pat_str=_WORDS, mergeable_ranks={b: i for i, b in enumerate(table)}, special_tokens={})
+    asked = [chr(c) for c in range(0x80, _BEYOND)]
+    # A vocabulary in which what is one word is one token.
+    probes = [bytes([b]) for b in range(256)] + [(o + c).encode("utf-8") for c in asked for o in "a1!"]
+    probe = tiktoken.Encoding("probe", pat_str=_WORDS, mergeable_ranks={b: i for i, b in enumerate(probes)}, special_tokens={})
+    theirs = lambda word: len(probe.encode_ordinary(word)) == 1
+    ours = lambda word: len(own.pre_tokenizer.pre_tokenize_str(word)) == 1
+    same = "".join(c for c in asked if _class_of(theirs, c) == _class_of(ours, c))
+    return quick, re.compile(f"[^\x00-\x7f{re.escape(same)}]")
+
+
+class Pair:
+    """Both tokenizers, whole texts."""
 
     def __init__(self, byte_level: str, pieces: str):
         import public_tokenizers
@@ -141,51 +161,30 @@ class Pair:
         self._a.no_truncation()
         self._a.no_padding()
         self._b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces))
-        vocabulary = self._a.get_vocab(with_added_tokens=False)
         names = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
-        self._whole = any(re.search("[^▁]▁", p) for p in names)
-        self.a_bytes = _byte_level_table(vocabulary)
+        self.a_bytes = _byte_level_table(self._a.get_vocab(with_added_tokens=False))
+        self._quick, self._unsure = _fast(self._a, self.a_bytes)
         self.a_bytes += [b""] * (self._a.get_vocab_size() - len(self.a_bytes))
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(names)
         ]
-        self._space = self._b.piece_to_id("▁")
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
-        self._young: dict[str, tuple[bytes, bytes] | None] = {}
-        self._old: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _encode(self, stretches: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """Ids of each with a space before it; none where the tokens do not spell it."""
-        a = self._a.encode_batch([" " + s for s in stretches], add_special_tokens=False)
-        b = self._b.encode(stretches, num_threads=1)
-        for text, x, y in zip(stretches, a, b):
-            x, y = x.ids, y if text else [self._space]
-            raw = b" " + text.encode("utf-8")
-            same = b"".join([self.a_bytes[i] for i in x]) == raw and b"".join([self.b_bytes[i] for i in y]) == raw
-            yield (np.array(x, "<i4").tobytes(), np.array(y, "<i4").tobytes()) if same else None
-
-    def encode(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+
+    def encode(self, texts: Sequence[str]) -> Iterator[tuple[list[int], list[int]] | None]:
         """Ids of A and B for each text with a space before it; none where empty or not spelt by both."""
-        young, old = self._young, self._old
-        cut = [([t] if self._whole else self._CUT.split(t)) if t else [] for t in texts]
-        new = {s for text in cut for s in text if s not in young}
-        long = {}
-        for s in list(new):
-            if s in old:
-                young[s] = old[s]
-                new.remove(s)
-        fresh = sorted(new)
-        for s, ids in zip(fresh, self._encode(fresh)):
-            (young if len(s) <= 64 else long)[s] = ids
-        for stretches in cut:
-            ids = [young[s] if s in young else long[s] for s in stretches]
-            if not ids or None in ids:
+        for text, b in zip(texts, self._b.encode(list(texts), num_threads=1)):
+            if not text:
                 yield None
+                continue
+            spaced = " " + text
+            if self._unsure.search(text):
+                a = self._a.encode_batch([spaced], add_special_tokens=False)[0].ids
             else:
-                yield tuple(np.frombuffer(b"".join([x[side] for x in ids]), "<i4").astype(np.int64) for side in (0, 1))
-        if len(young) >= REMEMBERED:
-            self._old, self._young = young, {}
+                a = self._quick.encode_ordinary(spaced)
+            raw = spaced.encode("utf-8")
+            same = b"".join(map(self.a_bytes.__getitem__, a)) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+            yield (a, b) if same else None
 
 
 @lru_cache(maxsize=2)
@@ -227,7 +226,7 @@ def align(texts: Sequence[str], tokenizers: Pair) -> pd.DataFrame:
     size = max(size_b, len(tokenizers.a_bytes))
     at = [i for i, ids in enumerate(known) if ids]
     none = np.empty(0, np.int64)
-    a_ids, b_ids = (np.concatenate([known[i][side] for i in at] or [none]) for side in (0, 1))
+    a_ids, b_ids = (np.concatenate([none, *[np.array(known[i][side], np.int64) for i in at]]) for side in (0, 1))
     n_a, n_b = (np.array([len(known[i][side]) for i in at], np.int64) for side in (0, 1))
     a_of, b_of = _offsets(n_a), _offsets(n_b)
     links = overlap_links(tokenizers.a_lengths[a_ids], tokenizers.b_lengths[b_ids])
