@@ -275,24 +275,29 @@ def votes_of(codes: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Reliabilities:
-    """Share of personal data, and how often each labeler votes against, not, for: `votes[y][labeler]`, y = 0 no, 1 yes."""
+    """Share of personal data, and how often each labeler votes against, not, for: `votes[y][labeler]`, y = 0 no, 1 yes.
+
+    A vote against by the labeler `certain` needs no estimate: a number that fails its check is nobody's.
+    """
 
     share: float
     votes: np.ndarray
+    certain: int | None = 0
 
     def posterior(self, codes: np.ndarray) -> np.ndarray:
         v = votes_of(codes)
         each = np.log(self.votes)[:, np.arange(len(LABELERS)), v].sum(axis=2)
-        return 1 / (1 + np.exp(np.clip(each[0] - each[1] + np.log((1 - self.share) / self.share), -500, 500)))
+        p = 1 / (1 + np.exp(np.clip(each[0] - each[1] + np.log((1 - self.share) / self.share), -500, 500)))
+        return p if self.certain is None else np.where(v[:, self.certain] == 0, 0.0, p)
 
 
-def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> Reliabilities:
+def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, certain: int | None = 0) -> Reliabilities:
     """Expectation-maximisation over vote patterns and their counts; labelers are independent given the truth.
 
     It starts from, and is held by, the belief of a few votes that labelers are right more often than wrong.
     """
     belief = np.array([[4.0, 3.0, 0.5], [0.5, 3.0, 4.0]])[:, None, :].repeat(len(LABELERS), axis=1)
-    state = Reliabilities(0.5, belief / belief.sum(axis=2, keepdims=True))
+    state = Reliabilities(0.5, belief / belief.sum(axis=2, keepdims=True), certain)
     if not len(codes):
         return state
     one = np.eye(3)[votes_of(codes)]
@@ -300,7 +305,7 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> Rel
         p = state.posterior(codes)
         weight = np.stack([(1 - p) * counts, p * counts])
         votes = belief + np.einsum("yn,nlv->ylv", weight, one)
-        state = Reliabilities(float((weight[1].sum() + 1) / (weight.sum() + 2)), votes / votes.sum(axis=2, keepdims=True))
+        state = Reliabilities(float((weight[1].sum() + 1) / (weight.sum() + 2)), votes / votes.sum(axis=2, keepdims=True), certain)
     return state
 
 

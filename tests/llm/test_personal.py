@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.llm import personal
@@ -72,12 +73,12 @@ def test_reliabilities_are_found_without_labels():
     codes = (votes * 3 ** np.arange(8)[::-1]).sum(axis=1)
     assert (personal.votes_of(codes) == votes).all()
     known, counts = np.unique(codes, return_counts=True)
-    learnt = personal.estimate(known, counts)
+    learnt = personal.estimate(known, counts, certain=None)
     assert abs(learnt.share - 0.3) < 0.02
     found = learnt.votes[1, :, 2] / (learnt.votes[1, :, 2] + learnt.votes[1, :, 0])
     assert np.abs(found - right).max() < 0.03
     vote = lambda r: np.stack([0.7 * (1 - r), np.full(8, 0.3), 0.7 * r], axis=1)
-    known_to_us = personal.Reliabilities(0.3, np.stack([vote(1 - right), vote(right)]))
+    known_to_us = personal.Reliabilities(0.3, np.stack([vote(1 - right), vote(right)]), None)
     accuracy = [((r.posterior(codes) > 0.5) == truth).mean() for r in (learnt, known_to_us)]
     assert accuracy[0] > accuracy[1] - 0.002 > 0.95
     assert personal.estimate(np.empty(0, np.int64), np.empty(0, np.int64)).share == 0.5
@@ -175,6 +176,15 @@ def test_empty_table_and_clashing_names(spark):
     assert len(rows) == 3 and all(r["kept"] == "k" and [(s["kind"], s["start"], s["end"]) for s in r["spans"]] == [("email", 6, 17)] for r in rows)
 
 
+def test_numbers_that_fail_their_check_are_not_added(spark):
+    rng = random.Random(4)
+    number = lambda: "".join(rng.choices("0123456789", k=16))
+    rows = [(i, f"so {t} it is") for i, t in enumerate([number() for _ in range(300)] + ["300.1.2.3"] * 20)]
+    found, _ = personal.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    valid = sum(plain_luhn(t[3:19]) for _, t in rows[:300])
+    assert 0 < valid == found.filter(F.size("spans") > 0).count()
+
+
 def test_redact():
     text = "call +1 (310) 555-4510 or me@host.org"
     spans = [("phone", 5, 22), ("email", 26, 37)]
