@@ -5,21 +5,21 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmart.calendar import TrainingWindows, training_windows
+from riskmart.operators import boosting
 from riskmart.schemas import CUSTOMER, LOAN, SNAPSHOT
-from riskmart.session import cut_lineage, scratch_scope
+from riskmart.session import cut_lineage, scratch_path, scratch_scope
 from riskmart.sources import store
 
 SPLIT_SEED = 88
@@ -27,13 +27,24 @@ TRAIN_SHARE = 0.8
 FOLDS = 3
 DRAWS = 100
 PARALLELISM = 4
+#: Up to so many rows the models on all rows grow in the passes of the search.
+GROWN_ALONG = 1_000_000
 
-# The search grid. Names are those of the Spark estimator.
+# The search grid, 1,728 points. Names are those of `boosting.Params`.
 SEARCH_GRID: dict[str, list] = {
     "maxIter": [25, 50],
     "maxDepth": [2, 3],
     "stepSize": [0.01, 0.1],
     "subsamplingRate": [0.6, 0.8],
+    "featureSubsetStrategy": [0.6, 0.8],
+    "minInfoGain": [0.0, 0.1],
+    "minChildWeight": [1, 3, 5],
+    "regAlpha": [0, 0.1, 1],
+    "regLambda": [1, 1.5, 2],
+}
+# The part of it that Spark's own estimator has, under its names.
+ESTIMATOR_GRID: dict[str, list] = {
+    **{name: SEARCH_GRID[name] for name in ("maxIter", "maxDepth", "stepSize", "subsamplingRate")},
     "featureSubsetStrategy": ["0.6", "0.8"],
     "minInfoGain": [0.0, 0.1],
     "minInstancesPerNode": [1, 3, 5],
@@ -164,9 +175,12 @@ def auc_by_split(scored: DataFrame, score: str, label: str = "label") -> DataFra
     """
     value, positive = F.col(score).cast("double"), F.col(label).cast("double")
     known = scored.filter(value.isNotNull() & ~F.isnan(value) & positive.isNotNull())
-    counted = known.groupBy("split", value.alias("score")).agg(
-        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
-    )
+    return auc_of_counts(known.select("split", value.alias("score"), positive.alias("pos"), (1 - positive).alias("neg")))
+
+
+def auc_of_counts(counts: DataFrame) -> DataFrame:
+    """`auc_by_split` of scores that are counted already, in any number of rows: (split, score, pos, neg)."""
+    counted = counts.groupBy("split", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # Stored, so that a range keeps its number when a lost task is run again.
     ranged = cut_lineage(counted.repartitionByRange("split", "score").withColumn("part", F.spark_partition_id()), "scores")
     # One row for each split and range.
@@ -202,13 +216,17 @@ def auc_gini(scored: DataFrame, score: str, splits: Sequence[str] = ("train", "t
     return areas.select("split", F.round("auc", 6).alias("auc"), F.round(2 * F.col("auc") - 1, 3).alias("gini"))
 
 
-def draw_params(
-    estimator: GBTClassifier, draws: int, grid: Mapping[str, Sequence] = SEARCH_GRID, seed: int = SEARCH_SEED
-) -> list[dict]:
+def draw_points(draws: int, grid: Mapping[str, Sequence], seed: int = SEARCH_SEED) -> list[dict]:
     """`draws` different points of the grid."""
     points = list(itertools.product(*grid.values()))
-    chosen = random.Random(seed).sample(points, min(draws, len(points)))
-    return [{estimator.getParam(name): value for name, value in zip(grid, point)} for point in chosen]
+    return [dict(zip(grid, point)) for point in random.Random(seed).sample(points, min(draws, len(points)))]
+
+
+def draw_params(
+    estimator: GBTClassifier, draws: int, grid: Mapping[str, Sequence] = ESTIMATOR_GRID, seed: int = SEARCH_SEED
+) -> list[dict]:
+    """`draws` different points of the grid, as parameters of an estimator."""
+    return [{estimator.getParam(name): value for name, value in point.items()} for point in draw_points(draws, grid, seed)]
 
 
 def random_search(
@@ -216,11 +234,11 @@ def random_search(
     draws: int = DRAWS,
     folds: int = FOLDS,
     parallelism: int = PARALLELISM,
-    grid: Mapping[str, Sequence] = SEARCH_GRID,
+    grid: Mapping[str, Sequence] = ESTIMATOR_GRID,
     seed: int = SEARCH_SEED,
     fold_keys: Sequence[str] = (LOAN, SNAPSHOT),
 ) -> CrossValidatorModel:
-    """Cross-validated search over boosted trees, chosen by AUC of the probability.
+    """Cross-validated search with Spark's own estimator, one fit after the other, chosen by AUC of the probability.
 
     Folds come from a key hash, so a rerun sees the same ones.
     """
@@ -237,33 +255,142 @@ def random_search(
     return validator.fit(train.withColumn("fold", hash_bucket(f"{seed}-fold", fold_keys, folds).cast("int")))
 
 
+@dataclass(frozen=True)
+class Search:
+    """What a search found: the mean area of each drawn point over the folds (null without both classes), the best point, and its trees on all rows."""
+
+    points: list[dict]
+    areas: list[float | None]
+    best: dict
+    trees: list[boosting.Tree]
+
+
+@dataclass(frozen=True)
+class Binned:
+    """Training rows in blocks, the features' names and the ends of their bins."""
+
+    blocks: DataFrame
+    columns: list[str]
+    edges: list[list[float]]
+    rows: int
+
+
+def binned(train: DataFrame, columns: Sequence[str], folds: int = 1, seed: int = SEARCH_SEED, keys: Sequence[str] = (LOAN, SNAPSHOT)) -> Binned:
+    """Rows cut into bins once, with their fold and a hash for sampling, both from the key: a rerun gives the same ones."""
+    edges = boosting.bin_edges(train, columns)
+    fold = hash_bucket(f"{seed}-fold", keys, folds)
+    row_hash = F.xxhash64(F.lit(seed), *[F.col(k).cast("string") for k in keys])
+    made = boosting.blocks(train, columns, edges, F.col("label"), fold, row_hash)
+    stored = boosting.store_blocks(made, scratch_path(train.sparkSession, "blocks"))
+    return Binned(stored, list(columns), edges, stored.agg(F.sum("rows")).first()[0] or 0)
+
+
+def search_trees(
+    data: Binned, draws: int = DRAWS, folds: int = FOLDS, grid: Mapping[str, Sequence] = SEARCH_GRID, seed: int = SEARCH_SEED
+) -> Search:
+    """Cross-validated search: all draws and folds grow in the same passes over the rows.
+
+    Draws that differ only in the number of trees share a fit. The best mean area wins, the first of equal ones. Its
+    trees on all rows are the same however they are grown: up to GROWN_ALONG rows every draw grows on all rows in the
+    same passes, since passes cost more than rows; beyond that the best one does, in passes of its own.
+    """
+    points = draw_points(draws, grid, seed)
+    params = [boosting.Params(**p) for p in points]
+    longest: dict[boosting.Params, int] = {}
+    for p in params:
+        key = replace(p, maxIter=0)
+        longest[key] = max(p.maxIter, longest.get(key, 0))
+    along = data.rows <= GROWN_ALONG
+    fits = [boosting.Fit(replace(p, maxIter=n), k) for p, n in longest.items() for k in range(-1 if along else 0, folds)]
+    place = {(replace(f.params, maxIter=0), f.fold): i for i, f in enumerate(fits)}
+    found: dict[str, float | None] = {}
+
+    def measure(rounds: int):
+        names: dict[int, list[str]] = {}
+        for d, p in enumerate(params):
+            if p.maxIter == rounds:
+                for k in range(folds):
+                    names.setdefault(place[replace(p, maxIter=0), k], []).append(f"{d}|{k}")
+
+        def run(blocks: DataFrame) -> None:
+            counts = boosting.held_out(blocks, fits, len(data.columns), names)
+            found.update((r["split"], r["auc"]) for r in auc_of_counts(counts).collect())  # a row for each draw and fold
+
+        return run
+
+    grown = boosting.grow(data.blocks, fits, len(data.columns), seed, {n: measure(n) for n in {p.maxIter for p in params}})
+    by_draw = [[found.get(f"{d}|{k}") for k in range(folds)] for d in range(len(points))]
+    areas = [None if None in a else sum(a) / folds for a in by_draw]
+    best = max(range(len(points)), key=lambda d: (-1.0 if areas[d] is None else areas[d], -d))
+    if along:
+        trees = grown[place[replace(params[best], maxIter=0), -1]][: params[best].maxIter]
+    else:
+        (trees,) = boosting.grow(data.blocks, [boosting.Fit(params[best])], len(data.columns), seed)
+    return Search(points, areas, points[best], trees)
+
+
+@dataclass(frozen=True)
+class TreeModel:
+    """Boosted trees over scaled features, as rows; scoring is one expression."""
+
+    scaler: Scaler
+    rows: list[tuple]
+
+    def probability(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` with the probability: features are scaled in one projection, the trees read the scaled values."""
+        used = sorted({r[2] for r in self.rows if r[2] is not None})
+        mark = "_"
+        while any(c.lower().startswith(mark) for c in df.columns):
+            mark += "_"
+        low, high = ({c: f"{mark}{side}{i}" for i, c in enumerate(used)} for side in ("low", "high"))
+        scaled = {c: F.expr(self.scaler.expression(c)) for c in used}
+        ends = ((low, float("-inf")), (high, float("nan")))
+        values = [F.coalesce(scaled[c], F.lit(end)).alias(names[c]) for names, end in ends for c in used]
+        margin = boosting.margin(self.rows, low.__getitem__, high.__getitem__)
+        columns = [F.col(f"`{c}`") for c in df.columns]
+        return df.select(*columns, *values).select(*columns, (1 / (1 + F.exp(-margin))).alias(name))
+
+    def walked(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """`keys` and the probability, as `walk`, by joins with the rows of the trees instead of the expression."""
+        trees = df.sparkSession.createDataFrame(self.rows, boosting.TREE_ROWS)
+        depth = max(r[1] for r in self.rows).bit_length() - 1
+        walked = boosting.walked(self.scaler.apply(df), trees, keys, list(self.scaler.mean), len({r[0] for r in self.rows}), depth)
+        return walked.select(*keys, (1 / (1 + F.exp(-F.col("margin")))).alias("walk"))
+
+
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    model: TreeModel
     card: DataFrame
     version: str
 
 
+def fit_trees(data: Binned, params: boosting.Params, scaler: Scaler, seed: int = SEARCH_SEED) -> TreeModel:
+    """One model on all rows."""
+    (trees,) = boosting.grow(data.blocks, [boosting.Fit(params)], len(data.columns), seed)
+    return TreeModel(scaler, boosting.tree_rows(trees, data.columns, data.edges))
+
+
 def train(
     dataset: DataFrame,
     train_date: str | date,
     draws: int = DRAWS,
     folds: int = FOLDS,
-    parallelism: int = PARALLELISM,
     grid: Mapping[str, Sequence] = SEARCH_GRID,
 ) -> Trained:
     """Scaler, search and best model on the train split; metrics on all splits.
 
-    The dataset is materialised once in reliable storage: boosting reads it for every tree.
+    The dataset is materialised once in reliable storage, and its train rows once more as blocks of bins, which
+    boosting reads for every level. A missing feature stays missing: each split learns its side.
     """
     spark = dataset.sparkSession
     features = feature_columns(dataset)
     data = cut_lineage(dataset.withColumn("label", F.col("label").cast("double")), "training")
     fitted_on = data.filter(F.col("split") == "train")
     scaler = fit_scaler(fitted_on, features)
-    vectors = PipelineModel(scaler.stages()).transform(fitted_on).select(LOAN, SNAPSHOT, "label", "features")
-    search = random_search(vectors, draws, folds, parallelism, grid)
-    model = PipelineModel([*scaler.stages(), search.bestModel])
+    rows = binned(scaler.apply(fitted_on), features, folds)
+    search = search_trees(rows, draws, folds, grid)
+    model = TreeModel(scaler, boosting.tree_rows(search.trees, rows.columns, rows.edges))
     version = "credit_model_" + str(train_date).replace("-", "_")
     card = model_card(spark, version, str(train_date), data, model, search)
     return Trained(model, card, version)
@@ -273,7 +400,7 @@ CARD_SCHEMA = (
     "model_version string, train_date date, train_test_start_date date, train_test_end_date date, "
     "oot_start_date date, oot_end_date date, "
     "rows map<string,bigint>, default_rate map<string,double>, auc map<string,double>, gini map<string,double>, "
-    "hp_params map<string,string>"
+    "hp_params map<string,string>, score_digest string"
 )
 
 
@@ -282,15 +409,14 @@ def model_card(
     version: str,
     train_date: str,
     data: DataFrame,
-    model: PipelineModel,
-    search: CrossValidatorModel,
+    model: TreeModel,
+    search: Search,
 ) -> DataFrame:
     """One row: version, calendar, split statistics, metrics and the chosen parameters."""
     windows = spark.range(1).select(*training_windows(train_date).columns()).first()
     stats = {r["split"]: r for r in split_stats(data).collect()}  # three rows
     areas = evaluate(model, data, list(stats))
-    best = search.bestModel
-    chosen = {name: str(best.getOrDefault(name)) for name in SEARCH_GRID}
+    chosen = {name: str(value) for name, value in search.best.items()}
     row = (
         version,
         date.fromisoformat(train_date),
@@ -300,33 +426,51 @@ def model_card(
         areas,
         {s: gini(a) for s, a in areas.items()},
         chosen,
+        score_digest(probability(model, data), (LOAN, SNAPSHOT)),
     )
     return spark.createDataFrame([row], CARD_SCHEMA)
 
 
-def probability(model: Transformer, df: DataFrame, name: str = "model_predictions") -> DataFrame:
+def probability(model: TreeModel, df: DataFrame, name: str = "model_predictions") -> DataFrame:
     """Predicted probability of default, next to the columns of `df`."""
-    return model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias(name))
+    return model.probability(df, name)
+
+
+def score_digest(scored: DataFrame, keys: Sequence[str], score: str = "model_predictions") -> str:
+    """A digest of all (key, score) rows in any order: their number, and sum and exclusive or of their hashes. One aggregate."""
+    row = F.xxhash64(*keys, score)
+    total = F.sum(row.cast("decimal(38,0)")).cast("string")
+    made = scored.agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.coalesce(total, F.lit("0")), F.coalesce(F.bit_xor(row), F.lit(0)).cast("string")).alias("digest"))
+    return made.first()["digest"]
 
 
-def evaluate(model: Transformer, data: DataFrame, splits: Sequence[str]) -> dict[str, float | None]:
-    """AUC of the probability on each split."""
-    scored = probability(model, data).select("split", "label", "model_predictions")
+def evaluate(model: TreeModel, data: DataFrame, splits: Sequence[str]) -> dict[str, float | None]:
+    """AUC of the probability on each split. A score is never null, so it is counted without a filter that would repeat it."""
+    label = F.col("label").cast("double")
+    scored = probability(model, data.filter(label.isNotNull()))
+    counts = scored.select("split", F.col("model_predictions").alias("score"), label.alias("pos"), (1 - label).alias("neg"))
     with scratch_scope(data.sparkSession):
-        areas = {r["split"]: r["auc"] for r in auc_by_split(scored, "model_predictions").collect()}  # one row for each split
+        areas = {r["split"]: r["auc"] for r in auc_of_counts(counts).collect()}  # one row for each split
     return {s: areas.get(s) for s in splits}
 
 
 def save_model(trained: Trained, bank: str) -> str:
-    """Model and card below `bank`/version; saving a version again replaces it."""
+    """Trees, scaler and card below `bank`/version; saving a version again replaces it."""
     path = f"{bank}/{trained.version}"
-    trained.model.write().overwrite().save(f"{path}/model")
+    spark, scaler = trained.card.sparkSession, trained.model.scaler
+    spark.createDataFrame(trained.model.rows, boosting.TREE_ROWS).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+    numbers = [(c, scaler.mean[c], scaler.deviation[c]) for c in scaler.mean]
+    spark.createDataFrame(numbers, "feature string, mean double, deviation double").coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
     trained.card.write.mode("overwrite").parquet(f"{path}/card")
     return path
 
 
-def load_model(bank: str, version: str) -> PipelineModel:
-    return PipelineModel.load(f"{bank}/{version}/model")
+def load_model(bank: str, version: str, spark: SparkSession | None = None) -> TreeModel:
+    """The rows of trees and scaler, a few thousand, come to the driver and become an expression."""
+    spark = spark or SparkSession.active()
+    rows = sorted(tuple(r) for r in spark.read.parquet(f"{bank}/{version}/trees").collect())
+    scaler = spark.read.parquet(f"{bank}/{version}/scaler").collect()
+    return TreeModel(Scaler({r["feature"]: r["mean"] for r in scaler}, {r["feature"]: r["deviation"] for r in scaler}), rows)
 
 
 def load_card(spark: SparkSession, bank: str, version: str) -> DataFrame:

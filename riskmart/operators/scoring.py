@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.operators.modeling import probability
+from riskmart.operators.modeling import TreeModel, probability
 from riskmart.schemas import CUSTOMER, SNAPSHOT
 from riskmart.sources import store
 
 
 def score(
-    model: Transformer,
+    model: TreeModel,
     features: DataFrame,
     model_name: str,
     start: str | date | None = None,

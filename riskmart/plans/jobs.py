@@ -101,7 +101,7 @@ def train_model(
 ) -> modeling.Trained:
     """Train on the calendar before `train_date` and put the model into the bank.
 
-    `search` sets draws, folds and parallelism: how many fits of the search run at once.
+    `search` sets draws, folds and grid.
     """
     with scratch_scope(labels.sparkSession):
         trained = modeling.train(modeling.training_set(labels, features, train_date), train_date, **search)
@@ -118,7 +118,7 @@ def score_range(
     end: str | date | None = None,
 ) -> DataFrame:
     """Score the snapshots from `start` to `end` with a banked model, store the predictions and return them."""
-    model = modeling.load_model(bank, version)
+    model = modeling.load_model(bank, version, features.sparkSession)
     path = f"{root}/gold/model_predictions"
     scoring.write_predictions(scoring.score(model, features, version, start, end), path, version, start, end)
     stored = store.read_table(features.sparkSession, path).filter(F.col("model_name") == version)

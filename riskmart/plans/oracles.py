@@ -322,6 +322,63 @@ FROM numeric_financials f JOIN (
     )
 
 
+def _boosted(trees: int, depth: int, step: float, weight: float, gamma: float, alpha: float, lam: float) -> str:
+    """Boosted trees in SQL, split by split: every cut of every feature, missing values on either side."""
+    unit, features = 1 << 24, range(1, 6)
+    soft = lambda g: f"greatest(abs({g}) - {alpha}, 0)"
+    score = lambda g, h: f"({soft(g)} * {soft(g)} / ({h} + {lam}))"
+    code = "CASE s.f " + " ".join(f"WHEN {f} THEN c{f}" for f in features) + " END"
+    steps = [
+        "keyed AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM training_rows)",
+        "points AS (" + " UNION ALL ".join(f"SELECT {f} AS f, CAST(fe_{f} AS DOUBLE) AS v FROM keyed WHERE split = 'train' AND fe_{f} IS NOT NULL" for f in features) + ")",
+        "ranked AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS place, count(*) OVER (PARTITION BY f) AS n FROM points)",
+        "edges AS MATERIALIZED (SELECT DISTINCT f, v FROM ranked JOIN range(1, 64) t(i) ON place = ceil(i * n / 64.0))",
+        "m0 AS MATERIALIZED (SELECT rid, split = 'train' AS seen, CAST(label AS DOUBLE) AS y, 0.0::DOUBLE AS m, "
+        + ", ".join(f"CASE WHEN fe_{f} IS NULL THEN 0 ELSE 1 + (SELECT count(*) FROM edges WHERE f = {f} AND v < fe_{f}) END AS c{f}" for f in features)
+        + " FROM keyed)",
+    ]
+    for t in range(trees):
+        steps.append(
+            f"r{t}_0 AS MATERIALIZED (SELECT * EXCLUDE (p), round((p - y) * {unit})::BIGINT AS g, round(p * (1 - p) * {unit})::BIGINT AS h, 1 AS node"
+            f" FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM m{t}))"
+        )
+        for level in range(depth):
+            rows, sums = f"r{t}_{level}", f"h{t}_{level}"
+            one = " UNION ALL ".join(f"SELECT node, {f} AS f, c{f} AS code, sum(g) AS g, sum(h) AS h FROM {rows} WHERE seen GROUP BY ALL" for f in features)
+            steps.append(f"{sums} AS MATERIALIZED ({one})")
+            steps.append(
+                f"""s{t}_{level} AS MATERIALIZED (
+  SELECT node, f, cut, side FROM (
+    SELECT *, 0.5 * ({score("gl", "hl")} + {score("(gt - gl)", "(ht - hl)")} - {score("gt", "ht")}) - {gamma} AS gain FROM (
+      SELECT node, f, cut, side, gt, ht, (a + side * g0) / {unit}.0::DOUBLE AS gl, (b + side * h0) / {unit}.0::DOUBLE AS hl FROM (
+        SELECT n.node, n.f, n.cut, gt, ht, g0, h0,
+          sum(coalesce(x.g, 0)) OVER w AS a, sum(coalesce(x.h, 0)) OVER w AS b
+        FROM (SELECT node, f, cut, sum(g) / {unit}.0::DOUBLE AS gt, sum(h) / {unit}.0::DOUBLE AS ht,
+                coalesce(sum(g) FILTER (code = 0), 0) AS g0, coalesce(sum(h) FILTER (code = 0), 0) AS h0
+              FROM {sums}, range(1, 65) c(cut) GROUP BY ALL) n
+        LEFT JOIN {sums} x ON x.node = n.node AND x.f = n.f AND x.code = n.cut
+        WINDOW w AS (PARTITION BY n.node, n.f ORDER BY n.cut)), range(0, 2) d(side)))
+  WHERE hl >= {weight} AND ht - hl >= {weight} AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, cut, side DESC) = 1)"""
+            )
+            left = f"CASE WHEN {code} = 0 THEN s.side = 1 ELSE {code} <= s.cut END"
+            steps.append(
+                f"r{t}_{level + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN s.f IS NULL THEN r.node WHEN {left} THEN 2 * r.node ELSE 2 * r.node + 1 END AS node"
+                f" FROM {rows} r LEFT JOIN s{t}_{level} s ON r.node = s.node)"
+            )
+        last = f"r{t}_{depth}"
+        steps.append(
+            f"w{t} AS MATERIALIZED (SELECT node, -(sign(g) * {soft('g')}) / (h + {lam}) * {step} AS w"
+            f" FROM (SELECT node, sum(g) / {unit}.0::DOUBLE AS g, sum(h) / {unit}.0::DOUBLE AS h FROM {last} WHERE seen GROUP BY node))"
+        )
+        steps.append(f"m{t + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (g, h, node, m), m + w AS m FROM {last} r JOIN w{t} USING (node))")
+    first = _with("", "training_rows").rstrip()
+    chain = ",\n".join(steps)
+    return f"""{first},
+{chain}
+SELECT loan_id, Customer_ID, snapshot_date, split, round(1 / (1 + exp(-m)), 9) AS score FROM keyed JOIN m{trees} USING (rid)"""
+
+
 ORACLES: dict[str, str] = {
     "loan_delinquency": _with("SELECT * FROM silver_loans", "silver_loans"),
     "loan_delinquency_fixed": _with("SELECT * FROM silver_loans_fixed", "silver_loans_fixed"),
@@ -429,6 +486,7 @@ FROM loans""",
     ),
     "scaled_features": _scaled(),
     "auc_gini": _with(AUC, "training_rows"),
+    "boosted_scores": _boosted(trees=3, depth=2, step=0.3, weight=2, gamma=0.05, alpha=0.5, lam=1.5),
     "model_metrics": _with(
         f"""
 SELECT 'credit_model_2001_09_01' AS model_version, {TRAIN_DATE} AS train_date,

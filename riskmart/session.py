@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # A method the JVM will not compile is worse than an operator outside whole-stage code: long models score in small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the Python call site of every column costs more than small plans take to run.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
