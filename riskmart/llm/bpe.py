@@ -36,6 +36,8 @@ TOKENIZER = "word_bpe_49k.json"
 REMEMBERED = 75_000
 #: Characters of a batch that are encoded before they are handed on.
 PIECE = 1_000_000
+#: Characters from here on are always cut by the definition itself.
+KNOWN = 0x3000
 _NEVER = 1 << 60
 
 
@@ -170,6 +172,8 @@ class WordCodec:
     _SEPARATORS = re.compile("[\x1c-\x1f]")
 
     def __init__(self, definition: dict):
+        from tokenizers import Tokenizer
+
         model = definition["model"]
         self.automaton = MergeAutomaton(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
         end = model["end_of_word_suffix"]
@@ -182,9 +186,36 @@ class WordCodec:
         self._mark = regex.compile(f"({cut})") if cut else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        whole = Tokenizer.from_str(json.dumps(definition))
+        self._normalizer, self._splitter = whole.normalizer, whole.pre_tokenizer
+        self._byte_of = {letter: b for b, letter in enumerate(_byte_letters())}
+        self._unsure = self._unsure_characters()
+
+    def _own_words(self, text: str) -> list[str]:
+        folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return [w for chunk in folded.split() for w in self._SPLIT.findall(chunk)]
+
+    def _their_words(self, text: str) -> list[bytes]:
+        """Words by the definition's own normaliser and splitter, as bytes."""
+        pieces = self._splitter.pre_tokenize_str(self._normalizer.normalize_str(text))
+        return [bytes(map(self._byte_of.__getitem__, piece)) for piece, _ in pieces]
+
+    def _unsure_characters(self) -> regex.Pattern:
+        """A search for characters that the definition may take for another kind, case or mark than the libraries here do.
+
+        Each character below KNOWN is tried once, between marks, letters, digits and signs; all others are left to the definition.
+        """
+        same = []
+        for c in map(chr, range(0x80, KNOWN)):
+            probe = f"a\u0301{c}\u0316b {c}1{c} !{c}{c}"
+            if [w.encode("utf-8") for w in self._own_words(probe)] == self._their_words(probe):
+                same.append(c)
+        return re.compile(f"[^\x00-\x7f{re.escape(''.join(same))}]")
 
     def _word(self, word: str) -> bytes:
-        raw = word.encode("utf-8")
+        return self._bytes(word.encode("utf-8"))
+
+    def _bytes(self, raw: bytes) -> bytes:
         symbols = [self._inner[b] for b in raw]
         symbols[-1] = self._last[raw[-1]]
         path = self.automaton.path(symbols)
@@ -206,6 +237,8 @@ class WordCodec:
         return packed
 
     def _section(self, text: str) -> bytes:
+        if not text.isascii() and self._unsure.search(text):
+            return b"".join([self._bytes(w) for w in self._their_words(text)])
         # Lower case letter by letter: a sigma at a word's end is no exception.
         folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if self._SEPARATORS.search(folded):  # white space to str.split() and not to the definition
@@ -309,5 +342,6 @@ def round_trip(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) ->
                 yield pd.DataFrame({"ids": ids, "decoded": [own.decode(p) for p in ids]})
 
     kept = others(df, ("ids", "n_tokens", "decoded"))
-    made = df.select(*kept, both(text_of(text)).alias("__both")).select(*kept, "__both.ids", "__both.decoded")
+    # As structs, so that no name of the caller's can clash.
+    made = df.select(F.struct(*kept).alias("kept"), both(text_of(text)).alias("both")).select("kept.*", "both.ids", "both.decoded")
     return _counted(made).select(*kept, "ids", "n_tokens", "decoded")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from riskmart.llm import bpe
+from riskmart.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +59,34 @@ def test_same_as_the_library_on_few_letters(library, text):
     same(library, text)
 
 
+def test_every_character_as_the_library(library):
+    """Between letters, beside a digit, a sign and white space; every code point but the surrogates."""
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert len(chars) == 1_112_064
+    texts = [" ".join(f"a{c}b {c}1{c} !{c}" for c in chars[i : i + 32]) for i in range(0, len(chars), 32)]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(bpe.codec().encode(text), dtype="<u4").tolist() == want.ids, text
+
+
+def test_query_as_the_library(spark, library):
+    """The registered query on a whole test table, by digests."""
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op3_bpe"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        ids = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want = (len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+        assert (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) == want
+
+
+def test_names_of_the_caller_stay(spark):
+    df = spark.createDataFrame([("Hello", "mine", "too")], "text string, __both string, kept string")
+    row = bpe.round_trip(df).first()
+    assert (row["__both"], row["kept"], row["decoded"], row["n_tokens"]) == ("mine", "too", "hello</w>", 1)
+
+
 def _merged(symbols, ranks):
     """Merges by definition: always the pair of least rank, the leftmost first."""
     symbols = list(symbols)
