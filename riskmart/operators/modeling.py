@@ -23,6 +23,10 @@ from riskmart.session import cut_lineage, scratch_path, scratch_scope
 from riskmart.sources import store
 
 SPLIT_SEED = 88
+#: Rows that one task ranks at most, digits of the hash looked at in one level of the descent, and all digits.
+SLICE_ROWS = 1 << 17
+DIGITS = 3
+HASH_DIGITS = 32
 TRAIN_SHARE = 0.8
 FOLDS = 3
 DRAWS = 100
@@ -65,26 +69,49 @@ def hash_bucket(seed: int | str, keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.conv(F.substring(key_hash(seed, keys), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
 
 
-def _last_hashes(rows: DataFrame, share: float) -> DataFrame:
-    """(label, last): the hash up to which `share` of the label's rows lie, exact to a row.
+def _slices(rows: DataFrame, share: float) -> DataFrame:
+    """Descends to the slice of each label's hashes in which the row lies that ends its `share`: (of_label, lead, rank, n).
 
-    Rows are counted by the first three digits of the hash, 4096 groups a label, and a running count
-    finds the group with the last row; only rows of that group are ranked. No task holds a label.
+    A level counts the rows that begin like the slice found so far by their next DIGITS digits, at most 16^DIGITS groups a
+    label, and a running count picks the one with the wanted row, until every slice has at most SLICE_ROWS rows or
+    is a single hash. A label whose share rounds to no row has no slice.
     """
     label = F.col("label").eqNullSafe(F.col("of_label"))
-    lead = F.substring("hash", 1, 3)
-    per_label = Window.partitionBy("label")
-    counted = rows.groupBy("label", lead.alias("lead")).agg(F.count(F.lit(1)).alias("n"))
-    running = counted.withColumn("seen", F.sum("n").over(per_label.orderBy("lead"))).withColumn(
-        "wanted", F.round(F.sum("n").over(per_label) * F.lit(share)).cast("long")
-    )
-    # One row for each label.
-    found = running.filter((F.col("seen") >= F.col("wanted")) & (F.col("seen") - F.col("n") < F.col("wanted"))).select(
-        F.col("label").alias("of_label"), F.col("lead").alias("of_lead"), (F.col("wanted") - F.col("seen") + F.col("n")).alias("rank")
+    total = F.count(F.lit(1)).alias("n")
+    found = rows.groupBy(F.col("label").alias("of_label")).agg(total).select(
+        "of_label", F.lit("").alias("lead"), F.round(F.col("n") * F.lit(share)).cast("long").alias("rank"), "n"
     )
-    inside = rows.join(F.broadcast(found), label & (lead == F.col("of_lead")))
-    ranked = inside.withColumn("at", F.rank().over(Window.partitionBy("of_label").orderBy("hash")))
-    return ranked.filter("at <= rank").groupBy("of_label").agg(F.max("hash").alias("last"))
+    found = cut_lineage(found.filter("rank > 0"), "slices")
+    for digits in range(0, HASH_DIGITS, DIGITS):
+        if (found.agg(F.max("n")).first()[0] or 0) <= SLICE_ROWS:
+            break
+        inside = rows.join(F.broadcast(found.drop("n")), label & F.col("hash").startswith(F.col("lead")))  # one row for each label
+        counted = inside.groupBy("of_label", "rank", F.substring("hash", 1, digits + DIGITS).alias("lead")).agg(total)
+        running = counted.withColumn("seen", F.sum("n").over(Window.partitionBy("of_label").orderBy("lead")))
+        before = F.col("seen") - F.col("n")
+        picked = running.filter((F.col("seen") >= F.col("rank")) & (before < F.col("rank")))
+        found = cut_lineage(picked.select("of_label", "lead", (F.col("rank") - before).alias("rank"), "n"), "slices")
+    return found
+
+
+def _last_hashes(rows: DataFrame, share: float) -> DataFrame:
+    """(of_label, last): the hash up to which `share` of the label's rows lie, exact to a row.
+
+    Hashes are stored once; only the rows of a slice are ranked, so no task sorts more than SLICE_ROWS rows, but for
+    rows of one hash, which need no order. One row for each label comes to the driver.
+    """
+    spark = rows.sparkSession
+    with scratch_scope(spark):
+        stored = cut_lineage(rows.select("label", "hash"), "hashes")
+        found = _slices(stored, share)
+        label = F.col("label").eqNullSafe(F.col("of_label"))
+        inside = stored.join(F.broadcast(found), label & F.col("hash").startswith(F.col("lead")))
+        # Equal hashes are one row with a count; the running count is the rank of their last row.
+        counted = inside.groupBy("of_label", "rank", "hash").agg(F.count(F.lit(1)).alias("n"))
+        seen = F.sum("n").over(Window.partitionBy("of_label").orderBy("hash"))
+        first = counted.withColumn("before", seen - F.col("n")).filter(F.col("before") < F.col("rank"))
+        last = first.groupBy("of_label").agg(F.max("hash").alias("last"))
+        return spark.createDataFrame(last.collect(), last.schema)
 
 
 def assign_split(

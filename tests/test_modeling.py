@@ -71,6 +71,31 @@ def test_split_share_by_label(spark):
     assert values(split) == values(modeling.assign_split(rows.repartition(7), training_windows(TRAIN_DATE)))
 
 
+def _brute_last(rows, share):
+    """By label: the hash of the row at round(share * n) in order, null if that is 0."""
+    by = {}
+    for label, h in rows:
+        by.setdefault(label, []).append(h)
+    wanted = {label: int(share * len(hs) + 0.5) for label, hs in by.items()}
+    return {label: sorted(hs)[wanted[label] - 1] for label, hs in by.items() if wanted[label]}
+
+
+@pytest.mark.parametrize("share, limit", [(0.0, 1), (0.0004, 1), (0.5, 1), (0.8, 20), (1.0, 1 << 17)])
+def test_descent_finds_the_row(spark, monkeypatch, share, limit):
+    """With one digit a level the descent has several; no slice holds more rows than the limit, but rows of one hash."""
+    monkeypatch.setattr(modeling, "SLICE_ROWS", limit)
+    monkeypatch.setattr(modeling, "DIGITS", 1)
+    rng = random.Random(3)
+    hashes = [f"{rng.getrandbits(128):032x}" for _ in range(4000)] + ["8" * 32] * 300
+    rows = [(rng.choice([0, 0, 0, 1, None]), h) for h in hashes] + [(7, "a" * 32)] * 50
+    df = frame(spark, "label int, hash string", *rows)
+    slices = modeling._slices(df, share).collect()
+    assert all(r["n"] <= limit or len(r["lead"]) == modeling.HASH_DIGITS for r in slices)
+    if limit == 1 and share == 0.5:
+        assert min(len(r["lead"]) for r in slices) >= 3
+    assert {r["of_label"]: r["last"] for r in modeling._last_hashes(df, share).collect()} == _brute_last(rows, share)
+
+
 def test_scaler_uses_population_deviation_and_skips_missing(spark):
     xs = [1.0, 2.0, 4.0, None, float("nan")]
     scaler = modeling.fit_scaler(frame(spark, "fe_1 double, fe_2 double", *[(x, 5.0) for x in xs]), ["fe_1", "fe_2"])
