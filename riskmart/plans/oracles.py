@@ -409,6 +409,7 @@ FROM (SELECT min(snapshot_date) AS a, max(snapshot_date) AS b FROM loans)""",
     "snapshot_ingest": _loan_keys("snapshot_date = DATE '2000-03-01'"),
     "date_range": _loan_keys("snapshot_date BETWEEN DATE '2000-07-01' AND DATE '2001-08-31'"),
     "bronze_backfill": _counts("loans"),
+    "unpublished_rewrite": _counts("loans"),
     "rerun_backfill": _with(
         "SELECT snapshot_date, count(*) AS row_count FROM loans WHERE snapshot_date <> DATE '2000-03-01' GROUP BY 1", "loans"
     ),

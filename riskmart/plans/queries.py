@@ -151,6 +151,15 @@ def rerun_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return store.snapshot_counts(store.read_table(spark, f"{root}/loans"))
 
 
+@query
+def unpublished_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """A table whose rewrite died after its files were written and before they were published: the old rows, whole."""
+    root, loans = scratch_path(spark, "dead"), adapters.source(spark, sf, "loans")
+    store.write_snapshots(loans, root)
+    store.stage(loans.filter(F.col("installment_num") == 7), root, replace=store.days(None, None))
+    return store.snapshot_counts(store.read_table(spark, root))
+
+
 @query
 def csv_source(spark: SparkSession, sf: str) -> DataFrame:
     """Text files with headers in two orders, read under the declared schema and cleaned."""

@@ -1,19 +1,24 @@
 """Reading sources and the snapshot-partitioned tables of the mart.
 
-A table is one Parquet root partitioned by `snapshot_date`. A date filter prunes folders, and
-writing a date range replaces just the folders of the range, emptied ones included, so a rerun is
-idempotent.
+A table is one Parquet root partitioned by `snapshot_date`. A date filter prunes folders. Writing a date
+range replaces the snapshots of the range, emptied ones included, so a rerun is idempotent. Every write puts its
+files into folders of its own and then publishes one new version of the table: the list of its folders. Readers take the
+newest list, so they see a write whole or not at all; a write that dies leaves the table as it was.
 """
 
 from __future__ import annotations
 
 import csv
+import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 from operator import and_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,14 +89,59 @@ def read_source(spark: SparkSession, path: str | list[str], schema: T.StructType
     return reduce(DataFrame.unionAll, frames)
 
 
+#: Folder level below a partition: which write made it. Readers do not see it.
+WRITE = "written_by"
+_VERSIONS = "_versions"
+#: Versions whose folders stay: readers of the one before may still be at work.
+KEPT_VERSIONS = 2
+
+
+@dataclass(frozen=True)
+class Version:
+    """A published state of a table: its number, the columns of its rows and its folders, relative to the root."""
+
+    number: int = 0
+    schema: T.StructType = field(default_factory=T.StructType)
+    folders: tuple[str, ...] = ()
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    system, where = file_system(spark, f"{root}/{_VERSIONS}")
+    if not system.exists(where):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(where)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _version(spark: SparkSession, root: str, number: int) -> Version:
+    system, where = file_system(spark, f"{root}/{_VERSIONS}/{number:020d}")
+    opened = system.open(where)
+    try:
+        made = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))
+    finally:
+        opened.close()
+    return Version(number, T.StructType.fromJson(made["schema"]), tuple(made["folders"]))
+
+
+def newest(spark: SparkSession, root: str) -> Version | None:
+    """The version readers see; none for a folder that was not written here."""
+    numbers = _versions(spark, root)
+    return _version(spark, root, numbers[-1]) if numbers else None
+
+
 def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
-    """Every snapshot of a table."""
+    """Every snapshot of a table, in its newest version."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(root).drop(LOAD)
+    version = newest(spark, root)
+    if version is None:
+        return (reader.schema(schema) if schema is not None else reader).load(root).drop(LOAD)
+    columns = version.schema if schema is None else schema
+    if not version.folders:
+        return spark.createDataFrame([], columns).drop(LOAD)
+    read = reader.schema(columns).option("basePath", root).load([f"{root}/{f}" for f in version.folders])
+    return read.drop(LOAD, WRITE)
 
 
 def snapshot(df: DataFrame, day: str | date | Column, column: str = SNAPSHOT) -> DataFrame:
@@ -111,53 +161,124 @@ def between(
     return df.filter(in_range(start, end, column)) if start is not None or end is not None else df
 
 
-def _partitions(spark: SparkSession, root: str, depth: int) -> dict[tuple[str, ...], tuple[object, frozenset[str]]]:
-    """Folders of a table's partitions: values in the order of the folders: (path, file names)."""
+def _folders(spark: SparkSession, root: str, depth: int) -> dict[tuple[str, ...], str]:
+    """Folders of a table down to `depth` levels of partitions: values in the order of the levels: path below the root."""
     system, top = file_system(spark, root)
-    found = {(): top} if system.exists(top) else {}
+    found = {(): ("", top)} if system.exists(top) else {}
     for _ in range(depth):
         found = {
-            (*values, s.getPath().getName().partition("=")[2]): s.getPath()
-            for values, folder in found.items()
+            (*values, s.getPath().getName().partition("=")[2]): (f"{path}/{s.getPath().getName()}".lstrip("/"), s.getPath())
+            for values, (path, folder) in found.items()
             for s in system.listStatus(folder)
             if s.isDirectory() and "=" in s.getPath().getName()
         }
-    return {v: (p, frozenset(s.getPath().getName() for s in system.listStatus(p))) for v, p in found.items()}
+    return {values: path for values, (path, _) in found.items()}
 
 
-def write_snapshots(
+@dataclass(frozen=True)
+class Staged:
+    """A write whose files are in place and not published yet."""
+
+    root: str
+    write: str
+    schema: T.StructType
+    depth: int
+    replace: Callable[..., bool] | None
+
+
+def stage(
     df: DataFrame,
     root: str,
     partition_by: Sequence[str] = (SNAPSHOT,),
     fmt: str = "parquet",
     replace: Callable[..., bool] | None = None,
-) -> None:
-    """Replace the partitions present in `df`, and drop those that `replace` says `df` stands for but lacks.
-
-    `replace` gets the values of a partition, as text, in the order of `partition_by`. Without it
-    other partitions stay. What is dropped goes after the write has succeeded; a partition counts as
-    written anew if its files changed.
+) -> Staged:
+    """Write the rows below the table's root, into folders that no version names.
 
     The rebalance hint brings a partition's rows together into files of the advisory size; a
     snapshot with far more rows than the others is split over several tasks.
     """
-    spark = df.sparkSession
-    before = _partitions(spark, root, len(partition_by)) if replace else {}
-    writer = (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-    )
+    write = uuid.uuid4().hex[:16]
+    writer = df.withColumn(WRITE, F.lit(write)).hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("append").partitionBy(*partition_by, WRITE)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(root)
-    if not before:
-        return
-    after = _partitions(spark, root, len(partition_by))
-    for values, (path, files) in before.items():
-        if replace(*values) and after.get(values, (None, None))[1] == files:
-            file_system(spark, root)[0].delete(path, True)
+    return Staged(root, write, df.schema, len(partition_by), replace)
+
+
+def publish(spark: SparkSession, staged: Staged) -> int:
+    """Make a staged write the newest version; returns its number.
+
+    The partitions it holds take the place of the old ones, and those go that `replace` says it stands for but lacks.
+    The list is written aside and renamed to the next free number, which fails if another writer has taken it: then the
+    step is done again on the other's version. Folders of versions before the last KEPT_VERSIONS are removed.
+    """
+    folders = _folders(spark, staged.root, staged.depth + 1)
+    made = {values[:-1]: path for values, path in folders.items() if values[-1] == staged.write}
+    while True:
+        before = newest(spark, staged.root) or Version()
+        kept = [f for f in before.folders if (v := _values(f)) not in made and not (staged.replace and staged.replace(*v))]
+        known = {f.name.lower() for f in staged.schema.fields}
+        schema = T.StructType([*staged.schema.fields, *[f for f in before.schema.fields if f.name.lower() not in known]])
+        version = Version(before.number + 1, schema, tuple(sorted([*kept, *made.values()])))
+        if _renamed(spark, staged.root, version):
+            _remove_old(spark, staged.root)
+            return version.number
+
+
+def _values(folder: str) -> tuple[str, ...]:
+    """Values of a folder's partitions, without the level of the write."""
+    return tuple(level.partition("=")[2] for level in folder.split("/"))[:-1]
+
+
+def _renamed(spark: SparkSession, root: str, version: Version) -> bool:
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/{_VERSIONS}/{version.number:020d}")
+    aside = jvm.org.apache.hadoop.fs.Path(f"{root}/{_VERSIONS}/.{uuid.uuid4().hex}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(aside, False)
+    try:
+        out.write(bytearray(json.dumps({"schema": version.schema.jsonValue(), "folders": version.folders}).encode("utf-8")))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    never = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(system.makeQualified(aside), system.makeQualified(target), never)
+    except Py4JJavaError as refused:
+        system.delete(aside, False)
+        if not refused.java_exception.getClass().getSimpleName().startswith("FileAlreadyExists"):
+            raise
+        return False
+    return True
+
+
+def _remove_old(spark: SparkSession, root: str) -> None:
+    """Remove lists before the last KEPT_VERSIONS, and the folders that only they name."""
+    numbers = _versions(spark, root)
+    old, kept = numbers[:-KEPT_VERSIONS], numbers[-KEPT_VERSIONS:]
+    used = {f for n in kept for f in _version(spark, root, n).folders}
+    for n in old:
+        for folder in set(_version(spark, root, n).folders) - used:
+            system, where = file_system(spark, f"{root}/{folder}")
+            system.delete(where, True)
+        system, where = file_system(spark, f"{root}/{_VERSIONS}/{n:020d}")
+        system.delete(where, False)
+
+
+def write_snapshots(
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (SNAPSHOT,),
+    fmt: str = "parquet",
+    replace: Callable[..., bool] | None = None,
+) -> int:
+    """Replace the partitions present in `df`, and drop those that `replace` says `df` stands for but lacks.
+
+    `replace` gets the values of a partition, as text, in the order of `partition_by`. Without it
+    other partitions stay. Readers see all of it or nothing; returns the number of the new version.
+    """
+    return publish(df.sparkSession, stage(df, root, partition_by, fmt, replace))
 
 
 def days(start: str | date | None, end: str | date | None) -> Callable[[str], bool]:

@@ -51,6 +51,82 @@ def test_a_rerun_drops_snapshots_that_the_source_lost(spark):
     assert values(store.read_table(spark, f"{root}/s"), "Customer_ID", "snapshot_date") == [("a", D1), ("b", D1)]
 
 
+def rows_in(spark, root):
+    return values(store.read_table(spark, root), "Customer_ID", "snapshot_date")
+
+
+OLD = [("a", D1), ("a", D2), ("b", D1), ("c", D3)]
+
+
+def test_a_write_that_dies_leaves_the_old_version(spark, monkeypatch):
+    """It dies after its files are in place, before they are published; and again while the list is written."""
+    root = scratch_path(spark, "dies")
+    store.write_snapshots(source(spark), root)
+    new = frame(spark, "Customer_ID string, v string, snapshot_date date", ("z", "9", D1))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    for step in ("publish", "_renamed"):
+        with monkeypatch.context() as patch:
+            patch.setattr(store, step, dies)
+            with pytest.raises(RuntimeError, match="lost"):
+                store.write_snapshots(new, root, replace=store.days(None, None))
+        assert rows_in(spark, root) == OLD
+    store.write_snapshots(new, root, replace=store.days(None, None))
+    assert rows_in(spark, root) == [("z", D1)]
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark):
+    root = scratch_path(spark, "reader")
+    store.write_snapshots(source(spark), root)
+    reader = store.read_table(spark, root)
+    for i in range(store.KEPT_VERSIONS - 1):
+        store.write_snapshots(frame(spark, "Customer_ID string, v string, snapshot_date date", (f"n{i}", "9", D1)), root, replace=store.days(None, None))
+    assert values(reader, "Customer_ID", "snapshot_date") == OLD
+    assert rows_in(spark, root) == [("n0", D1)]
+
+
+def test_two_writers_both_count(spark, monkeypatch):
+    """One publishes between the other's look at the table and its rename."""
+    root = scratch_path(spark, "two")
+    store.write_snapshots(source(spark), root)
+    schema = "Customer_ID string, v string, snapshot_date date"
+    one = store.stage(frame(spark, schema, ("x", "1", D1)), root)
+    two = store.stage(frame(spark, schema, ("y", "2", D2)), root)
+    renamed, interrupted = store._renamed, []
+
+    def late(session, where, version):
+        if not interrupted:
+            interrupted.append(True)
+            monkeypatch.setattr(store, "_renamed", renamed)
+            store.publish(session, two)
+        return renamed(session, where, version)
+
+    monkeypatch.setattr(store, "_renamed", late)
+    assert store.publish(spark, one) == 3
+    assert rows_in(spark, root) == [("c", D3), ("x", D1), ("y", D2)]
+
+
+def test_old_versions_go_and_new_columns_come(spark):
+    root = scratch_path(spark, "old")
+    for i in range(5):
+        store.write_snapshots(frame(spark, "Customer_ID string, snapshot_date date, n int", (f"c{i}", D1, i), ("k", D2, i)), root)
+    assert len(store._versions(spark, root)) == store.KEPT_VERSIONS
+    folders = store._folders(spark, root, 2)
+    assert len(folders) == 2 * store.KEPT_VERSIONS
+    store.write_snapshots(frame(spark, "Customer_ID string, snapshot_date date, more string", ("e", D3, "x")), root)
+    table = store.read_table(spark, root)
+    assert set(table.columns) == {"Customer_ID", "snapshot_date", "n", "more"}
+    assert values(table, "Customer_ID", "n", "more") == [("c4", 4, None), ("e", None, "x"), ("k", 4, None)]
+
+
+def test_a_table_of_no_rows_can_be_read(spark):
+    root = scratch_path(spark, "none")
+    store.write_snapshots(source(spark).limit(0), root)
+    assert store.read_table(spark, root).columns == ["Customer_ID", "v", "snapshot_date"] and rows_in(spark, root) == []
+
+
 def test_range_is_closed(spark):
     assert store.between(source(spark), D2, None).count() == 2
     assert store.between(source(spark), None, D2).count() == 3
