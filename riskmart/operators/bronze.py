@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation
@@ -32,10 +33,16 @@ def ingest(
 
 
 def write_load(
-    df: DataFrame, root: str, load: str, fmt: str = "parquet", start: str | date | None = None, end: str | date | None = None
+    df: DataFrame,
+    root: str,
+    load: str,
+    fmt: str = "parquet",
+    start: str | date | None = None,
+    end: str | date | None = None,
+    inside: Callable[[str], bool] | None = None,
 ) -> None:
-    """Replace what `load` has written before, in the range, by `df`."""
-    inside = store.days(start, end)
+    """Replace what `load` has written before, in the range or on the days that `inside` names, by `df`."""
+    inside = inside or store.days(start, end)
     store.write_snapshots(
         df.withColumn(store.LOAD, F.lit(load)),
         root,

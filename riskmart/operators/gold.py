@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -36,15 +37,15 @@ def static_features(attributes: DataFrame, financials: DataFrame) -> DataFrame:
 
 
 def attributes_needed(
-    attributes: DataFrame, clickstream: DataFrame, start: str | date | None, end: str | date | None
+    attributes: DataFrame, clickstream: DataFrame, start: str | date | None, end: str | date | None, days: Iterable[date] | None = None
 ) -> DataFrame:
-    """The attribute rows that version 2 of the store reads for the snapshots of a range.
+    """The attribute rows that version 2 of the store reads for the snapshots of a range, or of a list.
 
     Those of the range itself, and of any snapshot for customers with clicks in it: what is
     joined and written for one snapshot then does not grow with the history.
     """
     clicked = clickstream.select(CUSTOMER).distinct().withColumn("__clicked", F.lit(True))
-    built = store.in_range(start, end)
+    built = store.in_range(start, end) if days is None else store.on_days(days)
     return attributes.join(clicked, CUSTOMER, "left").filter(built | F.col("__clicked")).drop("__clicked")
 
 

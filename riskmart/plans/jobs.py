@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from riskmart.operators import bronze, gold, modeling, scoring, silver
+from riskmart.schemas import CUSTOMER, SNAPSHOT
 from riskmart.session import cut_lineage, scratch_scope
 from riskmart.sources import store
 
@@ -80,6 +82,76 @@ def backfill_features(
         return counts | _write(features, root, "gold/feature_store", start, end)
 
 
+def _known(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    return store.read_table(spark, f"{root}/{name}") if store.newest(spark, f"{root}/{name}") else None
+
+
+def _replace_days(df: DataFrame, root: str, name: str, days: set[date]) -> None:
+    """Publish the rows of some snapshots, of which there may be none."""
+    listed = {str(d) for d in days}
+    store.write_snapshots(df.filter(store.on_days(days)), f"{root}/{name}", replace=lambda day: day in listed)
+
+
+def _days_of(df: DataFrame) -> set[date]:
+    return {r[0] for r in df.select(SNAPSHOT).distinct().collect()}  # one row for each snapshot
+
+
+def refresh_features(spark: SparkSession, sources: Mapping[str, DataFrame], root: str) -> dict[str, list[date]]:
+    """Bring bronze, silver and version 2 of gold up to date with the sources; snapshots rewritten in each table.
+
+    A source's snapshot is rebuilt if its digest is not the one stored with the last refresh, also if it is new or gone. A
+    snapshot of gold is rebuilt if its own sources changed, and if it has clicks of a customer whose static features
+    were or are in a changed snapshot. What gold owes is written down before anything else changes and crossed out at
+    the end, digests last, so a run that dies is made up for by the next.
+    """
+    static = ("attributes", "financials")
+    found = {name: dict(map(tuple, store.snapshot_digests(sources[name]).collect())) for name in FEATURE_SOURCES}  # one row for each snapshot
+    known: dict[str, dict[date, str]] = {name: {} for name in FEATURE_SOURCES}
+    before = _known(spark, root, "digests")
+    for r in before.collect() if before is not None else ():
+        known[r["source"]][r[SNAPSHOT]] = r["digest"]
+    stale = {n: {d for d in found[n].keys() | known[n].keys() if found[n].get(d) != known[n].get(d)} for n in FEATURE_SOURCES}
+    owed = set().union(*stale.values())
+    earlier = _known(spark, root, "owed")
+    if earlier is not None:
+        owed |= _days_of(earlier)
+
+    def clicked_by_changed() -> set[date]:
+        clicks, tables = _known(spark, root, "silver/clickstream"), {n: _known(spark, root, f"silver/{n}") for n in static}
+        changed = [t.filter(store.on_days(stale[n])).select(CUSTOMER) for n, t in tables.items() if t is not None and stale[n]]
+        if clicks is None or not changed:
+            return set()
+        return _days_of(clicks.join(reduce(DataFrame.unionAll, changed).distinct(), CUSTOMER, "left_semi"))
+
+    if not owed:
+        return {}
+    owed |= clicked_by_changed()
+    store.write_snapshots(spark.createDataFrame([(d,) for d in sorted(owed)], f"{SNAPSHOT} date").withColumn("owed", F.lit(True)), f"{root}/owed")
+    clean = {"clickstream": silver.clickstream, "attributes": silver.attributes, "financials": silver.financials}
+    written: dict[str, list[date]] = {}
+    for name in FEATURE_SOURCES:
+        if stale[name]:
+            listed = {str(d) for d in stale[name]}
+            rows = sources[name].filter(store.on_days(stale[name]))
+            bronze.write_load(rows, f"{root}/bronze/{name}", bronze.BATCH, inside=lambda day, listed=listed: day in listed)
+            raw = store.read_table(spark, f"{root}/bronze/{name}").filter(store.on_days(stale[name]))
+            _replace_days(clean[name](raw), root, f"silver/{name}", stale[name])
+            written |= dict.fromkeys((f"bronze/{name}", f"silver/{name}"), sorted(stale[name]))
+    owed |= clicked_by_changed()
+    with scratch_scope(spark):
+        clicks, attributes, financials = (store.read_table(spark, f"{root}/silver/{n}") for n in FEATURE_SOURCES)
+        clicks = clicks.filter(store.on_days(owed))
+        needed = gold.attributes_needed(attributes, clicks, None, None, owed)
+        features = gold.feature_store_v2(clicks, cut_lineage(gold.static_features(needed, financials), "static"))
+        _replace_days(features, root, "gold/feature_store", owed)
+    written["gold/feature_store"] = sorted(owed)
+    digests = [(n, d, x) for n in FEATURE_SOURCES for d, x in found[n].items()]
+    everything = store.days(None, None)
+    store.write_snapshots(spark.createDataFrame(digests, f"source string, {SNAPSHOT} date, digest string"), f"{root}/digests", replace=everything)
+    store.write_snapshots(spark.createDataFrame([], f"owed boolean, {SNAPSHOT} date"), f"{root}/owed", replace=everything)
+    return written
+
+
 def backfill_labels(
     spark: SparkSession,
     loans: DataFrame,

@@ -424,6 +424,14 @@ SELECT snapshot_date, count(*) AS row_count FROM (
         "SELECT loan_id, Customer_ID, snapshot_date, mob, dpd FROM silver_loans WHERE installment_num = 7", "silver_loans"
     ),
     "streamed_bronze": "SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count FROM events GROUP BY 1",
+    "changed_snapshot": _with(
+        """
+SELECT unnest(['bronze/financials', 'silver/financials', 'gold/feature_store']) AS table_name, DATE '2024-01-08' AS snapshot_date
+UNION SELECT 'gold/feature_store', snapshot_date FROM clickstream
+WHERE Customer_ID IN (SELECT Customer_ID FROM financials WHERE snapshot_date = DATE '2024-01-08')""",
+        "clickstream",
+        "financials",
+    ),
     "feature_backfill": _GOLD_V2,
     "clickstream_silver": _with("SELECT * FROM silver_clicks", "silver_clicks"),
     "attributes_silver": _ATTRIBUTES,

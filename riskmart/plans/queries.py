@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TRAIN_DATE = "2001-09-01"
 SNAPSHOT_DATE = "2000-03-01"
+FINANCIAL_DAY = "2024-01-08"
 CALENDAR = ("1995-01-01", "2001-12-01")
 COHORT_CUTOFF = "2000-01-01"
 CLICKS = [f"fe_{i}" for i in range(1, 21)]
@@ -204,6 +205,19 @@ def feature_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_table(spark, f"{root}/gold/feature_store")
 
 
+@query
+def changed_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """What a refresh rewrites when the financials of one snapshot have changed: table and snapshot."""
+    root = scratch_path(spark, "refresh")
+    sources = {name: adapters.source(spark, sf, name) for name in jobs.FEATURE_SOURCES}
+    jobs.refresh_features(spark, sources, root)
+    day = F.col(SNAPSHOT) == FINANCIAL_DAY
+    changed = sources["financials"].withColumn("Interest_Rate", F.when(day, F.col("Interest_Rate") + 1).otherwise(F.col("Interest_Rate")))
+    written = jobs.refresh_features(spark, {**sources, "financials": changed}, root)
+    rows = [(table, d) for table, days in written.items() for d in days]  # one row for each table and snapshot
+    return spark.createDataFrame(rows, f"table_name string, {SNAPSHOT} date")
+
+
 @query
 def label_backfill(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "mart")

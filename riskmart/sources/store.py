@@ -11,7 +11,7 @@ from __future__ import annotations
 import csv
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -155,6 +155,11 @@ def in_range(start: str | date | Column | None, end: str | date | Column | None,
     return reduce(and_, bounds, F.lit(True))
 
 
+def on_days(dates: Iterable[date], column: str = SNAPSHOT) -> Column:
+    """Whether a row's snapshot is one of a list, at most as long as the calendar."""
+    return F.col(column).isin(sorted(dates))
+
+
 def between(
     df: DataFrame, start: str | date | Column | None, end: str | date | Column | None, column: str = SNAPSHOT
 ) -> DataFrame:
@@ -295,3 +300,14 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def snapshot_counts(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def snapshot_digests(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
+    """(snapshot, digest): number of rows and 128 bits of all their values, whatever the order of rows and columns.
+
+    Exclusive or and sum of two hashes of each row, in one aggregate; a null is told from any value.
+    """
+    values = [x for c in sorted(df.columns) if c != column for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    total = F.sum(F.xxhash64(F.lit(1), *values).cast("decimal(38,0)")).cast("string")
+    parts = (F.count(F.lit(1)).cast("string"), F.bit_xor(F.xxhash64(*values)).cast("string"), total)
+    return df.groupBy(column).agg(F.concat_ws(":", *parts).alias("digest"))

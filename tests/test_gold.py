@@ -1,5 +1,8 @@
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
+
 from riskmart.operators import gold
 from riskmart.plans import jobs
 from riskmart.session import file_system, scratch_path, shared_folder
@@ -93,6 +96,53 @@ def test_rerun_of_one_snapshot_gives_the_same_store(spark):
     assert counts["gold/feature_store"] == store.snapshot(after, day).count() > 0
 
 
+def _gold(spark, root):
+    table = store.read_table(spark, f"{root}/gold/feature_store")
+    return values(table, *sorted(table.columns))
+
+
+def test_a_refresh_equals_a_backfill_and_rewrites_no_more_than_it_must(spark, monkeypatch):
+    """A changed snapshot, a lost one, none; and a run that dies before gold is made up for by the next."""
+    sources = {name: adapters.source(spark, SF, name) for name in jobs.FEATURE_SOURCES}
+    root, whole = scratch_path(spark, "refresh"), scratch_path(spark, "whole")
+    assert set(jobs.refresh_features(spark, sources, root)) == {f"{t}/{n}" for t in ("bronze", "silver") for n in sources} | {"gold/feature_store"}
+    jobs.backfill_features(spark, sources, whole)
+    assert _gold(spark, root) == _gold(spark, whole)
+    assert jobs.refresh_features(spark, {n: df.repartition(5) for n, df in sources.items()}, root) == {}
+    day = date(2024, 1, 8)
+    moved = F.when((F.col("snapshot_date") == day) & (F.col("Customer_ID").cast("int") % 2 == 0), F.col("Customer_ID").cast("int") + 1_000_000)
+    changed = sources | {"attributes": sources["attributes"].withColumn("Customer_ID", F.coalesce(moved.cast("string"), F.col("Customer_ID")))}
+    published = store.write_snapshots
+
+    def dies(df, path, *args, **options):
+        if path.endswith("gold/feature_store"):
+            raise RuntimeError("lost")
+        return published(df, path, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "write_snapshots", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.refresh_features(spark, changed, root)
+    written = jobs.refresh_features(spark, changed, root)
+    assert written["bronze/attributes"] == written["silver/attributes"] == [day] and "bronze/financials" not in written
+    jobs.backfill_features(spark, changed, whole)
+    assert _gold(spark, root) == _gold(spark, whole)
+    lost = changed | {"clickstream": changed["clickstream"].filter(F.col("snapshot_date") != day)}
+    written = jobs.refresh_features(spark, lost, root)
+    assert written == {"bronze/clickstream": [day], "silver/clickstream": [day], "gold/feature_store": [day]}
+    jobs.backfill_features(spark, lost, whole)
+    assert _gold(spark, root) == _gold(spark, whole)
+
+
+def test_digests_tell_snapshots_apart(spark):
+    rows = [("a", None, D1), (None, "a", D2), ("a", None, D2)]
+    df = frame(spark, "x string, y string, snapshot_date date", *rows)
+    one = dict(map(tuple, store.snapshot_digests(df).collect()))
+    assert one == dict(map(tuple, store.snapshot_digests(df.select("y", "snapshot_date", "x").repartition(3)).collect()))
+    swapped = frame(spark, "x string, y string, snapshot_date date", (None, "a", D1), *rows[1:])
+    assert dict(map(tuple, store.snapshot_digests(swapped).collect()))[D1] != one[D1]
+
+
 def test_open_bounds_and_no_scratch_left(spark):
     sources = {name: adapters.source(spark, SF, name) for name in jobs.FEATURE_SOURCES}
     whole, late, early = (scratch_path(spark, n) for n in ("all", "late", "early"))
