@@ -50,3 +50,27 @@ def tidy(task):
         pa.default_memory_pool().release_unused()
 
     return run
+
+
+def keeps_names(operator):
+    """An operator whose internal columns begin with two underscores, made safe for callers' columns that do so too.
+
+    Such columns are renamed before the operator sees them, and back afterwards; other tables pass unchanged.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options):
+        taken = [c for c in df.columns if c.startswith("__")]
+        if not taken:
+            return operator(df, *args, **options)
+        prefix = "own"
+        while any(c.lower().startswith(prefix) for c in df.columns):
+            prefix += "_"
+        aside = {c: f"{prefix}{i}" for i, c in enumerate(taken)}
+        renamed = df.select(*[F.col(f"`{c}`").alias(aside.get(c, c)) for c in df.columns])
+        named = lambda x: aside.get(x, x) if isinstance(x, str) else x
+        made = operator(renamed, *map(named, args), **{k: named(v) for k, v in options.items()})
+        back = {new: c for c, new in aside.items()}
+        return made.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in made.columns])
+
+    return run

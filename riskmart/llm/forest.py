@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import text_of, tidy
+from riskmart.llm.common import keeps_names, text_of, tidy
 from riskmart.llm.similar import components, finalised, links, multipliers, set_hash, small
 from riskmart.session import cut_lineage
 
@@ -181,6 +181,7 @@ def _same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(same)).select(["item", "text"])
 
 
+@keeps_names
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of `df` for each class: that of the class's id, and of several texts with it that of the least hash.
 

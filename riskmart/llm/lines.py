@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import others, tidy
+from riskmart.llm.common import keeps_names, others, tidy
 from riskmart.llm.similar import components, finalised, links, multipliers, small
 from riskmart.session import cut_lineage
 
@@ -225,6 +225,7 @@ def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", thre
     return lost.groupBy(*by).agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
 
 
+@keeps_names
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Every row of `df`, its text without duplicate lines, and n_lines and n_removed.
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import n_words, others, text_of
+from riskmart.llm.common import keeps_names, n_words, others, text_of
 from riskmart.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -200,13 +200,19 @@ def _cut_hashes(sized: DataFrame, rest: Sequence[tuple[str | None, float]]) -> d
     return {r["name"]: r["upto"] if r["upto"] is not None else r["first"] - 1 for r in taken.collect()}
 
 
+@keeps_names
 def draws(df: DataFrame, mix: Plan, source: str = "source", text: str = "text", size: Column | None = None) -> DataFrame:
-    """Adds size, source_size, target and draws, an array of (epoch, shard, rank), to every row.
+    """Adds size, source_size, target and draws, an array of (epoch, shard), to every row.
 
     No shuffle: a row's passes, its blocks and their shards follow from its hash and the plan.
-    rank orders a shard at random. Rows that are equal in id, source and text have one hash and are
+    Rows that are equal in id, source and text have one hash and are
     drawn together; null sources are a source of their own, null texts have no words.
     """
+    return _drawn(df, mix, source, text, size).drop("__rank")
+
+
+def _drawn(df: DataFrame, mix: Plan, source: str, text: str, size: Column | None) -> DataFrame:
+    """`draws` with the hash that ranks a row."""
     found = df.sparkSession.sparkContext.broadcast(mix)
 
     @F.pandas_udf("source_size long, target double, draws array<struct<epoch:int,shard:int>>")
@@ -238,13 +244,14 @@ def draws(df: DataFrame, mix: Plan, source: str = "source", text: str = "text",
     return keyed.withColumn("__d", drawn("__source", "__hash")).select(*kept, F.col("__size").alias("size"), "__d.source_size", "__d.target", "__d.draws", F.col("__hash").alias("__rank"))
 
 
+@keeps_names
 def mixed(df: DataFrame, mix: Plan, source: str = "source", text: str = "text", size: Column | None = None) -> DataFrame:
     """The mix: every row as often as it is drawn, shard k in partition k, shuffled inside.
 
     Keeps the columns of `df`, but for those that `draws` makes, and adds epoch and shard. The one shuffle moves each drawn row once;
     a hot source's blocks are spread over all shards by the tree.
     """
-    rows = draws(df, mix, source, text, size)
+    rows = _drawn(df, mix, source, text, size)
     rows = rows.select(*others(df, ("epoch", "shard", "size", "source_size", "target", "draws")), F.inline("draws"), "__rank")
     rank = F.xxhash64(F.lit(mix.seed), "epoch", "__rank")
     dealt = rows.withColumn("__rank", rank).repartitionById(mix.shards, F.col("shard")).sortWithinPartitions("shard", "__rank")

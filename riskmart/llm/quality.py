@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import WORD, let, others, text_of
+from riskmart.llm.common import WORD, keeps_names, let, others, text_of
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -155,6 +155,7 @@ def cascade(rules: Sequence[Rule], measured: Callable[[str], Column]) -> Column:
     return F.coalesce(*[F.when(_fails(r, measured), F.lit(r.name)) for r in rules], F.lit(None).cast("string"))
 
 
+@keeps_names
 def judge(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, order: Sequence[Rule] | None = None) -> DataFrame:
     """Adds every measure, base_failed, rejected_by and kept to each row, in one scan without a shuffle.
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import others
+from riskmart.llm.common import keeps_names, others
 
 ALLOW, BLOCK = "allow", "block"
 LIMIT = 2
@@ -98,6 +98,7 @@ def best_rule(host: str, path: str, by_host: Mapping[str, list[Rule]]) -> Rule |
     return best
 
 
+@keeps_names
 def judge(df: DataFrame, url: str = "url", rules: Iterable[Rule] = (), vocabulary: Mapping[str, int] = VOCABULARY, limit: int = LIMIT) -> DataFrame:
     """Adds host, path, rule, verdict, strict_hits, soft_terms and score to every row.
 

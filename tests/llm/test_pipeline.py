@@ -83,3 +83,22 @@ def test_odd_tables(spark, tmp_path):
         got = corpus_pipeline.run(spark, str(folder)).collect()
         assert {r.doc_id for r in got} <= {r[0] for r in rows}
         assert len(got) <= 2 * len(rows) and all(r.n_tokens >= 40 for r in got)
+
+
+def test_odd_tables_exactly(spark, tmp_path):
+    """Which documents are left, at least once, and no others."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    good, other = (" ".join(f"{x}{i}" for i in range(40)) for x in ("word", "term"))
+    for name, rows, left in (
+        ("null", [(None, None, None, None, None), (1, None, "en", None, 3), (None, good, None, None, None), (2, "", None, "s", 0)], {None}),
+        ("copies", [(5, good, "en", "s", 9)] * 4 + [(6, good + " more", "en", "s", 9), (7, other, "en", "s", 9)], {5, 7}),
+        ("lines", [(8, f"{good}\n{other}", "en", "s", 9), (9, other, "en", "s", 9)], {8}),
+    ):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+        frame = spark.read.parquet(f"{folder}/documents.parquet")
+        steps = dict(corpus_pipeline.STAGES)
+        for stage in ("quality rules", "line dedup", "near-copy join"):
+            frame = steps[stage](spark, frame, str(folder))
+        assert Counter(r.doc_id for r in frame.collect()) == Counter(left), name
+        assert {r.doc_id for r in corpus_pipeline.run(spark, str(folder)).collect()} <= left
