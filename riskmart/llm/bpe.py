@@ -163,17 +163,59 @@ def _byte_letters() -> list[str]:
     return letters
 
 
-class WordCodec:
-    """Texts to ids and back, for lower-casing byte-level vocabularies with word ends."""
+# How the vocabulary's own definition splits text.
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
-    # How the vocabulary's own definition splits text.
-    _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
-    _SEPARATORS = re.compile("[\x1c-\x1f]")
+def _own_words(text: str) -> list[str]:
+    folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return [w for chunk in folded.split() for w in _SPLIT.findall(chunk)]
+
+
+class Cutter:
+    """Words as the definition's own normaliser and splitter cut them, without its vocabulary."""
 
     def __init__(self, definition: dict):
         from tokenizers import Tokenizer
 
+        empty = {**definition, "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        cutter = Tokenizer.from_str(json.dumps(empty))
+        self._normalizer, self._splitter = cutter.normalizer, cutter.pre_tokenizer
+        self._byte_of = {letter: b for b, letter in enumerate(_byte_letters())}
+
+    def words(self, text: str) -> list[bytes]:
+        pieces = self._splitter.pre_tokenize_str(self._normalizer.normalize_str(text))
+        return [bytes(map(self._byte_of.__getitem__, piece)) for piece, _ in pieces]
+
+
+def _definition(tokenizer: str) -> dict:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
+        return json.load(f)
+
+
+@lru_cache(maxsize=2)
+def unsure_characters(tokenizer: str = TOKENIZER) -> str:
+    """A pattern of the characters that the definition may take for another kind, case or mark than the libraries here do.
+
+    Each character below KNOWN is tried once, between marks, letters, digits and signs; all others are left to the
+    definition. Found once on the driver: workers need the definition's library only for texts with such characters.
+    """
+    cutter, same = Cutter(_definition(tokenizer)), []
+    for c in map(chr, range(0x80, KNOWN)):
+        probe = f"a\u0301{c}\u0316b {c}1{c} !{c}{c}"
+        if [w.encode("utf-8") for w in _own_words(probe)] == cutter.words(probe):
+            same.append(c)
+    return f"[^\x00-\x7f{re.escape(''.join(same))}]"
+
+
+class WordCodec:
+    """Texts to ids and back, for lower-casing byte-level vocabularies with word ends."""
+
+    _SEPARATORS = re.compile("[\x1c-\x1f]")
+
+    def __init__(self, definition: dict, unsure: str):
         model = definition["model"]
         self.automaton = MergeAutomaton(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
         end = model["end_of_word_suffix"]
@@ -186,31 +228,14 @@ class WordCodec:
         self._mark = regex.compile(f"({cut})") if cut else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        whole = Tokenizer.from_str(json.dumps(definition))
-        self._normalizer, self._splitter = whole.normalizer, whole.pre_tokenizer
-        self._byte_of = {letter: b for b, letter in enumerate(_byte_letters())}
-        self._unsure = self._unsure_characters()
-
-    def _own_words(self, text: str) -> list[str]:
-        folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return [w for chunk in folded.split() for w in self._SPLIT.findall(chunk)]
+        self._cuts = {k: v for k, v in definition.items() if k != "model"}
+        self._cutter: Cutter | None = None
+        self._unsure = re.compile(unsure)
 
     def _their_words(self, text: str) -> list[bytes]:
-        """Words by the definition's own normaliser and splitter, as bytes."""
-        pieces = self._splitter.pre_tokenize_str(self._normalizer.normalize_str(text))
-        return [bytes(map(self._byte_of.__getitem__, piece)) for piece, _ in pieces]
-
-    def _unsure_characters(self) -> regex.Pattern:
-        """A search for characters that the definition may take for another kind, case or mark than the libraries here do.
-
-        Each character below KNOWN is tried once, between marks, letters, digits and signs; all others are left to the definition.
-        """
-        same = []
-        for c in map(chr, range(0x80, KNOWN)):
-            probe = f"a\u0301{c}\u0316b {c}1{c} !{c}{c}"
-            if [w.encode("utf-8") for w in self._own_words(probe)] == self._their_words(probe):
-                same.append(c)
-        return re.compile(f"[^\x00-\x7f{re.escape(''.join(same))}]")
+        if self._cutter is None:
+            self._cutter = Cutter(self._cuts)
+        return self._cutter.words(text)
 
     def _word(self, word: str) -> bytes:
         return self._bytes(word.encode("utf-8"))
@@ -225,7 +250,7 @@ class WordCodec:
         """Ids of a text without white space; those of short ones are remembered."""
         packed = self._old.get(chunk)
         if packed is None:
-            words = self._SPLIT.findall(chunk)
+            words = _SPLIT.findall(chunk)
             if len(words) == 1:
                 packed = self._word(words[0])
             else:
@@ -242,7 +267,7 @@ class WordCodec:
         # Lower case letter by letter: a sigma at a word's end is no exception.
         folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if self._SEPARATORS.search(folded):  # white space to str.split() and not to the definition
-            return b"".join([self._word(w) for w in self._SPLIT.findall(folded)])
+            return b"".join([self._word(w) for w in _SPLIT.findall(folded)])
         known = self._young.get
         return b"".join([known(c) or self._chunk(c) for c in folded.split()])
 
@@ -260,12 +285,9 @@ class WordCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(tokenizer: str = TOKENIZER) -> WordCodec:
-    """Compiled once in each process that needs it."""
-    import public_tokenizers
-
-    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
-        return WordCodec(json.load(f))
+def codec(tokenizer: str = TOKENIZER, unsure: str | None = None) -> WordCodec:
+    """Compiled once in each process that needs it; `unsure` is what the driver found by `unsure_characters`."""
+    return WordCodec(_definition(tokenizer), unsure or unsure_characters(tokenizer))
 
 
 def _pieces(texts: pd.Series) -> Iterator[list]:
@@ -283,11 +305,12 @@ def _pieces(texts: pd.Series) -> Iterator[list]:
 
 def encoded(text: Column, tokenizer: str = TOKENIZER) -> Column:
     """Ids of a text, 4 bytes each, little-endian; empty for null."""
+    unsure = unsure_characters(tokenizer)
 
     @F.pandas_udf("binary")
     @tidy
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = codec(tokenizer).encode
+        encode = codec(tokenizer, unsure).encode
         for batch in batches:
             for part in _pieces(batch):
                 yield pd.Series([encode(t) for t in part], dtype=object)
@@ -297,11 +320,12 @@ def encoded(text: Column, tokenizer: str = TOKENIZER) -> Column:
 
 def decoded(ids: Column, tokenizer: str = TOKENIZER) -> Column:
     """Text of packed ids; empty for null."""
+    unsure = unsure_characters(tokenizer)
 
     @F.pandas_udf("string")
     @tidy
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decode = codec(tokenizer).decode
+        decode = codec(tokenizer, unsure).decode
         for batch in batches:
             for part in _pieces(batch):
                 yield pd.Series([decode(p) for p in part], dtype=object)
@@ -331,11 +355,12 @@ def decode(df: DataFrame, ids: str = "ids", tokenizer: str = TOKENIZER) -> DataF
 
 def round_trip(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """`decode(encode(df))` by one worker a task, which holds the automaton once."""
+    unsure = unsure_characters(tokenizer)
 
     @F.pandas_udf("ids binary, decoded string")
     @tidy
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = codec(tokenizer)
+        own = codec(tokenizer, unsure)
         for batch in batches:
             for part in _pieces(batch):
                 ids = [own.encode(t) for t in part]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import wraps
 
@@ -39,7 +40,7 @@ def let(value: Column, body) -> Column:
 
 
 def tidy(task):
-    """A function of a task's batches that, at its end, gives back what Arrow holds but does not use.
+    """A function of a task's batches that, at its end, gives back what Arrow and the C library hold but do not use.
 
     Workers live on when their task is over, and what they keep counts against later stages.
     """
@@ -48,6 +49,9 @@ def tidy(task):
     def run(batches: Iterator) -> Iterator:
         yield from task(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
 
     return run
 
