@@ -302,6 +302,61 @@ def _loan_keys(where: str) -> str:
     return _with(f"SELECT loan_id, Customer_ID, snapshot_date, installment_num FROM loans WHERE {where}", "loans")
 
 
+# Columns of the sources in the order of their SQL.
+_ATTRIBUTE_COLUMNS = "Customer_ID Age SSN Occupation snapshot_date"
+_FINANCIAL_COLUMNS = (
+    "Customer_ID Num_Bank_Accounts Num_Credit_Card Interest_Rate Delay_from_due_date Num_Credit_Inquiries Payment_of_Min_Amount "
+    "Payment_Behaviour Credit_Mix Type_of_Loan Annual_Income Monthly_Inhand_Salary Num_of_Loan Num_of_Delayed_Payment "
+    "Changed_Credit_Limit Outstanding_Debt Credit_Utilization_Ratio Total_EMI_per_month Amount_invested_monthly Monthly_Balance "
+    "Credit_History_Age snapshot_date"
+)
+_LOAN_COLUMNS = (
+    "loan_id Customer_ID loan_start_date tenure installment_num loan_amt due_amt paid_amt overdue_amt balance snapshot_date"
+)
+
+
+def _inferred(sources: dict[str, str]) -> str:
+    """Every value of every column as a row with its rung; then types by column."""
+    values = "\n  UNION ALL\n  ".join(
+        f"SELECT '{source}' AS source, {position} AS position, '{c}' AS name, nullif(trim(CAST({c} AS VARCHAR)), '') AS v FROM {source}"
+        for source, columns in sources.items()
+        for position, c in enumerate(columns.split(), 1)
+    )
+    return _with(
+        f"""SELECT source, CAST(position AS INT) AS position, name AS "column",
+  CASE WHEN max(rung) IS NULL OR max(rung) = 6 OR (min(rung) < 4 AND max(rung) > 3) THEN 'string'
+       ELSE ['int', 'bigint', 'double', 'date', 'timestamp'][max(rung)] END AS type,
+  count(v) AS n_values, count(*) - count(v) AS n_missing,
+  CASE WHEN min(rung) < max(rung) THEN arg_min(v, (-rung, v)) END AS widened_by
+FROM (
+SELECT *, CASE
+  WHEN v IS NULL THEN NULL
+  WHEN regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS INT) IS NOT NULL THEN 1
+  WHEN regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL THEN 2
+  WHEN regexp_full_match(v, '[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN 3
+  WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(v AS DATE) IS NOT NULL THEN 4
+  WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}([.][0-9]{{1,6}})?')
+    AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN 5
+  ELSE 6 END AS rung
+FROM (
+  {values}))
+GROUP BY 1, 2, 3""",
+        *sources,
+    )
+
+
+def _report(table: str, columns: str) -> str:
+    return _with(
+        "\nUNION ALL\n".join(
+            f"""SELECT {position} AS position, '{c}' AS "column",
+  CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof(any_value({c}))) END AS type,
+  count({c}) AS n_present, count(*) - count({c}) AS n_null FROM {table}"""
+            for position, c in enumerate(columns.split(), 1)
+        ),
+        table,
+    )
+
+
 _FINANCIAL_SILVER = _with("SELECT * FROM silver_financials", "silver_financials")
 _GOLD_V2 = _with("SELECT * FROM gold_v2", "gold_v2")
 _LABELS = _with("SELECT * FROM label_store", "label_store")
@@ -414,6 +469,19 @@ FROM (SELECT min(snapshot_date) AS a, max(snapshot_date) AS b FROM loans)""",
         "SELECT snapshot_date, count(*) AS row_count FROM loans WHERE snapshot_date <> DATE '2000-03-01' GROUP BY 1", "loans"
     ),
     "csv_source": _ATTRIBUTES,
+    "streamed_csv": _ATTRIBUTES,
+    "stored_counts": _with(
+        """SELECT snapshot_date, count(*) AS row_count, min(loan_start_date) AS min_loan_start_date, max(loan_start_date) AS max_loan_start_date,
+  min(installment_num) AS min_installment_num, max(installment_num) AS max_installment_num FROM loans GROUP BY 1""",
+        "loans",
+    ),
+    "inferred_types": _inferred({"attributes": _ATTRIBUTE_COLUMNS, "financials": _FINANCIAL_COLUMNS, "loans": _LOAN_COLUMNS}),
+    "schema_report": _report("numeric_financials", _FINANCIAL_COLUMNS),
+    "first_complete_rows": _with(
+        """SELECT Customer_ID, snapshot_date, Type_of_Loan, Num_of_Delayed_Payment FROM financials
+WHERE Type_of_Loan IS NOT NULL AND Num_of_Delayed_Payment IS NOT NULL ORDER BY Customer_ID, snapshot_date LIMIT 25""",
+        "financials",
+    ),
     "mixed_bronze": """
 SELECT snapshot_date, count(*) AS row_count FROM (
   SELECT CAST(ts AS DATE) AS snapshot_date FROM events

@@ -14,7 +14,7 @@ from riskmart.operators import analysis, boosting, bronze, gold, imputation, mod
 from riskmart.plans import jobs
 from riskmart.schemas import CUSTOMER, DIRTY_NUMBERS, LOAN, SNAPSHOT, raw_schema
 from riskmart.session import cut_lineage, scratch_path
-from riskmart.sources import adapters, store
+from riskmart.sources import adapters, inference, store
 from riskmart.streaming import ingest as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,6 +186,55 @@ def streamed_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return store.snapshot_counts(store.read_table(spark, f"{root}/events"))
 
 
+@query
+def streamed_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributes of customers arriving as text files with headers in two orders, one stream; cleaned when read back."""
+    path = scratch_path(spark, "arriving")
+    rows = adapters.source(spark, sf, "attributes")
+    odd = F.col(CUSTOMER).cast("int") % 2 == 1
+    orders = ((odd, rows.columns), (~odd, [SNAPSHOT, "Occupation", "Age", "SSN", CUSTOMER]))
+    for part, order in orders:
+        rows.filter(part).select(*order).write.mode("append").option("header", True).csv(f"{path}/in")
+        arrivals = stream.arriving_files(spark, f"{path}/in", pathGlobFilter="*.csv")
+        stream.ingest_available(arrivals, f"{path}/bronze", f"{path}/progress", stream.by_header(raw_schema("attributes")))
+    return silver.attributes(store.read_table(spark, f"{path}/bronze"))
+
+
+@query
+def stored_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts and bounds of a stored table, from footers alone."""
+    root = scratch_path(spark, "counted")
+    bronze.ingest(adapters.source(spark, sf, "loans"), "loans", root)
+    return store.stored_counts(spark, f"{root}/loans", ["loan_start_date", "installment_num"])
+
+
+INFERRED = ("attributes", "financials", "loans")
+
+
+@query
+def inferred_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Types of three sources written as text files, found from their values."""
+    found = []
+    for name in INFERRED:
+        path = scratch_path(spark, name)
+        adapters.source(spark, sf, name).write.option("header", True).csv(path)
+        found.append(inference.inferred_types(store.read_text(spark, path)).select(F.lit(name).alias("source"), "*"))
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
+@query
+def schema_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Declared types of a silver table, and how much of each column is there."""
+    return inference.schema_report(_numeric(spark, sf))
+
+
+@query
+def first_complete_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A look at a table: its first 25 complete rows in the order of customer and snapshot."""
+    rows = adapters.source(spark, sf, "financials").select(CUSTOMER, SNAPSHOT, "Type_of_Loan", "Num_of_Delayed_Payment")
+    return C.complete_rows(rows, 25, (CUSTOMER, SNAPSHOT))
+
+
 @query
 def mixed_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Events ingested as a stream, then a batch into the same table: both are read back."""

@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import csv
 import json
+import re
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
+from itertools import islice
 from operator import and_
+from urllib.parse import unquote
 
+import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,40 +34,57 @@ from riskmart.session import file_system
 LOAD = "ingest_load"
 
 
-def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """The files below `paths` by their header. Only the first line of each is read."""
-    jvm = spark._jvm
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
-    files = []
-    for path in paths:
-        system, where = file_system(spark, path)
-        for found in system.globStatus(where) or []:
-            if found.isFile():
-                files.append(found.getPath())
-                continue
-            listed = system.listFiles(found.getPath(), False)
-            while listed.hasNext():
-                file = listed.next().getPath()
-                if not file.getName().startswith(("_", ".")):
-                    files.append(file)
-
-    def header(file) -> tuple[str, ...]:
-        opened = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
-        codec = codecs.getCodec(file)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(opened) if codec else opened, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        delimiter = options.get("sep", options.get("delimiter", ","))
-        return tuple(c.strip() for c in next(csv.reader([(line or "").removeprefix("\ufeff")], delimiter=delimiter), []))
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, line): the first line of each text file below `paths`, compressed ones included; empty files have none.
+
+    A task opens a file and stops after its first line. The session that reads them has settings of its own, under which a
+    file is never cut and never shares a task.
+    """
+    whole = str(1 << 50)
+    reader = spark.newSession()
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": whole,
+        "spark.sql.files.openCostInBytes": whole,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+    }.items():
+        reader.conf.set(key, value)
+
+    def first(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from islice((b for b in batches if len(b)), 1)
+
+    lines = reader.read.text(list(paths)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    return lines.mapInPandas(first, "file string, line string")
 
+
+def literal_path(file: str) -> str:
+    """A file's name where Spark expects a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", file)
+
+
+def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below `paths` by their header: a row for each file comes to the driver, as in Spark's own listing."""
+    delimiter = options.get("sep", options.get("delimiter", ","))
     by_header: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, columns in zip(files, pool.map(header, files)):
-            if columns:  # an empty file has no rows
-                by_header.setdefault(columns, []).append(file.toString())
-    return by_header
+    for r in _first_lines(spark, paths).collect():
+        line = next(csv.reader([r["line"].removeprefix("\ufeff")], delimiter=delimiter), [])
+        # Spark gives the name of a file as a URI.
+        by_header.setdefault(tuple(c.strip() for c in line), []).append(literal_path(unquote(r["file"])))
+    return {header: sorted(files) for header, files in by_header.items() if header}
+
+
+def read_text(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
+    """CSV files with a header row as text, undeclared: the columns of all headers, found by name in each file.
+
+    A column that a file lacks is null there; names that differ by case only are one column. Columns come in the order of
+    the first header, by code point.
+    """
+    frames = []
+    for header, files in sorted(_headers(spark, [path] if isinstance(path, str) else list(path), options).items()):
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        frames.append(spark.read.schema(text).options(header=True, enforceSchema=False, **options).csv(files))
+    if not frames:
+        return spark.createDataFrame([], T.StructType())
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_source(spark: SparkSession, path: str | list[str], schema: T.StructType, **options: str) -> DataFrame:
@@ -302,6 +322,41 @@ def snapshot_counts(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def stored_counts(spark: SparkSession, root: str, bounds: Sequence[str] = (), column: str = SNAPSHOT) -> DataFrame:
+    """(snapshot, row_count, and min_c and max_c of each column of `bounds`) of a stored Parquet table, without a scan.
+
+    Spark answers counts and bounds by partition folder from the files' footers, read in tasks; no page of data is read.
+    Then folders of a snapshot are added up. Bounds are of whole numbers and dates, whose footers hold them exactly; a column
+    that is null throughout a file has no bounds there, and asking for them fails. A table without files gives no rows.
+    """
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    version = newest(spark, root)
+    if version is not None and not version.folders:
+        rows = spark.createDataFrame([], version.schema)
+        return rows.groupBy(column).agg(*_counts_and_bounds(F.count(F.lit(1)), {c: (F.min(c), F.max(c)) for c in bounds}))
+    if version is None:
+        rows = reader.read.parquet(root)
+        levels = [f for f in (column, LOAD, WRITE) if f in rows.columns]
+    else:
+        levels = [*(level.partition("=")[0] for level in version.folders[0].split("/"))]
+        known = T.StructType([f for f in version.schema.fields if f.name not in levels])
+        for level in levels:
+            known.add(version.schema[level] if level in version.schema.names else T.StructField(level, T.StringType()))
+        rows = reader.read.schema(known).option("basePath", root).parquet(*[f"{root}/{f}" for f in version.folders])
+    for c in bounds:
+        if not isinstance(rows.schema[c].dataType, (T.IntegralType, T.DateType)):
+            raise TypeError(f"{c} is neither a whole number nor a date")
+    sizes = rows.groupBy(*levels).agg(*_counts_and_bounds(F.count(F.lit(1)), {c: (F.min(c), F.max(c)) for c in bounds}))
+    ends = {c: (F.min(f"min_{c}"), F.max(f"max_{c}")) for c in bounds}
+    return sizes.groupBy(column).agg(*_counts_and_bounds(F.sum("row_count"), ends))
+
+
+def _counts_and_bounds(count: Column, ends: Mapping[str, tuple[Column, Column]]) -> list[Column]:
+    return [count.alias("row_count"), *[x for c, (low, high) in ends.items() for x in (low.alias(f"min_{c}"), high.alias(f"max_{c}"))]]
+
+
 def snapshot_digests(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
     """(snapshot, digest): number of rows and 128 bits of all their values, whatever the order of rows and columns.
 
