@@ -43,23 +43,42 @@ def _grow(leaves: list[list[list[Node]]]) -> Node:
     return _inner([_inner([_inner(p) for p in s]) for s in leaves])
 
 
+#: Domains of the digests: a node of one level is never taken for one of another.
+_LEVELS = (b"root", b"section", b"paragraph")
+
+
+def _digest(of: bytes, level: bytes = b"") -> bytes:
+    return blake2b(of, digest_size=16, person=level).digest()
+
+
 def fingerprint(text: str) -> str:
     """Root, then `length.digest` of each leaf; `-`, `,` and `;` part leaves, paragraphs and sections.
 
-    The root is a digest of 16 bytes over full leaf digests; leaves are written with 4 bytes each.
+    The root is the digest of its sections' digests, a section's that of its paragraphs', a paragraph's that of its leaves',
+    16 bytes each; leaves are written with 4 bytes.
     """
-    root = blake2b(digest_size=16)
+    sections: list[bytes] = []
+    paragraphs: list[bytes] = []
+    row: list[bytes] = []
     out: list[str] = []
     link = ""
     for piece in _CUT.findall(text):
-        full = blake2b(piece.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        newline = piece[0] == "\n"
+        if link in (",", ";"):
+            paragraphs.append(_digest(b"".join(row), _LEVELS[2]))
+            row = []
+            if link == ";":
+                sections.append(_digest(b"".join(paragraphs), _LEVELS[1]))
+                paragraphs = []
+        full = _digest(piece.encode("utf-8", "surrogatepass"))
         out.append(f"{link}{len(piece)}.{full[:4].hex()}")
+        row.append(full)
         link = "-"
-        if newline:
+        if piece[0] == "\n":
             link = ";" if len(piece) > 1 else ","
-        root.update(full)
-    return f"{root.hexdigest()}:{''.join(out)}"
+    if row:
+        paragraphs.append(_digest(b"".join(row), _LEVELS[2]))
+        sections.append(_digest(b"".join(paragraphs), _LEVELS[1]))
+    return f"{_digest(b''.join(sections), _LEVELS[0]).hex()}:{''.join(out)}"
 
 
 def tree(print_: str) -> Node:

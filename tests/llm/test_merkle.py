@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import types as T
@@ -16,6 +17,47 @@ def test_leaves_cover_the_text():
         assert merkle.tree(merkle.fingerprint(text)).chars == len(text)
 
 
+def by_definition(text):
+    """Root and leaves (length, digest), from nested lists of sections, paragraphs and leaves."""
+    digest = lambda data, level=b"": hashlib.blake2b(data, digest_size=16, person=level).digest()
+    sections = [[]]
+    for paragraph in re.findall(r"[^\n]*\n+|[^\n]+", text):
+        sections[-1].append(paragraph)
+        if paragraph.endswith("\n\n"):
+            sections.append([])
+    leaves, of_sections = [], []
+    for section in filter(None, sections):
+        of_paragraphs = []
+        for paragraph in section:
+            pieces = merkle._CUT.findall(paragraph)
+            assert "".join(pieces) == paragraph
+            leaves += [(len(p), digest(p.encode())[:4].hex()) for p in pieces]
+            of_paragraphs.append(digest(b"".join(digest(p.encode()) for p in pieces), b"paragraph"))
+        of_sections.append(digest(b"".join(of_paragraphs), b"section"))
+    return digest(b"".join(of_sections), b"root").hex(), leaves
+
+
+def alike(a, b):
+    (root, x), (other, y) = by_definition(a), by_definition(b)
+    if root == other:
+        return 1.0
+    shared = sum(n * min(x.count((n, d)), y.count((n, d))) for n, d in set(x))
+    return 2 * shared / (len(a) + len(b))
+
+
+def test_fingerprint_by_definition():
+    rng = random.Random(5)
+    texts = ["", "\n", "\n\n\n", "a", "a\n", "a\n\nb", "\n\na\nb. c"] + ["".join(rng.choices("ab é.!?\n\t ", k=rng.randint(0, 400))) for _ in range(300)]
+    for text in texts:
+        root, body = merkle.fingerprint(text).split(":")
+        assert root == by_definition(text)[0]
+        assert re.split("[-,;]", body) == [f"{n}.{d}" for n, d in by_definition(text)[1]] or (not body and not text)
+    # Where paragraphs end is part of the root, not only what leaves hold.
+    assert merkle.fingerprint("a\nb")[:32] != merkle.fingerprint("a\n\nb")[:32]
+    for a, b in zip(texts, texts[1:]):
+        assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) == pytest.approx(alike(a, b), abs=1e-12)
+
+
 def test_root_tests_equality():
     a = "One two. Three!\n\nFour\nfive"
     assert merkle.fingerprint(a) == merkle.fingerprint(str(a))
@@ -86,6 +128,9 @@ def test_query_by_brute_force(spark):
         row = got[d.doc_id]
         assert row.n_chars == len(d.text)
         assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert row.fingerprint.partition(":")[0] == by_definition(d.text)[0] and row.edited_fingerprint.partition(":")[0] == by_definition(edited)[0]
+        assert row.near_edited == pytest.approx(alike(d.text, edited), abs=1e-12)
+        assert row.near_next == pytest.approx(alike(d.text, after), abs=1e-12)
         assert row.fingerprint == merkle.fingerprint(d.text) and row.edited_fingerprint == merkle.fingerprint(edited)
         assert row.near_edited == merkle.likeness(row.fingerprint, row.edited_fingerprint)
         assert row.near_next == merkle.likeness(row.fingerprint, merkle.fingerprint(after))
