@@ -176,7 +176,9 @@ def judge(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, orde
 def keep(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, order: Sequence[Rule] | None = None) -> DataFrame:
     """The rows that no rule rejects, with their columns as they were.
 
-    Unlike `judge`, a measure is computed only when the cascade reaches a rule that needs it.
+    Unlike `judge`, a measure is computed only when the cascade reaches a rule that needs it; a text is split into words
+    once, whatever the rules ask for.
     """
     order = order or [e.rule for e in estimate(df, text, rules)]
-    return df.filter(cascade(order, lambda n: measure(n, text_of(text))).isNull())
+    value = text_of(text)
+    return df.filter(let(words(value), lambda found: cascade(order, lambda n: MEASURES[n](value, found))).isNull())
