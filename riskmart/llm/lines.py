@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import keeps_names, others, tidy
-from riskmart.llm.similar import components, finalised, links, multipliers, small
+from riskmart.llm.similar import components, distinct, finalised, links, multipliers, small
 from riskmart.session import cut_lineage
 
 SHINGLE = 8
@@ -75,8 +75,7 @@ def _shingle_hashes(lines: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def line_shingles(lines: Sequence[str]) -> list[np.ndarray]:
     """Hashes of the different shingles of each line, sorted."""
-    values, count = _shingle_hashes(lines)
-    return [np.unique(v) for v in np.split(values, np.cumsum(count)[:-1])]
+    return distinct(*_shingle_hashes(lines))
 
 
 def signatures(values: np.ndarray, count: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
@@ -166,25 +165,30 @@ def _asked_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(texts, pa.string())], ["item", "text"])
 
 
+def _shortened(text: str, gone: set[int]) -> tuple[str, int, int]:
+    """A text without lines that it repeats and those numbered in `gone`; how many lines it has, and how many go."""
+    lines = text.split("\n")
+    first: dict[str, int] = {}
+    named = {}
+    for i, line in enumerate(lines):
+        line = line.strip()
+        if line:
+            named[i] = first.setdefault(line, i) == i and i not in gone
+    n = sum(named.values())
+    return text if n == len(named) else "\n".join([line for i, line in enumerate(lines) if named.get(i, True)]), len(named), len(named) - n
+
+
 def _without(text: Column, lost: Column) -> Column:
     """Struct (text, n_lines, n_removed): a text without lines that it repeats and those numbered in `lost`."""
 
-    @F.pandas_udf("text string, n_lines long, n_removed long")
-    def cut(texts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, gone in zip(texts, numbers):
-            if t is None:
-                rows.append((None, 0, 0))
-                continue
-            lines = t.split("\n")
-            stay = own_lines(t)
-            drop = set() if gone is None else set(gone.tolist())
-            named = [i for i, line in enumerate(lines) if line.strip()]
-            first = set(stay.values()) - drop
-            rows.append(("\n".join([line for i, line in enumerate(lines) if i in first or not line.strip()]) if len(first) < len(named) else t, len(named), len(named) - len(first)))
-        return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
-
-    return cut(text, lost)
+    @tidy
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, numbers in batches:
+            rows = [(None, 0, 0) if t is None else _shortened(t, set() if gone is None else set(gone.tolist())) for t, gone in zip(texts, numbers)]
+            yield pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
+
+    # Filters of callers would otherwise be pushed below it, with a copy of it and a second set of workers for them.
+    return F.pandas_udf(cut, "text string, n_lines long, n_removed long").asNondeterministic()(text, lost)
 
 
 def _mean_size(df: DataFrame, lists: str) -> int:

@@ -26,6 +26,8 @@ BLOCK_HASHES = 500_000
 #: Columns and rows of a matrix product.
 COLUMNS = 1024
 STRIP = 128
+#: Places of a matrix of sorted stretches.
+CELLS = 1 << 16
 #: Characters of texts whose sets are made together.
 TEXTS = 2_000_000
 #: A table of up to this many bytes is sent to all executors; a larger one is joined by a shuffle.
@@ -51,6 +53,48 @@ def set_hash(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return tuple(np.add.reduceat(finalised(values * m), starts).view(np.int64) for m in multipliers(2, 97))
 
 
+def sorted_rows(values: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretches of `values`, `count` long each, sorted many at a time: (which, [stretch, place], whether a place holds a value).
+
+    Stretches of about the same length share a matrix of at most CELLS places, or one stretch; places behind a stretch's
+    values come last.
+    """
+    order = np.argsort(count, kind="stable")
+    length = count[order]
+    starts = (np.cumsum(count) - count)[order]
+    low = 0
+    while low < len(order):
+        high = int(np.searchsorted(length, length[low] * 5 // 4 + 4, side="right"))
+        high = min(high, max(low + 1, low + CELLS // max(int(length[high - 1]), 1)))
+        place = np.arange(length[high - 1])
+        inside = place < length[low:high, None]
+        matrix = values.take(starts[low:high, None] + place, mode="clip")
+        np.copyto(matrix, np.iinfo(np.uint64).max, where=~inside)
+        matrix.sort(axis=1)
+        yield order[low:high], matrix, inside
+        low = high
+
+
+def distinct(values: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    """The different values of each stretch, sorted."""
+    sets: list = [None] * len(count)
+    for which, matrix, inside in sorted_rows(values, count):
+        inside[:, 1:] &= matrix[:, 1:] != matrix[:, :-1]
+        flat, ends = matrix[inside], np.cumsum(inside.sum(axis=1)).tolist()
+        for i, low, high in zip(which.tolist(), [0, *ends], ends):
+            sets[i] = flat[low:high]
+    return sets
+
+
+def shared_by_two(sets: Sequence[np.ndarray]) -> np.ndarray:
+    """How many values the sets 0 and 1 share, 2 and 3, and so on."""
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    shared = np.zeros(len(sets) // 2, dtype=np.int64)
+    for which, matrix, inside in sorted_rows(np.concatenate(sets), size[::2] + size[1::2]):
+        shared[which] = ((matrix[:, 1:] == matrix[:, :-1]) & inside[:, 1:]).sum(axis=1)
+    return shared
+
+
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
     """A stored table, marked to be broadcast if its measured size allows."""
     return F.broadcast(df) if df.count() * row_bytes <= SENT_BYTES else df
@@ -234,9 +278,9 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
             if size < TEXTS and k + 1 < len(at):
                 continue
             sets = shingler(both[2 * low : 2 * k + 2])
-            shared = [np.intersect1d(x, y, assume_unique=True).size for x, y in zip(sets[::2], sets[1::2])]
-            close = [s / (x.size + y.size - s) >= threshold for s, x, y in zip(shared, sets[::2], sets[1::2])]
-            one = at[low : k + 1][np.array(close)]
+            shared = shared_by_two(sets)
+            both_sizes = np.array([x.size + y.size for x, y in zip(sets[::2], sets[1::2])])
+            one = at[low : k + 1][shared / (both_sizes - shared) >= threshold]
             yield np.concatenate([item[one], item[one + 1]]), np.tile(item[one], 2), np.concatenate([copies[one + 1], copies[one]])
             low, size = k + 1, 0
 

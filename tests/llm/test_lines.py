@@ -117,6 +117,28 @@ def test_shingles_are_those_of_the_definition():
         assert np.intersect1d(x, y).size == len(_set(a) & _set(b))
 
 
+def test_sorted_stretches(monkeypatch):
+    rng = np.random.default_rng(4)
+    for cells in (1, 50, 1 << 16):
+        monkeypatch.setattr(similar, "CELLS", cells)
+        count = rng.integers(1, 40, 301)
+        values = rng.integers(0, 30, count.sum(), dtype=np.uint64)
+        values[rng.random(len(values)) < 0.1] = np.iinfo(np.uint64).max  # also the number that fills up
+        sets = similar.distinct(values, count)
+        for got, own in zip(sets, np.split(values, np.cumsum(count)[:-1]), strict=True):
+            assert got.tolist() == sorted(set(own.tolist()))
+        shared = similar.shared_by_two(sets[:300])
+        assert shared.tolist() == [len(set(x.tolist()) & set(y.tolist())) for x, y in zip(sets[:300:2], sets[1:300:2])]
+
+
+def test_a_filter_behind_it_does_not_cut_texts_again(spark):
+    rows = [(i, "x", f"{i} a line\n{i // 2} another line", "y", "z") for i in range(8)]
+    found = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).filter("length(text) > 9").select("doc_id", "text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert len(found.collect()) == 4
+
+
 def test_matches_brute_force(spark):
     rows = corpus()
     df = spark.createDataFrame([(k, "x", t, "y", "z") for k, t in rows], SCHEMA).repartition(5)
