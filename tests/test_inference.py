@@ -4,6 +4,7 @@ import gzip
 import random
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +42,34 @@ def test_lattice(spark, column, found):
     assert types(spark, *column) == found
 
 
+def test_rungs_are_what_casts_take(spark):
+    rng = random.Random(7)
+    values = [f"{rng.choice(['', '+', '-'])}{'0' * rng.choice([0, 0, 15])}{rng.randrange(10 ** rng.randint(1, 21))}" for _ in range(300)]
+    values += [str(s * (1 << b) + d) for s in (1, -1) for b in (31, 63) for d in (-1, 0, 1)] + ["+", "-", "1.", ".", "1e", "1E-7", "12\t", "１２", "NaN", "é"]
+    values += [f"{y}-{m:02d}-{d:02d}{t}" for y in ("0000", "1900", "2000", "2023") for m in (0, 2, 4, 13) for d in (0, 28, 29, 30, 31) for t in ("", " 23:59:59", "T24:00:00", " 00:60:00.5", " 1:00:00", "T01:00:00.1234567")]
+    values = list(dict.fromkeys(values))
+    v = F.col("v")
+    whole, day, time = v.rlike(r"^[+-]?[0-9]+\z"), r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?"
+    want = (
+        F.when(whole & v.try_cast("int").isNotNull(), "int")
+        .when(whole & v.try_cast("bigint").isNotNull(), "bigint")
+        .when(v.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"), "double")
+        .when(v.rlike(rf"^{day}\z") & v.try_cast("date").isNotNull(), "date")
+        .when(v.rlike(rf"^{day}{time}\z") & v.try_cast("timestamp_ntz").isNotNull(), "timestamp")
+        .otherwise("string")
+    )
+    by_casts = {r.v: r.want for r in spark.createDataFrame([(x,) for x in values], "v string").select("v", want.alias("want")).collect()}
+    found = inference.rungs(pa.array(values)).tolist()
+    assert {x: inference.RUNGS[k] for x, k in zip(values, found)} == by_casts and set(found) == set(range(6))
+
+
+def test_a_column_is_one_aggregate_of_few_parts(spark):
+    """One expression for all columns and rungs grew beyond what the JVM compiles."""
+    df = spark.createDataFrame([tuple(str(i) for i in range(40))], [f"c{i}" for i in range(40)])
+    plan = inference.inferred_types(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "RLIKE" not in plan
+
+
 def test_parts_merge_in_any_order(spark):
     rows = [(str(i), f"2024-01-{1 + i % 28:02d}", "x" if i == 777 else str(i / 4)) for i in range(1000)]
     want = None
