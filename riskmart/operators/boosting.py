@@ -5,9 +5,10 @@ hessians per (fit, node, feature, bin), the sums meet by fit, and the best split
 A fit is a set of parameters and a fold left out; a shorter fit is a prefix of a longer one. Gradients are
 whole multiples of 2^-24, so sums are exact and the trees are the same under any partitioning and after any retry.
 
-Rows lie in blocks, a few thousand in one binary row. A block is stored once for each group of fits, with their margins
-so far: work is dealt by rows and by fits, and no task holds the margins of all. Every few rounds the blocks are
-written anew to the shared folder, so a pass only walks the trees grown since.
+Rows lie in blocks of a few thousand entries in one binary row. An entry is a row, or neighbours alike in bins, label and
+fold: trees cannot tell those apart, so they share a margin and count as often as a sample has them. A block is stored
+once for each group of fits, with their margins so far: work is dealt by rows and by fits, and no task holds the margins
+of all. Every few rounds the blocks are written anew to the shared folder, so a pass only walks the trees grown since.
 """
 
 from __future__ import annotations
@@ -18,15 +19,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.session import file_system, scratch_path
 
 #: Bins of a feature; bin 0 holds missing values.
 BINS = 64
-#: Rows of a block, at most.
+#: Entries of a block, at most, and rows that are looked at together to find them.
 BLOCK_ROWS = 8192
+HELD_ROWS = 1 << 18
 #: Fits that share a stored block.
 FITS_TOGETHER = 40
 #: Bytes of blocks that a task is given, about.
@@ -71,6 +75,13 @@ class Tree:
         left = codes[feature] <= last if missing_left else wrapped[feature] < last
         return np.where(left, self.walk(codes, wrapped, at, 2 * node), self.walk(codes, wrapped, at, 2 * node + 1))
 
+    def values(self, codes: np.ndarray, wrapped: np.ndarray) -> np.ndarray:
+        """What the tree adds to each margin. Ends are found as small numbers, which are quicker to move than values."""
+        value = np.zeros(1 + max((1, *self.splits, *self.leaves)))
+        for node, weight in self.leaves.items():
+            value[node] = weight
+        return value[self.walk(codes, wrapped, np.uint16)]
+
 
 @dataclass(frozen=True)
 class Fit:
@@ -107,28 +118,54 @@ def bin_edges(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> list[l
     return [sorted(set(q or [])) for q in row]
 
 
-_BLOCK = "part int, rows int, codes binary, label binary, fold binary, hash binary, margins binary"
+_BLOCK = "part int, rows int, codes binary, label binary, fold binary, size binary, hash binary, margins binary"
 _NAMES = [c.split(" ")[0] for c in _BLOCK.split(", ")]
 
 
 def blocks(df: DataFrame, columns: Sequence[str], edges: Sequence[Sequence[float]], label: Column, fold: Column, row_hash: Column) -> DataFrame:
-    """Rows as binned blocks; a feature that is null or NaN is missing. One shuffle, by the hash."""
+    """Rows as binned blocks; a feature that is null or NaN is missing.
+
+    One shuffle, by ranges of bins, label, fold and hash: rows that are alike come together, and many of them are split by their hash.
+    """
     values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in columns])
     rows = df.select(label.cast("double").alias("label"), fold.cast("int").alias("fold"), row_hash.cast("long").alias("hash"), values.alias("x"))
     limits = [np.asarray(e, float) for e in edges]
 
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.array(batch["x"].tolist(), float).reshape(len(batch), len(limits))
+            codes = np.zeros(x.shape, np.uint8)
+            for f, limit in enumerate(limits):
+                codes[:, f] = np.where(np.isnan(x[:, f]), 0, 1 + np.searchsorted(limit, x[:, f], side="left"))
+            yield pd.DataFrame({"codes": [c.tobytes() for c in codes], "label": batch["label"].to_numpy(np.uint8), "fold": batch["fold"], "hash": batch["hash"]})
+
+    def entries(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(held)
+        codes = np.frombuffer(b"".join(rows["codes"]), np.uint8).reshape(len(rows), len(limits))
+        label, fold, hashes = rows["label"].to_numpy(np.uint8), rows["fold"].to_numpy(np.int16), rows["hash"].to_numpy(np.int64)
+        other = (codes[1:] != codes[:-1]).any(axis=1) | (label[1:] != label[:-1]) | (fold[1:] != fold[:-1])
+        starts = np.concatenate([[0], 1 + np.flatnonzero(other), [len(rows)]])
+        for lo in range(0, len(starts) - 1, BLOCK_ROWS):
+            ends = starts[lo : lo + BLOCK_ROWS + 1]
+            at, own = ends[:-1], slice(ends[0], ends[-1])
+            size = np.diff(ends).astype(np.int32)
+            made = (0, int(size.sum()), codes[at].T.tobytes(), label[at].tobytes(), fold[at].tobytes(), size.tobytes(), hashes[own].tobytes(), b"")
+            yield pd.DataFrame([made], columns=_NAMES)
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            for lo in range(0, len(batch), BLOCK_ROWS):
-                part = batch.iloc[lo : lo + BLOCK_ROWS]
-                x = np.array(part["x"].tolist(), float).reshape(len(part), len(limits)).T
-                codes = np.zeros(x.shape, np.uint8)
-                for f, limit in enumerate(limits):
-                    codes[f] = np.where(np.isnan(x[f]), 0, 1 + np.searchsorted(limit, x[f], side="left"))
-                made = [0, len(part), codes.tobytes(), part["label"].to_numpy(np.uint8).tobytes(), part["fold"].to_numpy(np.int16).tobytes()]
-                yield pd.DataFrame([(*made, part["hash"].to_numpy(np.int64).tobytes(), b"")], columns=_NAMES)
+            if len(batch):
+                held.append(batch)
+            if sum(map(len, held)) >= HELD_ROWS:
+                yield from entries(held)
+                held = []
+        if held:
+            yield from entries(held)
 
-    return rows.repartition("hash").mapInPandas(build, _BLOCK)
+    alike = ("codes", "label", "fold")
+    binned = rows.mapInPandas(coded, "codes binary, label int, fold int, hash long")
+    return binned.repartitionByRange(*alike, "hash").sortWithinPartitions(*alike).mapInPandas(build, _BLOCK)
 
 
 @dataclass
@@ -138,22 +175,31 @@ class Block:
     codes: np.ndarray
     label: np.ndarray
     fold: np.ndarray
+    #: Rows of each entry, and the hashes of all of them.
+    size: np.ndarray
     hashes: np.ndarray
     margins: np.ndarray
 
     @classmethod
     def of(cls, row, features: int, fits: int) -> Block:
-        n, own = row.rows, range(row.part * FITS_TOGETHER, min(fits, (row.part + 1) * FITS_TOGETHER))
+        n, own = len(row.label), range(row.part * FITS_TOGETHER, min(fits, (row.part + 1) * FITS_TOGETHER))
         margins = np.frombuffer(row.margins, np.float64).reshape(len(own), n) if len(row.margins) else np.zeros((len(own), n))
         return cls(
             own,
             np.frombuffer(row.codes, np.uint8).reshape(features, n),
             np.frombuffer(row.label, np.uint8).astype(float),
             np.frombuffer(row.fold, np.int16),
+            np.frombuffer(row.size, np.int32).astype(np.int64),
             np.frombuffer(row.hash, np.int64).view(np.uint64),
             margins,
         )
 
+    def seen(self, tree: int, share: float, seed: int) -> np.ndarray:
+        """How many rows of each entry a tree sees."""
+        if share >= 1:
+            return self.size
+        return np.add.reduceat(sampled(self.hashes, tree, share, seed), np.cumsum(self.size) - self.size, dtype=np.int64)
+
 
 def _read(batches: Iterator[pd.DataFrame], features: int, fits: int) -> Iterator[tuple[object, Block]]:
     for batch in batches:
@@ -178,10 +224,6 @@ class Forest:
         return [t[self.written :] for t in self.trees]
 
 
-def _value_of(tree: Tree) -> Callable[[int], float]:
-    return lambda node: tree.leaves.get(node, 0.0)
-
-
 def _histograms(forest: Forest, tree: int, growing: Mapping[int, Tree], level: int):
     """A task's sums of gradients and hessians by fit: arrays [node of the level, feature, bin, 2] of whole numbers."""
     fits, features, seed, recent = forest.fits, forest.features, forest.seed, forest.recent()
@@ -190,6 +232,7 @@ def _histograms(forest: Forest, tree: int, growing: Mapping[int, Tree], level: i
         sums: dict[int, np.ndarray] = {}
         nodes = 1 << level
         for _, block in _read(batches, features, len(fits)):
+            counts: dict[float, np.ndarray] = {}
             views: dict[tuple[float, int], tuple] = {}
             for i in block.fits:
                 if i not in growing:
@@ -198,17 +241,21 @@ def _histograms(forest: Forest, tree: int, growing: Mapping[int, Tree], level: i
                 params, fold = fits[i].params, fits[i].fold
                 seen = views.get((params.subsamplingRate, fold))
                 if seen is None:
-                    at = np.flatnonzero(sampled(block.hashes, tree, params.subsamplingRate, seed) & (block.fold != fold))
+                    if params.subsamplingRate not in counts:
+                        counts[params.subsamplingRate] = block.seen(tree, params.subsamplingRate, seed)
+                    n = counts[params.subsamplingRate]
+                    at = np.flatnonzero((n > 0) & (block.fold != fold))
                     codes = np.ascontiguousarray(block.codes[:, at])
-                    seen = views[params.subsamplingRate, fold] = at, codes, codes - np.uint8(1), block.label[at]
-                at, codes, wrapped, label = seen
+                    seen = views[params.subsamplingRate, fold] = at, codes, codes - np.uint8(1), block.label[at], n[at].astype(float)
+                at, codes, wrapped, label, n = seen
                 margin = block.margins[i - block.fits.start][at]
                 for done in recent[i]:
-                    margin = margin + done.walk(codes, wrapped, _value_of(done))
+                    margin = margin + done.values(codes, wrapped)
                 p = 1 / (1 + np.exp(-margin))
-                g, h = np.rint((p - label) * UNIT), np.rint(p * (1 - p) * UNIT)
+                g, h = np.rint((p - label) * UNIT) * n, np.rint(p * (1 - p) * UNIT) * n
                 # Rows that ended in a leaf above the level go to one more node, which is left out.
-                first = np.broadcast_to(own.walk(codes, wrapped, lambda k: k - nodes if k >= nodes else nodes), len(at)) * (BINS + 1)
+                ends = own.walk(codes, wrapped, lambda k: np.uint16(k - nodes if k >= nodes else nodes))
+                first = np.broadcast_to(ends, len(at)).astype(np.int64) * (BINS + 1)
                 made = sums.setdefault(i, np.zeros((nodes, features, BINS + 1, 2)))
                 for f in columns_of(tree, params.featureSubsetStrategy, features, seed):
                     place = first + codes[f]
@@ -329,7 +376,7 @@ def _advanced(forest: Forest):
             for k, i in enumerate(block.fits):
                 margin = block.margins[k]
                 for done in recent[i]:
-                    margin = margin + done.walk(block.codes, wrapped, _value_of(done))
+                    margin = margin + done.values(block.codes, wrapped)
                 margins[k] = margin
             yield pd.DataFrame([row._replace(margins=margins.tobytes())])
 
@@ -342,7 +389,7 @@ def grow(data: DataFrame, fits: Sequence[Fit], features: int, seed: int, at: Map
     forest = Forest(fits, features, seed, [[] for _ in fits])
     spark, stored = data.sparkSession, None
     rounds = max((f.params.maxIter for f in fits), default=0)
-    data = _dealt(data, len(fits), features)
+    data = _dealt(data, len(fits))
     for tree in range(rounds):
         _grow_round(data, forest, tree)
         done = tree + 1
@@ -358,11 +405,13 @@ def grow(data: DataFrame, fits: Sequence[Fit], features: int, seed: int, at: Map
     return forest.trees
 
 
-def _dealt(data: DataFrame, fits: int, features: int) -> DataFrame:
+def _dealt(data: DataFrame, fits: int) -> DataFrame:
     """A block for each group of fits, in as many tasks as their margins will need, or as there are cores."""
     groups = -(-fits // FITS_TOGETHER)
-    stored = data.count() * groups
-    size = stored * BLOCK_ROWS * (8 * min(fits, FITS_TOGETHER) + features + 11)
+    fixed = sum(F.length(c) for c in ("codes", "label", "fold", "size", "hash"))
+    n, entries, held = data.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("label")), F.lit(0)), F.coalesce(F.sum(fixed), F.lit(0))).first()
+    stored = n * groups
+    size = entries * 8 * fits + held * groups
     tasks = max(1, min(stored, data.sparkSession.sparkContext.defaultParallelism), -(-size // TASK_BYTES))
     parts = data.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(max(groups, 1) - 1))))
     dealt = parts.select(*[F.col(c) for c in _NAMES]).repartition(tasks)
@@ -383,8 +432,8 @@ def held_out(data: DataFrame, fits: Sequence[Fit], features: int, names: Mapping
             for k, i in enumerate(block.fits):
                 out = block.fold == fits[i].fold
                 score, place = np.unique(block.margins[k][out], return_inverse=True)
-                pos = np.bincount(place, block.label[out], len(score))
-                neg = np.bincount(place, 1 - block.label[out], len(score))
+                pos = np.bincount(place, block.label[out] * block.size[out], len(score))
+                neg = np.bincount(place, (1 - block.label[out]) * block.size[out], len(score))
                 for name in names.get(i, ()):
                     yield pd.DataFrame({"split": name, "score": score, "pos": pos, "neg": neg})
 
@@ -430,14 +479,32 @@ def margin(rows: Sequence[tuple], low: Callable[[str], str], high: Callable[[str
     return total
 
 
-def walked(df: DataFrame, trees: DataFrame, keys: Sequence[str], columns: Sequence[str], count: int, depth: int) -> DataFrame:
-    """`keys` and the margin of each of their rows by walking the stored rows of `count` trees, a join for each level."""
-    known = F.create_map(*[x for c in columns for x in (F.lit(c), F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)))])
-    step = F.broadcast(trees.select("tree", "node", "feature", "cut", "missing_left", "value"))  # at most 2^(depth + 1) rows a tree
-    at = df.select(*keys, known.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("tree"), F.lit(1).alias("node"))
-    for _ in range(depth):
-        value = F.col("x")[F.col("feature")]
-        left = F.coalesce(value <= F.col("cut"), F.col("missing_left"))
-        following = F.when(F.col("feature").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(left, 0).otherwise(1))
-        at = at.join(step, ["tree", "node"]).select(*keys, "x", "tree", following.alias("node"))
-    return at.join(step, ["tree", "node"]).groupBy(*keys).agg(F.sum("value").alias("margin"))
+def walked(df: DataFrame, rows: Sequence[tuple], keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """`keys` and the margin of each row of `df`, by walking the stored rows of the trees, level by level."""
+    shape = 1 + max(r[0] for r in rows), 1 + max(r[1] for r in rows)
+    feature, cut, side, value = np.full(shape, -1), np.zeros(shape), np.zeros(shape, bool), np.zeros(shape)
+    for tree, node, name, *at in rows:
+        if name is None:
+            value[tree, node] = at[2]
+        else:
+            feature[tree, node], cut[tree, node], side[tree, node] = list(columns).index(name), at[0], at[1]
+    depth = (shape[1] - 1).bit_length() - 1
+    x = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(columns)]
+    numbered = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *x)
+    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField("margin", T.DoubleType())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([batch.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(len(columns))]).reshape(len(columns), batch.num_rows)
+            each, margins = np.arange(batch.num_rows), np.zeros(batch.num_rows)
+            for tree in range(shape[0]):
+                at = np.ones(batch.num_rows, np.int64)
+                for _ in range(depth):
+                    used = feature[tree, at]
+                    v = x[used, each]
+                    left = np.where(np.isnan(v), side[tree, at], v <= cut[tree, at])
+                    at = np.where(used < 0, at, 2 * at + ~left)
+                margins += value[tree, at]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f"k{i}") for i in range(len(keys))], pa.array(margins)], [*keys, "margin"])
+
+    return numbered.mapInArrow(task, schema)

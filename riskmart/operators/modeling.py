@@ -378,10 +378,8 @@ class TreeModel:
         return df.select(*columns, *values).select(*columns, (1 / (1 + F.exp(-margin))).alias(name))
 
     def walked(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """`keys` and the probability, as `walk`, by joins with the rows of the trees instead of the expression."""
-        trees = df.sparkSession.createDataFrame(self.rows, boosting.TREE_ROWS)
-        depth = max(r[1] for r in self.rows).bit_length() - 1
-        walked = boosting.walked(self.scaler.apply(df), trees, keys, list(self.scaler.mean), len({r[0] for r in self.rows}), depth)
+        """`keys` and the probability, as `walk`, by walking the rows of the trees instead of the expression."""
+        walked = boosting.walked(self.scaler.apply(df), self.rows, keys, list(self.scaler.mean))
         return walked.select(*keys, (1 / (1 + F.exp(-F.col("margin")))).alias("walk"))
 
 

@@ -219,3 +219,31 @@ def test_stored_blocks_can_be_read_again(spark):
     again = boosting.store_blocks(data.blocks, scratch_path(spark, "again"))
     fit = [boosting.Fit(boosting.Params(maxIter=2))]
     assert boosting.grow(again, fit, 3, 42) == boosting.grow(data.blocks, fit, 3, 42)
+
+
+def test_rows_alike_in_bins_share_an_entry(spark, monkeypatch):
+    """What a pass reads and keeps margins of grows with the different rows; trees are those of single entries."""
+    rng = random.Random(11)
+    rows = [(f"l{i}", "2024-01-01", float(rng.randint(0, 3)), rng.choice([None, 1.0]), 0.5, float(rng.random() < 0.3)) for i in range(3000)]
+    fits = [boosting.Fit(boosting.Params(maxIter=4, subsamplingRate=s, minChildWeight=0.5), k) for s in (0.6, 1.0) for k in (-1, 1)]
+    data = modeling.binned(frame(spark, rows, 5), COLUMNS, folds=3)
+    entries = data.blocks.selectExpr("sum(length(label))").first()[0]
+    assert data.rows == 3000 and entries <= 2 * 4 * 2 * 2 * 3 * 2  # those cut by a range's end count twice
+    together = boosting.grow(data.blocks, fits, 3, 42)
+    monkeypatch.setattr(boosting, "HELD_ROWS", 1)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        cut = modeling.binned(frame(spark, rows, 2), COLUMNS, folds=3)
+        assert cut.blocks.count() > 400
+        assert boosting.grow(cut.blocks, fits, 3, 42) == together
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_walk_makes_no_row_for_each_tree(spark):
+    model = modeling.TreeModel(PLAIN, [(t, 1, None, None, None, 0.1) for t in range(50)])
+    walk = model.walked(frame(spark, rows_of(20)), ["loan_id"])
+    plan = walk._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    assert {round(r["walk"], 9) for r in walk.collect()} == {round(1 / (1 + math.exp(-5.0)), 9)}
