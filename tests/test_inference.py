@@ -64,7 +64,7 @@ def test_rungs_are_what_casts_take(spark):
 
 
 def test_a_column_is_one_aggregate_of_few_parts(spark):
-    """One expression for all columns and rungs grew beyond what the JVM compiles."""
+    """Values are not told apart by one expression that grows with columns and rungs."""
     df = spark.createDataFrame([tuple(str(i) for i in range(40))], [f"c{i}" for i in range(40)])
     plan = inference.inferred_types(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "RLIKE" not in plan
