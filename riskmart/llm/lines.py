@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import keeps_names, others, tidy
-from riskmart.llm.similar import components, distinct, finalised, links, multipliers, small
+from riskmart.llm.similar import components, distinct, finalised, likeness_of_two, links, multipliers, small
 from riskmart.session import cut_lineage
 
 SHINGLE = 8
@@ -63,16 +63,26 @@ def _shingle_hashes(lines: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(length + 1) - length - 1
     count = np.maximum(length - SHINGLE + 1, 1)
     whole = length >= SHINGLE
-    at = np.repeat(starts - np.cumsum(count) + count, count) + np.arange(count.sum())
-    is_run = np.repeat(whole, count)
+    # A run begins anywhere but in the last places of a line and at its end; in a shorter line, nowhere.
+    inside = np.ones(points.size + SHINGLE, dtype=bool)
+    inside[(starts[whole] + count[whole])[:, None] + np.arange(SHINGLE)] = False
+    if whole.all():
+        return finalised(run[inside[: run.size]]), count
+    below = np.flatnonzero(~whole)
+    inside[starts[below, None] + np.minimum(np.arange(SHINGLE), length[below, None])] = False
     values = np.empty(count.sum(), dtype=np.uint64)
-    values[is_run] = run[at[is_run]]
-    if not whole.all():
-        short = [lines[i] for i in np.flatnonzero(~whole)]
-        values[~is_run] = _line_hashes(short)[0].view(np.uint64)
+    is_run = np.ones(values.size, dtype=bool)
+    is_run[(np.cumsum(count) - 1)[below]] = False
+    values[is_run] = run[inside[: run.size]]
+    values[~is_run] = _line_hashes([lines[i] for i in below])[0].view(np.uint64)
     return finalised(values), count
 
 
+def line_likeness(lines: Sequence[str]) -> np.ndarray:
+    """Similarity of the lines 0 and 1, 2 and 3, and so on."""
+    return likeness_of_two(*_shingle_hashes(lines))
+
+
 def line_shingles(lines: Sequence[str]) -> list[np.ndarray]:
     """Hashes of the different shingles of each line, sorted."""
     return distinct(*_shingle_hashes(lines))
@@ -85,10 +95,13 @@ def signatures(values: np.ndarray, count: np.ndarray, size: int = BANDS * ROWS)
     the same for every line, so two lines agree in a place with the chance of their similarity.
     """
     n = len(count)
-    line = np.repeat(np.arange(n), count)
-    place = ((values >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
+    place = values >> np.uint64(40)
+    place *= np.uint64(size)
+    place >>= np.uint64(24)
+    place = place.view(np.int64)
+    place += np.repeat(np.arange(n) * size, count)
     flat = np.full(n * size, _EMPTY, dtype=np.uint64)
-    np.minimum.at(flat, line * size + place, values & np.uint64((1 << 40) - 1))
+    np.minimum.at(flat, place, values & np.uint64((1 << 40) - 1))
     own = flat.reshape(n, size)
     filled = own.copy()
     order = np.random.Generator(np.random.Philox(key=29))
@@ -210,22 +223,24 @@ def lost_lines(df: DataFrame, named: dict[str, Column], text: str = "text", thre
     items = cut_lineage(items, "lines")
 
     def texts(wanted: DataFrame) -> DataFrame:
-        asked = items.join(wanted, "item").groupBy(*[F.col(f"lead.{c}").alias(c) for c in by])
+        asked = items.join(small(wanted, 8), "item").groupBy(*[F.col(f"lead.{c}").alias(c) for c in by])
         asked = asked.agg(F.collect_list(F.struct("item", F.col("lead.line").alias("at"), "h1", "h2")).alias("asked"))
         asked = cut_lineage(asked, "asked")
         return source.join(small(asked, 8 + 8 * len(by) + 32 * _mean_size(asked, "asked")), by).select("text", "asked").mapInArrow(_asked_lines, "item long, text string")
 
-    edges = cut_lineage(links(items, texts, line_shingles, threshold, sized=False).select("u", "v"), "links")
+    edges = cut_lineage(links(items, texts, line_shingles, threshold, sized=False, likeness=line_likeness).select("u", "v"), "links")
     roots = components(edges)
     members = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
-    members = members.join(items.select(F.col("item").alias("node"), "lead"), "node")
+    members = cut_lineage(items.select(F.col("item").alias("node"), "h1", "h2", "lead").join(small(members, 16), "node"), "members")
     stays = members.groupBy("root").agg(F.min(F.struct("lead", "node")).alias("kept"))
-    goes = members.join(stays, "root").filter(F.col("node") != F.col("kept.node")).select(F.col("node").alias("item"), F.lit(True).alias("goes"))
-    fates = items.select("item", "h1", "h2", *[F.col(f"lead.{c}").alias(f"first_{c}") for c in by], "copies").join(goes, "item", "left").filter("copies > 1 OR goes")
+    goes = members.join(stays, "root").filter(F.col("node") != F.col("kept.node"))
+    # Lines that go wherever they stand, and those that stay where they stood first; a line may be in both.
+    fate = ["h1", "h2", *[F.col(f"lead.{c}").alias(f"first_{c}") for c in by]]
+    fates = goes.select(*fate, F.lit(True).alias("goes")).unionAll(items.filter("copies > 1").select(*fate, F.lit(False).alias("goes")))
     run, schema = _occurring(False, by)
     again = source.mapInArrow(run, schema)
     elsewhere = reduce(or_, [F.col(c) != F.col(f"first_{c}") for c in by])
-    lost = again.join(fates.drop("item", "copies"), ["h1", "h2"]).filter(F.col("goes") | elsewhere)
+    lost = again.join(fates, ["h1", "h2"]).filter(F.col("goes") | elsewhere)
     return lost.groupBy(*by).agg(F.collect_set(F.col("line").cast("int")).alias("lost"))
 
 

@@ -11,6 +11,7 @@ bounded memory; a cell is compared by matrix products where it holds many pairs.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +30,28 @@ STRIP = 128
 #: Places of a matrix of sorted stretches.
 CELLS = 1 << 16
 #: Characters of texts whose sets are made together.
-TEXTS = 2_000_000
+TEXTS = 250_000
 #: A table of up to this many bytes is sent to all executors; a larger one is joined by a shuffle.
 SENT_BYTES = 32_000_000
 
 Shingler = Callable[[Sequence[str]], list[np.ndarray]]
+#: Similarities of the texts 0 and 1, 2 and 3, and so on.
+Likeness = Callable[[Sequence[str]], np.ndarray]
 
 
 def finalised(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
+@lru_cache(maxsize=32)
 def multipliers(n: int, seed: int) -> np.ndarray:
-    """Odd 64-bit constants."""
+    """Odd 64-bit constants. All callers share them."""
     return np.random.Generator(np.random.Philox(key=seed)).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -86,6 +93,21 @@ def distinct(values: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
     return sets
 
 
+def likeness_of_two(values: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of the values of the stretches 0 and 1, 2 and 3, and so on, repeats and all; the lowest bit of a value is lost.
+
+    In its place stands whose a value is: sorted together, a value that both have is where only that bit changes.
+    """
+    values = values & ~np.uint64(1)
+    values |= np.repeat(np.arange(len(count), dtype=np.uint64) & np.uint64(1), count)
+    alike = np.zeros(len(count) // 2)
+    for which, matrix, inside in sorted_rows(values, count[::2] + count[1::2]):
+        change = matrix[:, 1:] ^ matrix[:, :-1]
+        change *= inside[:, 1:]
+        alike[which] = np.count_nonzero(change == 1, axis=1) / (1 + np.count_nonzero(change > 1, axis=1))
+    return alike
+
+
 def shared_by_two(sets: Sequence[np.ndarray]) -> np.ndarray:
     """How many values the sets 0 and 1 share, 2 and 3, and so on."""
     size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
@@ -177,19 +199,19 @@ def _close(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.nd
     m = len(sets)
     size = np.array([s.size for s in sets])
     close = np.zeros((m, m), dtype=bool)
-    if np.count_nonzero(pairs) <= 2 * m:
-        for a, b in np.argwhere(pairs).tolist():
-            shared = np.intersect1d(sets[a], sets[b], assume_unique=True).size
-            close[a, b] = shared / (size[a] + size[b] - shared) >= threshold
+    if 0 < np.count_nonzero(pairs) <= 2 * m:
+        a, b = np.nonzero(pairs)
+        shared = shared_by_two([sets[i] for i in np.stack([a, b], axis=1).ravel().tolist()])
+        close[a, b] = shared / (size[a] + size[b] - shared) >= threshold
         return close
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(m), size)
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     values, owner = values[order], owner[order]
     column = np.cumsum(np.concatenate([[True], values[1:] != values[:-1]])) - 1
     common = np.bincount(column)[column] > 1
     owner, column = owner[common], column[common]
-    column = np.unique(column, return_inverse=True)[1]
+    column = np.cumsum(np.diff(column, prepend=column[:1]) != 0)
     total = np.zeros((m, m), dtype=np.float32)  # counts below 2^24 are exact
     for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
         # Columns are in order, and so are those of a range.
@@ -218,26 +240,26 @@ def _roots(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: Shingler, threshold: float, sized: bool = True) -> DataFrame:
+def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: Shingler, threshold: float, sized: bool = True, likeness: Likeness | None = None) -> DataFrame:
     """(u, v, n_links) for every item that has links: v is an item of its component, n_links counts copies too.
 
     `items` is a stored table (item, n, copies, keys) of different sets, n their sizes (bounds on
     them if not `sized`), copies how many rows have the set, keys as many for each. `texts` takes a table of items and returns (item, text)
-    of them, and `shingler` makes their sets again. Only items that have a pair to compare are
+    of them, and `shingler` makes their sets again; `likeness`, if given, compares texts that stand alone
+    in a node without making sets. Only items that have a pair to compare are
     fetched. Rows of one item may be many, one for each cell it has links in.
     """
     # Most nodes hold one item: only keys move to find the others, and only entries of those go on.
-    entries = items.select("item", F.posexplode("keys").alias("tree", "key"))
+    entries = items.select("item", "n", F.posexplode("keys").alias("tree", "key"))
     shared = cut_lineage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key"), "nodes")
     entries = cut_lineage(entries.join(small(shared, 16), "key"), "entries")
-    entries = entries.join(items.select("item", "n", "keys"), "item")
     nodes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("hashes"))
     parts = F.greatest(F.ceil(F.col("members") / BLOCK_ITEMS), F.ceil(F.col("hashes") / BLOCK_HASHES))
-    placed = entries.join(nodes.select("key", parts.alias("parts")), "key")
+    placed = entries.join(items.select("item", "keys", "copies"), "item").join(nodes.select("key", parts.alias("parts")), "key")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cells = dealt.select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("tree").cast("int").alias("tree"), "block", "item", "n", "keys"
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("tree").cast("int").alias("tree"), "block", "item", "n", "keys", "copies"
     )
     cell = ["key", "i", "j"]
 
@@ -266,7 +288,14 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     kept = cut_lineage(kept, "cells")
     wanted = cut_lineage(kept.select("item").distinct(), "wanted")
     fetched = texts(wanted).dropDuplicates(["item"])
-    full = kept.join(fetched, "item").join(items.select("item", "copies"), "item")
+    full = kept.join(fetched, "item")
+
+    def by_sets(both: Sequence[str]) -> np.ndarray:
+        sets = shingler(both)
+        shared = shared_by_two(sets)
+        return shared / (np.array([x.size + y.size for x, y in zip(sets[::2], sets[1::2])]) - shared)
+
+    alike = likeness or by_sets
 
     def of_couples(batch: pa.RecordBatch, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Links of cells of two rows, some texts at a time."""
@@ -277,17 +306,17 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
             size += len(both[2 * k]) + len(both[2 * k + 1])
             if size < TEXTS and k + 1 < len(at):
                 continue
-            sets = shingler(both[2 * low : 2 * k + 2])
-            shared = shared_by_two(sets)
-            both_sizes = np.array([x.size + y.size for x, y in zip(sets[::2], sets[1::2])])
-            one = at[low : k + 1][shared / (both_sizes - shared) >= threshold]
+            one = at[low : k + 1][alike(both[2 * low : 2 * k + 2]) >= threshold]
             yield np.concatenate([item[one], item[one + 1]]), np.tile(item[one], 2), np.concatenate([copies[one + 1], copies[one]])
             low, size = k + 1, 0
 
-    def of_cell(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        pairs = _meeting(group, threshold, sized)
-        if pairs.any():
-            close = _close(shingler(group.column("text").to_pylist()), pairs, threshold)
+    def of_cells(groups: Sequence[tuple[pa.Table, np.ndarray, list[str]]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Links of other cells, each with its pairs and texts, whose sets are made together."""
+        sets = shingler([x for _, _, own in groups for x in own])
+        high = 0
+        for group, pairs, own in groups:
+            low, high = high, high + len(own)
+            close = _close(sets[low:high], pairs, threshold)
             close |= close.T
             some = np.flatnonzero(close.any(axis=1))
             item, copies = _numbers(group, "item"), _numbers(group, "copies")
@@ -298,15 +327,29 @@ def links(items: DataFrame, texts: Callable[[DataFrame], DataFrame], shingler: S
     @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting, size = [], 0
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], ["u", "v", "n_links"])
 
         for group, couples in _cells(batches):
-            found += of_cell(group) if couples is None else of_couples(group, _couples(group, couples, threshold, sized))
+            if couples is not None:
+                found += of_couples(group, _couples(group, couples, threshold, sized))
+            else:
+                pairs = _meeting(group, threshold, sized)
+                if not pairs.any():
+                    continue
+                waiting.append((group, pairs, group.column("text").to_pylist()))
+                size += sum(map(len, waiting[-1][2]))
+                if size < TEXTS:
+                    continue
+                found += of_cells(waiting)
+                waiting, size = [], 0
             if sum(len(x[0]) for x in found) > 20_000:
                 yield rows()
                 found.clear()
+        if waiting:
+            found += of_cells(waiting)
         if found:
             yield rows()
 

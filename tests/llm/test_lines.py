@@ -131,6 +131,35 @@ def test_sorted_stretches(monkeypatch):
         assert shared.tolist() == [len(set(x.tolist()) & set(y.tolist())) for x, y in zip(sets[:300:2], sets[1:300:2])]
 
 
+def test_likeness_of_two_lines_is_that_of_their_shingles():
+    rng = random.Random(6)
+    texts = []
+    for _ in range(300):
+        line = "".join(rng.choices("ab é\U0001f600", k=rng.choice([1, 3, 7, 8, 9, 30, 200])))
+        other = "".join(rng.choices("ab", k=rng.randint(1, 30)))
+        texts += rng.choice([(line, line), (line, line + other), (line, other), (line * 3, line + other + line)])
+    got = lines.line_likeness(texts)
+    for a, b, one in zip(map(_set, texts[::2]), map(_set, texts[1::2]), got, strict=True):
+        assert one == len(a & b) / len(a | b)
+    shared = similar.shared_by_two(lines.line_shingles(texts))
+    assert [(x > 0) for x in shared] == [(x > 0) for x in got]
+
+
+def test_items_are_not_joined_again_for_what_their_lines_lose(spark, monkeypatch):
+    plans = {}
+    real = lines.cut_lineage
+
+    def kept(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(lines, "cut_lineage", kept)
+    rows = corpus(seed=3)
+    df = spark.createDataFrame([(k, "x", t, "y", "z") for k, t in rows], SCHEMA)
+    assert rows_of(lines.dedup_lines(df)) == brute(rows)
+    assert plans["lost"].count("Join") == 2  # members with their kept lines, and the lines of texts with both
+
+
 def test_a_filter_behind_it_does_not_cut_texts_again(spark):
     rows = [(i, "x", f"{i} a line\n{i // 2} another line", "y", "z") for i in range(8)]
     found = lines.dedup_lines(spark.createDataFrame(rows, SCHEMA)).filter("length(text) > 9").select("doc_id", "text")
