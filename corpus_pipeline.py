@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm import bpe, forest, lines, mixing, quality
-from riskmart.llm.common import n_words
+from riskmart.llm.common import WORD
 from riskmart.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,7 +29,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text has no word and goes. Rows of equal or null ids are documents of their own; rows equal in id and text
     keep the same lines, and the next stage keeps one of them. Columns named n_lines or n_removed go, others stay.
     """
-    cut = lines.dedup_lines(docs).filter(n_words(F.col("text")) > 0)
+    cut = lines.dedup_lines(docs).filter(F.col("text").rlike(WORD))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -15,7 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import keeps_names, n_words, others, text_of
@@ -171,13 +172,18 @@ def plan(df: DataFrame, source: str = "source", text: str = "text", weights: Seq
     )
 
 
+def _local(spark: SparkSession, rows: Sequence[tuple], **kinds: pa.DataType) -> DataFrame:
+    """A table of the driver's rows. By Arrow: of plain rows, Spark would make a task with a second set of Python workers."""
+    return spark.createDataFrame(pa.table(dict(zip(kinds, zip(*rows, strict=True), strict=True)), pa.schema(list(kinds.items()))))
+
+
 def _cut_hashes(sized: DataFrame, rest: Sequence[tuple[str | None, float]]) -> dict[str | None, int]:
     """For each source the last hash of a pass that takes about so many words."""
     if not rest:
         return {}
     spark = sized.sparkSession
     # One row for each source.
-    words = F.broadcast(spark.createDataFrame(rest, "name string, words double"))
+    words = F.broadcast(_local(spark, rest, name=pa.string(), words=pa.float64()))
     part = F.floor(F.col("__hash") / (_SPACE // _BUCKETS)).alias("part")
     slices = sized.groupBy("__source", part).agg(F.sum("__size").alias("size"))
     before = Window.partitionBy("__source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -187,7 +193,7 @@ def _cut_hashes(sized: DataFrame, rest: Sequence[tuple[str | None, float]]) -> d
     crossed = crossed.select("name", "part", F.col("before").alias("slice_before"), "words").collect()
     if not crossed:
         return {}
-    found = F.broadcast(spark.createDataFrame(crossed, "name string, part long, slice_before long, words double"))
+    found = F.broadcast(_local(spark, crossed, name=pa.string(), part=pa.int64(), slice_before=pa.int64(), words=pa.float64()))
     inside = sized.withColumn("p", part).join(found, same & (F.col("p") == F.col("part")))
     # Documents of one slice in 4096 of a source. Those with one hash go together.
     by_hash = inside.groupBy("name", "__hash", "slice_before", "words").agg(F.sum("__size").alias("size"))
@@ -215,7 +221,6 @@ def _drawn(df: DataFrame, mix: Plan, source: str, text: str, size: Column | None
     """`draws` with the hash that ranks a row."""
     found = df.sparkSession.sparkContext.broadcast(mix)
 
-    @F.pandas_udf("source_size long, target double, draws array<struct<epoch:int,shard:int>>")
     def drawn(names: pd.Series, hashes: pd.Series) -> pd.DataFrame:
         made = found.value
         sources = made.sources
@@ -239,6 +244,8 @@ def _drawn(df: DataFrame, mix: Plan, source: str, text: str, size: Column | None
                     out[r].append({"epoch": epoch, "shard": x})
         return pd.DataFrame({"source_size": [sources[i].size for i in own], "target": [sources[i].target for i in own], "draws": out})
 
+    # Spark's filter of empty lists would otherwise be pushed below it, with a copy of it and a second set of workers for that.
+    drawn = F.pandas_udf(drawn, "source_size long, target double, draws array<struct<epoch:int,shard:int>>").asNondeterministic()
     keyed = _keyed(df, source, text, mix.seed, size)
     kept = others(df, ("size", "source_size", "target", "draws"))
     return keyed.withColumn("__d", drawn("__source", "__hash")).select(*kept, F.col("__size").alias("size"), "__d.source_size", "__d.target", "__d.draws", F.col("__hash").alias("__rank"))

@@ -48,6 +48,19 @@ def test_the_tree_splits_quotas_exactly():
     assert np.mean(first) == pytest.approx(250, rel=0.03) and np.std(first) > 3
 
 
+def test_draws_are_made_once_and_by_one_set_of_workers(spark):
+    df = spark.createDataFrame(_rows(), SCHEMA)
+    mix = mixing.plan(df, shards=4)
+    plan = mixing.mixed(df, mix)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_the_drivers_rows_need_no_task_of_plain_python(spark):
+    made = mixing._local(spark, [("a", 1.5), (None, 2.0)], name=mixing.pa.string(), words=mixing.pa.float64())
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in made.collect()] == [("a", 1.5), (None, 2.0)]
+
+
 def _rows():
     rng = random.Random(1)
     rows = []
